@@ -12,10 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.functions.numeric import to_number
-from wattline.functions.timefmt import calendar_columns, floor_hour
-from wattline.operators import clean, hourly
+from wattline.contracts import CONSUMPTION_COLUMNS, CONSUMPTION_FRAME_SCHEMA
+from wattline.functions.numeric import nan_to_null, to_int64, to_number
+from wattline.functions.timefmt import calendar_columns, floor_hour, reading_timestamp
+from wattline.ml import metrics as M
+from wattline.ml.knn import knn_predict
+from wattline.ml.split import split_sql, test_flag
+from wattline.operators import clean, hourly, profile, tables
 from wattline.plans import standins as S
+from wattline.session import fresh_location
+from wattline.sources import weather, years
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,4 +87,347 @@ def prj_08(spark, sf_dir):
     return ev.select("event_id", *[v.alias(k) for k, v in cal.items()])
 
 
-__all__ = ["QUERIES", "ORACLE", "to_number"]
+# ---------------------------------------------------------------------------
+# Projections (PRJ-*)
+# ---------------------------------------------------------------------------
+
+_CUST = "customer"
+_PAD_NAMES = ["key", "name", "nation", "balance", "segment", "extra_1", "extra_2"]
+
+
+@register("prj_02_pad", """
+SELECT c_custkey AS "key", c_name AS name, c_nationkey AS nation, c_acctbal AS balance,
+       c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS extra_1, CAST(NULL AS VARCHAR) AS extra_2
+FROM customer
+""")
+def prj_02_pad(spark, sf_dir):
+    return clean.conform_positional(S.table(spark, sf_dir, _CUST), _PAD_NAMES)
+
+
+@register("prj_02_cut", """
+SELECT c_custkey AS "key", c_name AS name, c_nationkey AS nation FROM customer
+""")
+def prj_02_cut(spark, sf_dir):
+    return clean.conform_positional(S.table(spark, sf_dir, _CUST), _PAD_NAMES[:3])
+
+
+def _customer_text(c):
+    """Customer numbers spelled as text, some spellings a strict reader rejects."""
+    return c.select(
+        F.col("c_name"),
+        F.col("c_custkey").cast("string").alias("custkey"),
+        F.when(F.col("c_acctbal") < 0, F.concat(F.col("c_nationkey").cast("string"), F.lit("d")))
+         .otherwise(F.concat(F.lit(" "), F.col("c_nationkey").cast("string"), F.lit(" "))).alias("nation"),
+        F.col("c_acctbal").cast("string").alias("balance"),
+        F.floor("c_acctbal").cast("double").cast("string").alias("balance_whole"),
+        F.concat(F.col("c_nationkey").cast("string"), F.lit("e2")).alias("nation_e2"),
+    )
+
+
+_CUSTOMER_TEXT_SQL = """
+  SELECT c_name, CAST(c_custkey AS VARCHAR) AS custkey,
+         CASE WHEN c_acctbal < 0 THEN CAST(c_nationkey AS VARCHAR) || 'd'
+              ELSE ' ' || CAST(c_nationkey AS VARCHAR) || ' ' END AS nation,
+         CAST(c_acctbal AS VARCHAR) AS balance,
+         CAST(CAST(floor(c_acctbal) AS DOUBLE) AS VARCHAR) AS balance_whole,
+         CAST(c_nationkey AS VARCHAR) || 'e2' AS nation_e2
+  FROM customer"""
+
+
+@register("prj_04", f"""
+SELECT c_name, {S.int64_sql('custkey')} AS custkey, {S.int64_sql('nation')} AS nation,
+       {S.int64_sql('balance')} AS balance, {S.int64_sql('balance_whole')} AS balance_whole,
+       {S.int64_sql('nation_e2')} AS nation_e2
+FROM ({_CUSTOMER_TEXT_SQL}) t
+""")
+def prj_04(spark, sf_dir):
+    return clean.cast_columns(_customer_text(S.table(spark, sf_dir, _CUST)), ["c_name"])
+
+
+@register("prj_05", """
+SELECT NULLIF(perimetre, 'ND') AS perimetre, NULLIF(nature, 'ND') AS nature, NULLIF(date, 'ND') AS date,
+       NULLIF(heures, 'ND') AS heures, NULLIF(consommation, 'ND') AS consommation,
+       NULLIF(source_file, 'ND') AS source_file, _row_order
+FROM (""" + S.READINGS_SQL + ") r")
+def prj_05(spark, sf_dir):
+    return clean.sentinel_to_null(_readings(spark, sf_dir))
+
+
+@register("prj_06", f"SELECT _row_order, CAST(datetime AS TIMESTAMP) AS datetime FROM ({S.PARSED_SQL}) p")
+def prj_06(spark, sf_dir):
+    r = clean.sentinel_to_null(_readings(spark, sf_dir))
+    return r.select("_row_order", reading_timestamp(F.col("date"), F.col("heures")).alias("datetime"))
+
+
+@register("prj_07", f"""
+SELECT _row_order, CAST(date_trunc('hour', datetime) AS TIMESTAMP) AS hour_ts FROM ({S.PARSED_SQL}) p
+""")
+def prj_07(spark, sf_dir):
+    r = clean.with_reading_time(clean.sentinel_to_null(_readings(spark, sf_dir)))
+    return r.select("_row_order", "hour_ts")
+
+
+@register("prj_09", f"SELECT consommation, _row_order FROM ({S.READINGS_SQL}) r")
+def prj_09(spark, sf_dir):
+    return clean.drop_identifiers(_readings(spark, sf_dir))
+
+
+@register("prj_10", f"""
+SELECT _row_order, COALESCE(consommation, '0') AS consommation, COALESCE(date, '0') AS date,
+       COALESCE({S.number_sql('consommation')}, 0.0) AS reading
+FROM ({S.PARSED_SQL}) p
+""")
+def prj_10(spark, sf_dir):
+    r = clean.sentinel_to_null(_readings(spark, sf_dir))
+    return clean.fill_zero(r.select("_row_order", "consommation", "date",
+                                    to_number(F.col("consommation")).alias("reading")))
+
+
+def _spelled(ev):
+    cents = F.round(F.col("value") * 100).cast("bigint").cast("string")
+    t = F.col("event_type")
+    return (F.when(t == "click", F.concat(cents, F.lit("d")))
+            .when(t == "view", F.concat(F.lit(" "), cents, F.lit(" ")))
+            .when(t == "purchase", F.concat(cents, F.lit("e1")))
+            .when(t == "signup", F.concat(F.lit("."), cents))
+            .otherwise(F.lit("nan")))
+
+
+_SPELLED_SQL = """CASE event_type
+    WHEN 'click' THEN CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) || 'd'
+    WHEN 'view' THEN ' ' || CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) || ' '
+    WHEN 'purchase' THEN CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) || 'e1'
+    WHEN 'signup' THEN '.' || CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR)
+    ELSE 'nan' END"""
+
+
+@register("prj_11", f"""
+SELECT event_id, {S.number_sql('s')} AS consommation FROM (SELECT event_id, {_SPELLED_SQL} AS s FROM events) t
+""")
+def prj_11(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    return ev.select("event_id", to_number(_spelled(ev)).alias("consommation"))
+
+
+@register("prj_13", f"""
+SELECT event_id, "périmètre" || '_' || date || '_' || heures AS db_id FROM ({S.CONSUMPTION_SQL}) c
+""")
+def prj_13(spark, sf_dir):
+    rows = S.consumption_rows(S.table(spark, sf_dir, "events"))
+    return rows.select("event_id", clean.row_key(*S.CONSUMPTION_KEY).alias("db_id"))
+
+
+@register("prj_14", """
+SELECT event_id, CASE WHEN value < 1 THEN NULL ELSE value END AS value FROM events
+""")
+def prj_14(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    with_nan = ev.select("event_id", F.when(F.col("value") < 1, F.lit(float("nan")))
+                         .otherwise(F.col("value")).alias("value"))
+    return clean.nan_to_null_all(with_nan)
+
+
+# ---------------------------------------------------------------------------
+# Filters (FLT-*)
+# ---------------------------------------------------------------------------
+
+@register("flt_01", f"""
+SELECT * FROM ({S.CONSUMPTION_SQL}) c
+WHERE "périmètre" = 'user_8' AND date = '2024-01-01' AND heures = '00:00'
+""")
+def flt_01(spark, sf_dir):
+    rows = S.consumption_rows(S.table(spark, sf_dir, "events"))
+    return tables.lookup(rows, **{"périmètre": "user_8", "date": "2024-01-01", "heures": "00:00"})
+
+
+@register("flt_02", f"""
+SELECT * FROM (SELECT "périmètre" || '_' || date || '_' || heures AS db_id, * FROM ({S.CONSUMPTION_SQL}) c) k
+WHERE db_id = 'user_8_2024-01-01_00:00'
+""")
+def flt_02(spark, sf_dir):
+    rows = S.consumption_rows(S.table(spark, sf_dir, "events"))
+    keyed = rows.select(clean.row_key(*S.CONSUMPTION_KEY).alias("db_id"), "*")
+    return tables.lookup(keyed, db_id="user_8_2024-01-01_00:00")
+
+
+@register("flt_03", f"""
+SELECT _row_order, CAST(date_trunc('hour', datetime) AS TIMESTAMP) AS hour_ts
+FROM ({S.PARSED_SQL}) p WHERE datetime IS NOT NULL
+""")
+def flt_03(spark, sf_dir):
+    r = clean.with_reading_time(clean.sentinel_to_null(_readings(spark, sf_dir)))
+    return clean.valid_time(r).select("_row_order", "hour_ts")
+
+
+# ---------------------------------------------------------------------------
+# Joins and set operations (JON-*, SET-01)
+# ---------------------------------------------------------------------------
+
+@register("jon_01", S.not_exists_sql(S.CONSUMPTION_SQL, S.STORED_SQL, S.CONSUMPTION_KEY))
+def jon_01(spark, sf_dir):
+    rows = S.consumption_rows(S.table(spark, sf_dir, "events"))
+    return tables.not_existing(rows, S.stored_rows(rows), S.CONSUMPTION_KEY)
+
+
+@register("jon_02", """
+SELECT c.hour_ts, round(c.consommation, 6) AS consommation,
+       round(w.temperature_2m, 6) AS temperature_2m, round(w.relative_humidity_2m, 6) AS relative_humidity_2m
+FROM (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_ts, avg(value) AS consommation
+      FROM events GROUP BY 1) c
+LEFT JOIN (
+  SELECT hour_ts, avg(temperature_2m) AS temperature_2m, avg(relative_humidity_2m) AS relative_humidity_2m
+  FROM (SELECT event_type AS city, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_ts,
+               avg(value) AS temperature_2m, max(CAST(user_id AS DOUBLE)) AS relative_humidity_2m
+        FROM events WHERE event_type <> 'error' GROUP BY 1, 2) per_city
+  GROUP BY hour_ts) w
+ON c.hour_ts = w.hour_ts
+""")
+def jon_02(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    hour = floor_hour(F.col("ts")).alias("hour_ts")
+    conso = ev.groupBy(hour).agg(F.avg("value").alias("consommation"))
+    # hourly weather per city (city = event type, errors carry no weather)
+    wx = (ev.where(F.col("event_type") != "error")
+          .groupBy(F.col("event_type").alias("city"), floor_hour(F.col("ts")).alias("hour_ts"))
+          .agg(F.avg("value").alias("temperature_2m"),
+               F.max(F.col("user_id").cast("double")).alias("relative_humidity_2m")))
+    out = tables.join_hourly(conso, wx)
+    return out.select("hour_ts", *[F.round(c, 6).alias(c) for c in
+                                   ["consommation", "temperature_2m", "relative_humidity_2m"]])
+
+
+@register("set_01", """
+SELECT c_custkey AS "key", c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, c_mktsegment AS segment
+FROM customer
+UNION ALL BY NAME
+SELECT s_suppkey AS "key", s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal FROM supplier
+""")
+def set_01(spark, sf_dir):
+    c = S.table(spark, sf_dir, "customer").toDF("key", "name", "nationkey", "acctbal", "segment")
+    s = S.table(spark, sf_dir, "supplier").toDF("key", "name", "nationkey", "acctbal")
+    return tables.union_by_name([c, s])
+
+
+# ---------------------------------------------------------------------------
+# Sources (SRC-08..11) over driver tables
+# ---------------------------------------------------------------------------
+
+@register("src_08", """
+SELECT y AS "year" FROM (
+  SELECT y, row_number() OVER (ORDER BY y) AS rk
+  FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE year(o_orderdate) >= 1995) d) r
+WHERE y - rk = 1994
+""")
+def src_08(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders")
+    return years.contiguous_years(o.select(F.year("o_orderdate").alias("year")), 1995)
+
+
+@register("src_09", S.WEATHER_HOURLY_SQL)
+def src_09(spark, sf_dir):
+    blocks = S.weather_blocks(S.table(spark, sf_dir, "embeddings"))
+    out = weather.expand_blocks(blocks)
+    return out.withColumn("date", F.col("date").cast("timestamp_ntz"))
+
+
+@register("src_10", """
+SELECT c.c_custkey, c.c_nationkey, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+""")
+def src_10(spark, sf_dir):
+    c = S.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = S.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return weather.attach_dimension(c, n, on="c_nationkey")
+
+
+@register("src_11", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+""")
+def src_11(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    out = weather.json_fields(ev, "props", {"k": "$.k"}, keep=["event_id"])
+    return out.withColumn("k", F.col("k").cast("bigint"))
+
+
+# ---------------------------------------------------------------------------
+# Aggregations (AGG-04..09)
+# ---------------------------------------------------------------------------
+
+_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def _agg04_sql() -> str:
+    parts = []
+    for i, c in enumerate(_LI_COLS):
+        num = S.number_sql(f"CAST({c} AS VARCHAR)")
+        parts.append(
+            f"SELECT '{c}' AS column_name, {i} AS position, "
+            f"CASE WHEN count({num}) = 0 THEN 'TEXT' "
+            f"WHEN bool_and(({num}) = floor({num}) AND NOT isinf({num})) FILTER (WHERE ({num}) IS NOT NULL) "
+            f"THEN 'INTEGER' ELSE 'FLOAT' END AS suggested_type FROM lineitem")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("agg_04", _agg04_sql())
+def agg_04(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    as_text = li.select(*[F.col(c).cast("string").alias(c) for c in _LI_COLS])
+    return profile.suggest_types(as_text)
+
+
+_PRED_SQL = "SELECT o_orderkey, o_totalprice AS label, 0.9 * o_totalprice + 1000 AS prediction FROM orders"
+
+
+def _orders_pred(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", F.col("o_totalprice").alias("label"),
+                    (F.lit(0.9) * F.col("o_totalprice") + F.lit(1000)).alias("prediction"))
+
+
+_R2_SQL = ("CASE WHEN var_pop(label) * count(label) = 0 THEN CASE WHEN sum((label - prediction) * (label - prediction)) = 0 "
+           "THEN 1.0 ELSE 0.0 END ELSE 1 - sum((label - prediction) * (label - prediction)) / (var_pop(label) * count(label)) END")
+_RMSE_SQL = "sqrt(avg((label - prediction) * (label - prediction)))"
+_MAPE_SQL = "avg(abs((label - prediction) / (label + 1e-9))) * 100"
+
+
+@register("agg_05", f"SELECT round({_R2_SQL}, 8) AS r2 FROM ({_PRED_SQL}) p")
+def agg_05(spark, sf_dir):
+    return _orders_pred(spark, sf_dir).agg(F.round(M.r2_expr(), 8).alias("r2"))
+
+
+@register("agg_06", f"SELECT round({_RMSE_SQL}, 4) AS rmse FROM ({_PRED_SQL}) p")
+def agg_06(spark, sf_dir):
+    return _orders_pred(spark, sf_dir).agg(F.round(M.rmse_expr(), 4).alias("rmse"))
+
+
+@register("agg_07", f"SELECT round({_MAPE_SQL}, 6) AS mape FROM ({_PRED_SQL}) p")
+def agg_07(spark, sf_dir):
+    return _orders_pred(spark, sf_dir).agg(F.round(M.mape_expr(), 6).alias("mape"))
+
+
+@register("agg_08", """
+SELECT o_orderpriority AS name, max(TRY_CAST(CAST(year(o_orderdate) - 1990 AS VARCHAR) AS INTEGER)) AS latest_version
+FROM orders GROUP BY o_orderpriority
+""")
+def agg_08(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders")
+    reg = o.select(F.col("o_orderpriority").alias("name"),
+                   (F.year("o_orderdate") - 1990).cast("string").alias("version"))
+    return M.latest_version(reg)
+
+
+_CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _agg09_sql() -> str:
+    parts = []
+    for i, a in enumerate(_CORR_COLS):
+        for b in _CORR_COLS[i + 1:]:
+            parts.append(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 8) AS r FROM lineitem")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("agg_09", _agg09_sql())
+def agg_09(spark, sf_dir):
+    out = profile.correlations(S.table(spark, sf_dir, "lineitem"), _CORR_COLS)
+    return out.withColumn("r", F.round("r", 8))

@@ -100,3 +100,92 @@ def calendar_sql(ts: str) -> str:
     return (f"CAST(hour({ts}) AS INTEGER) AS \"hour\", CAST(day({ts}) AS INTEGER) AS \"day\", "
             f"CAST(month({ts}) AS INTEGER) AS \"month\", CAST(isodow({ts}) - 1 AS INTEGER) AS dayofweek, "
             f"CAST(CASE WHEN isodow({ts}) - 1 IN (5, 6) THEN 1 ELSE 0 END AS INTEGER) AS weekend")
+
+
+# ---------------------------------------------------------------------------
+# Consumption-table rows from `events` (typed; key has in-batch repeats)
+#
+#   périmètre    'user_<user_id>'     nature   event_type
+#   date         'yyyy-MM-dd'         heures   'HH:00'
+#   consommation value in hundredths (int)    event_id  row order
+# "Stored" rows are the view and click events.
+# ---------------------------------------------------------------------------
+
+CONSUMPTION_KEY = ["périmètre", "date", "heures"]
+
+
+def consumption_rows(events: DataFrame) -> DataFrame:
+    return events.select(
+        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("périmètre"),
+        F.col("event_type").alias("nature"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.date_format("ts", "HH:00").alias("heures"),
+        F.round(F.col("value") * 100).cast("int").alias("consommation"),
+        F.col("event_id"),
+    )
+
+
+def stored_rows(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("nature").isin("view", "click"))
+
+
+CONSUMPTION_SQL = """
+  SELECT 'user_' || CAST(user_id AS VARCHAR) AS "périmètre", event_type AS nature,
+         strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H:00') AS heures,
+         CAST(round(value * 100) AS INTEGER) AS consommation, event_id
+  FROM events"""
+
+STORED_SQL = f"SELECT * FROM ({CONSUMPTION_SQL}) c WHERE nature IN ('view', 'click')"
+
+
+def first_per_key_sql(rel: str, key: list[str], order: str, cols: str = "*") -> str:
+    k = ", ".join(f'"{c}"' for c in key)
+    return (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {order}) AS _rn "
+            f"FROM ({rel}) x) y WHERE _rn = 1")
+
+
+def not_exists_sql(rel: str, stored: str, key: list[str]) -> str:
+    cond = " AND ".join(f'i."{c}" IS NOT DISTINCT FROM s."{c}"' for c in key)
+    return f"SELECT i.* FROM ({rel}) i WHERE NOT EXISTS (SELECT 1 FROM ({stored}) s WHERE {cond})"
+
+
+def int64_sql(expr: str) -> str:
+    """DuckDB twin of `wattline.functions.numeric.to_int64`."""
+    num = number_sql(expr)
+    return (f"CASE WHEN regexp_matches(trim({expr}), '^[+-]?[0-9]+$') THEN TRY_CAST(trim({expr}) AS BIGINT) "
+            f"WHEN ({num}) = floor({num}) AND abs({num}) < 9.2233720368547758e18 "
+            f"THEN CAST({num} AS BIGINT) END")
+
+
+# ---------------------------------------------------------------------------
+# Weather blocks from `embeddings`: one block per vector, hourly from
+# 2020-01-01 UTC, one value per element.
+# ---------------------------------------------------------------------------
+
+WEATHER_START = 1577836800  # 2020-01-01 00:00:00 UTC
+
+
+def weather_blocks(emb: DataFrame) -> DataFrame:
+    e = F.col("embedding")
+    return emb.select(
+        F.concat(F.lit("vec_"), F.col("vec_id").cast("string")).alias("city"),
+        F.lit(WEATHER_START).cast("long").alias("time"),
+        (F.lit(WEATHER_START) + F.size(e) * 3600).cast("long").alias("time_end"),
+        F.lit(3600).alias("interval"),
+        e.alias("temperature_2m"),
+        F.reverse(e).alias("relative_humidity_2m"),
+        F.transform(e, lambda x: F.abs(x)).alias("snowfall"),
+        F.transform(e, lambda x: x * F.lit(2.0).cast("float")).alias("precipitation"),
+        F.transform(e, lambda x: -x).alias("weather_code"),
+    )
+
+
+WEATHER_HOURLY_SQL = f"""
+  SELECT 'vec_' || CAST(vec_id AS VARCHAR) AS city,
+         make_timestamp(CAST({WEATHER_START} + (i - 1) * 3600 AS BIGINT) * 1000000) AS date,
+         embedding[i] AS temperature_2m,
+         list_reverse(embedding)[i] AS relative_humidity_2m,
+         abs(embedding[i]) AS snowfall,
+         embedding[i] * CAST(2.0 AS FLOAT) AS precipitation,
+         -embedding[i] AS weather_code
+  FROM embeddings, range(1, len(embedding) + 1) r(i)"""
