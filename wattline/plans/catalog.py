@@ -431,3 +431,281 @@ def _agg09_sql() -> str:
 def agg_09(spark, sf_dir):
     out = profile.correlations(S.table(spark, sf_dir, "lineitem"), _CORR_COLS)
     return out.withColumn("r", F.round("r", 8))
+
+
+# ---------------------------------------------------------------------------
+# Model split, fit and scoring (ML-*)
+# ---------------------------------------------------------------------------
+
+@register("ml_01", f"SELECT o_orderkey, {split_sql('o_orderkey')} AS is_test FROM orders")
+def ml_01(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", test_flag(F.col("o_orderkey")).alias("is_test"))
+
+
+@register("ml_02", """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept
+FROM lineitem
+""")
+def ml_02(spark, sf_dir):
+    from wattline.ml.models import linear_regression
+    li = S.table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    model = linear_regression(["l_quantity"], "l_extendedprice").fit(li).stages[-1]
+    return spark.range(1).select(F.round(F.lit(float(model.coefficients[0])), 4).alias("slope"),
+                                 F.round(F.lit(float(model.intercept)), 4).alias("intercept"))
+
+
+_OLS2_SQL = """
+SELECT round(b1, 4) AS b_quantity, round(b2, 4) AS b_discount, round(my - b1 * m1 - b2 * m2, 4) AS intercept
+FROM (
+  SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+         (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my
+  FROM (SELECT covar_pop(l_quantity, l_quantity) AS s11, covar_pop(l_discount, l_discount) AS s22,
+               covar_pop(l_quantity, l_discount) AS s12, covar_pop(l_quantity, l_extendedprice) AS s1y,
+               covar_pop(l_discount, l_extendedprice) AS s2y,
+               avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_extendedprice) AS my FROM lineitem) m) b
+"""
+
+
+@register("ml_02_two", _OLS2_SQL)
+def ml_02_two(spark, sf_dir):
+    from wattline.ml.models import linear_regression
+    li = S.table(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_extendedprice")
+    model = linear_regression(["l_quantity", "l_discount"], "l_extendedprice").fit(li).stages[-1]
+    c = [float(x) for x in model.coefficients]
+    return spark.range(1).select(F.round(F.lit(c[0]), 4).alias("b_quantity"),
+                                 F.round(F.lit(c[1]), 4).alias("b_discount"),
+                                 F.round(F.lit(float(model.intercept)), 4).alias("intercept"))
+
+
+def _part_points(spark, sf_dir):
+    p = S.table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey"), F.col("p_size").cast("double").alias("size"),
+                    to_number(F.substring_index("p_brand", "#", -1)).alias("brand"),
+                    F.col("p_retailprice"), test_flag(F.col("p_partkey")).alias("is_test"))
+
+
+_PART_SQL = (f"SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS size, "
+             f"CAST(split_part(p_brand, '#', 2) AS DOUBLE) AS brand, p_retailprice AS y, "
+             f"{split_sql('p_partkey')} AS is_test FROM part")
+
+_KNN_SQL = f"""
+SELECT qid AS p_partkey, round(avg(y), 6) AS prediction FROM (
+  SELECT q.id AS qid, t.y,
+         row_number() OVER (PARTITION BY q.id ORDER BY (q.size - t.size) * (q.size - t.size)
+                                                   + (q.brand - t.brand) * (q.brand - t.brand), t.id) AS rn
+  FROM ({_PART_SQL}) q JOIN ({_PART_SQL}) t ON q.is_test AND NOT t.is_test) r
+WHERE rn <= 7 GROUP BY qid
+"""
+
+
+@register("ml_04", _KNN_SQL)
+def ml_04(spark, sf_dir):
+    pts = _part_points(spark, sf_dir)
+    train = pts.where(~F.col("is_test"))
+    test = pts.where(F.col("is_test"))
+    pred = knn_predict(train, test, ["size", "brand"], "p_retailprice", "p_partkey", k=7)
+    return pred.select("p_partkey", F.round("prediction", 6).alias("prediction"))
+
+
+_MODELS_SQL = """
+  SELECT 'scaled' AS model, 0 AS ordinal, o_totalprice AS label, 0.9 * o_totalprice + 1000 AS prediction FROM orders
+  UNION ALL SELECT 'exact', 1, o_totalprice, o_totalprice FROM orders
+  UNION ALL SELECT 'mean', 2, o_totalprice, (SELECT avg(o_totalprice) FROM orders) FROM orders
+  UNION ALL SELECT 'exact_again', 3, o_totalprice, o_totalprice FROM orders"""
+
+
+def _model_predictions(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders").select(F.col("o_totalprice").alias("label"))
+    mean = o.agg(F.avg("label")).scalar()
+    preds = [("scaled", 0, F.lit(0.9) * F.col("label") + F.lit(1000)), ("exact", 1, F.col("label")),
+             ("mean", 2, mean), ("exact_again", 3, F.col("label"))]
+    frames = [o.select(F.lit(n).alias("model"), F.lit(i).alias("ordinal"), "label",
+                       p.cast("double").alias("prediction")) for n, i, p in preds]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
+
+
+@register("ml_07", f"""
+SELECT model, ordinal, round({_R2_SQL}, 8) AS r2, round({_RMSE_SQL}, 4) AS rmse, round({_MAPE_SQL}, 6) AS mape,
+       count(*) AS n, count(*) FILTER (WHERE label = 0) AS zero_labels
+FROM ({_MODELS_SQL}) p GROUP BY model, ordinal
+""")
+def ml_07(spark, sf_dir):
+    m = M.evaluate(_model_predictions(spark, sf_dir), by=["model", "ordinal"])
+    return m.select("model", "ordinal", F.round("r2", 8).alias("r2"), F.round("rmse", 4).alias("rmse"),
+                    F.round("mape", 6).alias("mape"), "n", "zero_labels")
+
+
+@register("ml_08", f"""
+SELECT arg_max(model, (r2, -ordinal)) FILTER (WHERE r2 > -999 AND NOT isnan(r2)) AS best_model,
+       round(max(r2) FILTER (WHERE r2 > -999 AND NOT isnan(r2)), 8) AS best_r2
+FROM (SELECT model, ordinal, {_R2_SQL} AS r2 FROM ({_MODELS_SQL}) p GROUP BY model, ordinal) m
+""")
+def ml_08(spark, sf_dir):
+    m = M.evaluate(_model_predictions(spark, sf_dir), by=["model", "ordinal"])
+    return M.best_model(m).select("best_model", F.round("best_r2", 8).alias("best_r2"))
+
+
+# ---------------------------------------------------------------------------
+# Sinks (SNK-*): each writes a fresh table under the shared folder and
+# returns what was stored, read back from the files.
+# ---------------------------------------------------------------------------
+
+_KEYED = S.CONSUMPTION_KEY
+_TABLE_COLS = '"périmètre", nature, date, heures, consommation'
+
+
+def _write_stored(spark, rows, path):
+    stored = tables.first_per_key(S.stored_rows(rows), _KEYED, ["event_id"]).drop("event_id")
+    tables.append(stored, path)
+
+
+@register("snk_01", f"""
+SELECT {_TABLE_COLS} FROM ({S.first_per_key_sql(S.STORED_SQL, _KEYED, 'event_id')}) s
+UNION ALL
+SELECT {_TABLE_COLS} FROM ({S.not_exists_sql(S.first_per_key_sql(S.CONSUMPTION_SQL, _KEYED, 'event_id'),
+                                              S.STORED_SQL, _KEYED)}) n
+""")
+def snk_01(spark, sf_dir):
+    rows = S.consumption_rows(S.table(spark, sf_dir, "events"))
+    path = fresh_location(spark, "consumption")
+    _write_stored(spark, rows, path)
+    tables.insert_if_absent(spark, path, rows, _KEYED, ["event_id"])
+    return spark.read.parquet(path)
+
+
+_DAILY_SQL = f"""
+  SELECT "périmètre" || '_' || date AS db_id, "périmètre" AS city, date,
+         CAST(consommation AS DOUBLE) AS reading, event_id, nature FROM ({S.CONSUMPTION_SQL}) c"""
+
+
+def _daily(rows):
+    return rows.select(F.concat_ws("_", "périmètre", "date").alias("db_id"), F.col("périmètre").alias("city"),
+                       "date", F.col("consommation").cast("double").alias("reading"), "event_id", "nature")
+
+
+@register("snk_02", f"""
+SELECT db_id, city, date, reading FROM ({S.not_exists_sql(
+    S.first_per_key_sql(_DAILY_SQL, ['db_id'], 'event_id'),
+    f"SELECT * FROM ({_DAILY_SQL}) d WHERE nature = 'purchase'", ['db_id'])}) n
+""")
+def snk_02(spark, sf_dir):
+    daily = _daily(S.consumption_rows(S.table(spark, sf_dir, "events")))
+    path = fresh_location(spark, "daily")
+    first_purchase = tables.first_per_key(daily.where(F.col("nature") == "purchase"), ["db_id"], ["event_id"])
+    tables.append(first_purchase.select("db_id", "city", "date", "reading"), path)
+    inserted = tables.insert_if_absent(spark, path, daily.drop("nature"), ["db_id"], ["event_id"])
+    return inserted
+
+
+@register("snk_03", f"""
+SELECT {_TABLE_COLS} FROM ({S.STORED_SQL}) s
+UNION ALL SELECT {_TABLE_COLS} FROM ({S.CONSUMPTION_SQL}) c
+""")
+def snk_03(spark, sf_dir):
+    rows = S.consumption_rows(S.table(spark, sf_dir, "events")).drop("event_id")
+    path = fresh_location(spark, "appended")
+    tables.append(S.stored_rows(rows), path)
+    tables.append(rows, path)
+    return spark.read.parquet(path)
+
+
+def _snk04_sql() -> str:
+    given = {"périmètre": '"périmètre"', "nature": "nature", "date": "date", "heures": "heures",
+             "consommation": "CAST(consommation AS INTEGER)"}
+    cols = []
+    for c in CONSUMPTION_COLUMNS:
+        if c in given:
+            cols.append(f'{given[c]} AS "{c}"')
+        else:
+            t = "VARCHAR" if c == "stockage_batterie" else "INTEGER"
+            cols.append(f'CAST(NULL AS {t}) AS "{c}"')
+    return f"SELECT {', '.join(cols)} FROM ({S.CONSUMPTION_SQL}) c"
+
+
+@register("snk_04", _snk04_sql())
+def snk_04(spark, sf_dir):
+    from wattline.contracts import CONSUMPTION_TABLE_SCHEMA
+    rows = S.consumption_rows(S.table(spark, sf_dir, "events")).drop("event_id")
+    path = fresh_location(spark, "consumption40")
+    tables.create_table_if_absent(spark, path, CONSUMPTION_TABLE_SCHEMA)
+    tables.create_table_if_absent(spark, path, CONSUMPTION_TABLE_SCHEMA)  # second call: no-op
+    conformed = clean.conform_by_name(rows, CONSUMPTION_COLUMNS)
+    tables.append(tables.to_table_schema(conformed, CONSUMPTION_TABLE_SCHEMA), path)
+    return spark.read.parquet(path)
+
+
+def _raw_consumption(ev):
+    """Raw text readings: fractional text for clicks, 32-bit overflow for large values."""
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    text = (F.when(F.col("event_type") == "click", F.col("value").cast("string"))
+            .when(F.col("value") > 300, (cents * 10000000).cast("string"))
+            .otherwise(cents.cast("string")))
+    return ev.select("event_id", F.col("event_type").alias("nature"), text.alias("consommation"))
+
+
+_RAW_SQL = """
+  SELECT event_id, event_type AS nature,
+         CASE WHEN event_type = 'click' THEN CAST(value AS VARCHAR)
+              WHEN value > 300 THEN CAST(CAST(round(value * 100) AS BIGINT) * 10000000 AS VARCHAR)
+              ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END AS consommation
+  FROM events"""
+
+
+def _reasons_sql(c: str) -> str:
+    i64 = S.int64_sql(c)
+    num = S.number_sql(c)
+    frac = f"(({num}) IS NOT NULL AND ({i64}) IS NULL)"
+    over = f"(({i64}) < -2147483648 OR ({i64}) > 2147483647)"
+    return (f"list_filter([CASE WHEN {frac} THEN '{c}:fraction' END, CASE WHEN COALESCE({over}, false) "
+            f"THEN '{c}:int32' END], lambda x: x IS NOT NULL)")
+
+
+@register("snk_06_valid", f"""
+SELECT event_id, nature, CAST({S.int64_sql('consommation')} AS INTEGER) AS consommation
+FROM ({_RAW_SQL}) r WHERE len({_reasons_sql('consommation')}) = 0
+""")
+def snk_06_valid(spark, sf_dir):
+    raw = _raw_consumption(S.table(spark, sf_dir, "events"))
+    valid, _ = tables.split_valid(raw, clean.reject_reasons(raw, ["consommation"]))
+    return valid.select("event_id", "nature", to_int64(F.col("consommation")).cast("int").alias("consommation"))
+
+
+@register("snk_06_rejected", f"""
+SELECT event_id, consommation, array_to_string({_reasons_sql('consommation')}, ',') AS reasons
+FROM ({_RAW_SQL}) r WHERE len({_reasons_sql('consommation')}) > 0
+""")
+def snk_06_rejected(spark, sf_dir):
+    raw = _raw_consumption(S.table(spark, sf_dir, "events"))
+    _, rejected = tables.split_valid(raw, clean.reject_reasons(raw, ["consommation"]))
+    return rejected.select("event_id", "consommation", F.array_join("reasons", ",").alias("reasons"))
+
+
+@register("snk_08", """
+SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS "year" FROM orders
+WHERE year(o_orderdate) = 1997
+""")
+def snk_08(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders")
+    path = fresh_location(spark, "by_year")
+    tables.append(o.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year")), path,
+                  partition_by=["year"])
+    back = spark.read.parquet(path)
+    return back.where(F.col("year") == 1997).select("o_orderkey", "o_totalprice", "year")
+
+
+@register("snk_09", f"SELECT * FROM ({S.HOURLY_SQL}) h")
+def snk_09(spark, sf_dir):
+    path = fresh_location(spark, "conso_features")
+    hourly_rows = hourly.aggregate_hourly(_readings(spark, sf_dir), order_cols=["_row_order"])
+    tables.append(hourly_rows, path)
+    return spark.read.parquet(path)
+
+
+@register("snk_09_weather", S.WEATHER_HOURLY_SQL)
+def snk_09_weather(spark, sf_dir):
+    path = fresh_location(spark, "meteo_data")
+    hourly_wx = weather.expand_blocks(S.weather_blocks(S.table(spark, sf_dir, "embeddings")))
+    tables.append(hourly_wx.withColumn("date", F.col("date").cast("timestamp_ntz")), path)
+    return spark.read.parquet(path)
