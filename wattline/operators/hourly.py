@@ -16,8 +16,8 @@ from wattline.operators.clean import (
     drop_identifiers, fill_zero, is_numeric, sentinel_to_null, valid_time, with_reading_time,
 )
 
-# Hidden ordering columns carried by loaded frames: row order inside a file.
-ORDER_COLUMNS = ["_file_order", "_row_order"]
+# Row order carried by loaded frames: file name, split offset, row id.
+ORDER_COLUMNS = ["source_file", "_block_start", "_row_id"]
 _INTERNAL = {"datetime", "hour_ts"}
 
 
@@ -45,7 +45,7 @@ def hourly_aggregate(df: DataFrame, order_cols: list[str] | None = None,
     """
     order_cols = [c for c in (order_cols if order_cols is not None else ORDER_COLUMNS)
                   if c in df.columns]
-    hidden = set(order_cols) | {c for c in df.columns if c.startswith("_")}
+    hidden = {c for c in df.columns if c.startswith("_")}
     if numeric == "mean" and TARGET in df.columns:
         df = df.withColumn(TARGET, to_number(F.col(TARGET)))
     types = {f.name: f.dataType for f in df.schema.fields}
