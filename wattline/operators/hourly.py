@@ -76,16 +76,20 @@ def create_features(df: DataFrame, order_cols: list[str] | None = None,
     return fill_zero(drop_identifiers(with_cal))
 
 
-def training_frame(features: DataFrame, target: str = TARGET) -> DataFrame:
+def training_frame(features: DataFrame, target: str = TARGET,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
     """Numeric target and features (PRJ-10, PRJ-11).
 
     Text columns (the target among them) are read as numbers, anything else
     -> null, and every null becomes 0. Numeric columns keep their type.
+    Columns in `keep` pass through unchanged.
     """
     cols = []
     for f in features.schema.fields:
         c = F.col(f"`{f.name}`")
-        if is_numeric(f.dataType):
+        if f.name in keep:
+            cols.append(c)
+        elif is_numeric(f.dataType):
             cols.append(F.coalesce(c, F.lit(0).cast(f.dataType)).alias(f.name))
         else:
             cols.append(F.coalesce(to_number(c), F.lit(0.0)).alias(f.name))

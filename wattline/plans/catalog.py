@@ -709,3 +709,75 @@ def snk_09_weather(spark, sf_dir):
     hourly_wx = weather.expand_blocks(S.weather_blocks(S.table(spark, sf_dir, "embeddings")))
     tables.append(hourly_wx.withColumn("date", F.col("date").cast("timestamp_ntz")), path)
     return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------------------
+# File loading over files derived from `events` (SRC-01..06): the readings
+# are written as Latin-1 delimited text, ';' for views and clicks and tab
+# for the rest, into one directory, then loaded back by separator sniffing.
+# ---------------------------------------------------------------------------
+
+@register("src_01", """
+SELECT perimetre, nature, date, heures,
+       CASE WHEN consommation IN ('NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null') THEN NULL
+            ELSE consommation END AS consommation
+FROM (""" + S.READINGS_SQL + ") r")
+def src_01(spark, sf_dir):
+    from wattline.sources.delimited import load_all_data
+    r = _readings(spark, sf_dir).drop("_row_order", "source_file")
+    path = fresh_location(spark, "landing")
+    semi = r.where(F.col("nature").isin("view", "click"))
+    tab = r.where(~F.col("nature").isin("view", "click"))
+    for part, sep in ((semi, ";"), (tab, "\t")):
+        (part.write.mode("append").option("header", "true").option("sep", sep)
+         .option("encoding", "ISO-8859-1").csv(path))
+    loaded = load_all_data(spark, path)
+    return loaded.select("perimetre", "nature", "date", "heures", "consommation")
+
+
+# ---------------------------------------------------------------------------
+# Model fits on the hourly feature rows (rows-only checks: Spark's learners
+# are not bit-comparable to a SQL oracle)
+# ---------------------------------------------------------------------------
+
+def _training_rows(spark, sf_dir):
+    from wattline.plans.training import hourly_training_rows
+    return hourly_training_rows(_readings(spark, sf_dir), order_cols=["_row_order"])
+
+
+@register("ml_03")
+def ml_03(spark, sf_dir):
+    from wattline.ml.models import random_forest
+    rows = _training_rows(spark, sf_dir)
+    feats = [c for c in rows.columns if c not in ("row_id", "is_test", "consommation")]
+    train, test = rows.where(~F.col("is_test")), rows.where(F.col("is_test"))
+    model = random_forest(feats).fit(train)
+    return M.evaluate(model.transform(test).select(F.col("consommation").alias("label"), "prediction"))
+
+
+@register("ml_05")
+def ml_05(spark, sf_dir):
+    from wattline.plans.training import run_training
+    res = run_training(spark, _readings(spark, sf_dir), order_cols=["_row_order"])
+    return res.metrics
+
+
+@register("ml_06")
+def ml_06(spark, sf_dir):
+    from wattline.ml.models import linear_regression, predict
+    rows = _training_rows(spark, sf_dir)
+    feats = [c for c in rows.columns if c not in ("row_id", "is_test", "consommation")]
+    model = linear_regression(feats).fit(rows.where(~F.col("is_test")))
+    return predict(model, rows.where(F.col("is_test")), id_col="row_id")
+
+
+@register("ml_11")
+def ml_11(spark, sf_dir):
+    from wattline.ml import registry
+    from wattline.plans.training import run_training
+    root = fresh_location(spark, "registry")
+    res = run_training(spark, _readings(spark, sf_dir), order_cols=["_row_order"], registry_root=root)
+    model = registry.pull(spark, root, "load_model")
+    rows = _training_rows(spark, sf_dir).where(F.col("is_test"))
+    from wattline.ml.models import predict
+    return predict(model, rows, id_col="row_id").withColumn("model", F.lit(res.best))
