@@ -2,83 +2,155 @@
 
 One exchange on `hour_ts`; partial aggregation runs before it, so a hot hour
 is combined map-side instead of landing whole in one task.
+
+The chain is built as three DataFrame steps (prepare, group, finish), with
+output columns and types worked out from one read of the input schema: a
+long chain of small steps costs analysis time on the driver for nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wattline.contracts import TARGET
+from wattline.contracts import IDENTIFIER_COLUMNS, MISSING_SENTINEL, TARGET
 from wattline.functions.numeric import to_number
-from wattline.functions.timefmt import calendar_columns
-from wattline.operators.clean import (
-    drop_identifiers, fill_zero, is_numeric, sentinel_to_null, valid_time, with_reading_time,
-)
+from wattline.functions.timefmt import calendar_columns, floor_hour, reading_timestamp
+from wattline.operators.clean import is_numeric
 
 # Row order carried by loaded frames: file name, split offset, row id.
 ORDER_COLUMNS = ["source_file", "_block_start", "_row_id"]
 _INTERNAL = {"datetime", "hour_ts"}
 
 
+def _q(c: str) -> Column:
+    return F.col(f"`{c}`")
+
+
 def _first_expr(c: str, order_cols: list[str]) -> Column:
     """First non-null value of `c` in (datetime, *order_cols) order (AGG-02).
 
-    `min_by` with a FILTER gives the same answer however rows are
-    partitioned, unlike `first`, which depends on arrival order.
+    The minimum of struct(order..., value) over the non-null rows: the
+    answer is the same however rows are partitioned, unlike `first`, which
+    depends on arrival order. (Same result as `min_by(value, order)`, but
+    one comparison buffer instead of two, measurably cheaper.)
     """
-    keys = ", ".join(["datetime"] + [f"`{o}`" for o in order_cols])
-    return F.expr(f"min_by(`{c}`, struct({keys})) FILTER (WHERE `{c}` IS NOT NULL)").alias(c)
+    keys = ", ".join(["datetime"] + [f"`{o}`" for o in order_cols] + [f"`{c}` AS v"])
+    return F.expr(f"min(struct({keys})) FILTER (WHERE `{c}` IS NOT NULL)").getField("v").alias(c)
+
+
+def _plan(fields: list[T.StructField], order_cols: list[str] | None, numeric: str):
+    """Which columns are averaged, which take their first value, in output order."""
+    names = [f.name for f in fields]
+    order_cols = [c for c in (order_cols if order_cols is not None else ORDER_COLUMNS) if c in names]
+    types = {f.name: f.dataType for f in fields}
+    if numeric == "mean" and TARGET in types:
+        types[TARGET] = T.DoubleType()
+    hidden = {c for c in names if c.startswith("_")}
+    numeric_cols = [c for c in names if c not in hidden and is_numeric(types[c])]
+    mean = TARGET in numeric_cols
+    firsts = sorted(c for c in names if c not in hidden and c not in _INTERNAL and c not in numeric_cols)
+    out_types = ([(TARGET, T.DoubleType())] if mean else []) + [(c, types[c]) for c in firsts]
+    return order_cols, mean, firsts, out_types
+
+
+def _grouped(prepared: DataFrame, order_cols: list[str], mean: bool, firsts: list[str]) -> DataFrame:
+    aggs = ([F.avg(_q(TARGET)).alias(TARGET)] if mean else []) + [_first_expr(c, order_cols) for c in firsts]
+    hour = floor_hour(F.col("datetime")).alias("hour_ts")
+    if not aggs:
+        return prepared.select(hour).distinct()
+    return prepared.groupBy(hour).agg(*aggs)
 
 
 def hourly_aggregate(df: DataFrame, order_cols: list[str] | None = None,
                      numeric: str = "auto") -> DataFrame:
-    """Group prepared readings by `hour_ts` (AGG-01 + AGG-02).
+    """Group readings that already carry `datetime` by its hour (AGG-01 + AGG-02).
 
-    Input needs `datetime` and `hour_ts` (see `with_reading_time`). A numeric
-    `consommation` is averaged and every other numeric column is dropped;
-    each non-numeric column keeps its first non-null value in
+    A numeric `consommation` is averaged and every other numeric column is
+    dropped; each non-numeric column keeps its first non-null value in
     (datetime, *order_cols) order. Output: `datetime` (the hour), then
     `consommation` when averaged, then the other columns alphabetically.
-
     numeric='mean' forces the mean: `consommation` is read as a number first.
     """
-    order_cols = [c for c in (order_cols if order_cols is not None else ORDER_COLUMNS)
-                  if c in df.columns]
-    hidden = {c for c in df.columns if c.startswith("_")}
+    order_cols, mean, firsts, _ = _plan(df.schema.fields, order_cols, numeric)
     if numeric == "mean" and TARGET in df.columns:
-        df = df.withColumn(TARGET, to_number(F.col(TARGET)))
-    types = {f.name: f.dataType for f in df.schema.fields}
-    numeric_cols = [c for c in df.columns if c not in hidden and is_numeric(types[c])]
-    other = sorted(c for c in df.columns
-                   if c not in hidden and c not in _INTERNAL and c not in numeric_cols)
-    aggs = []
-    if TARGET in numeric_cols:
-        aggs.append(F.avg(F.col(TARGET)).alias(TARGET))
-    aggs += [_first_expr(c, order_cols) for c in other]
-    out = df.groupBy("hour_ts").agg(*aggs) if aggs else df.select("hour_ts").distinct()
+        df = df.withColumn(TARGET, to_number(_q(TARGET)))
+    out = _grouped(df, order_cols, mean, firsts)
     return out.withColumnRenamed("hour_ts", "datetime")
 
 
+def _prepare(df: DataFrame, numeric: str) -> tuple[DataFrame, list[T.StructField]]:
+    """Sentinel -> null in text columns (PRJ-05) and the parsed `datetime` (PRJ-06), one select."""
+    fields = df.schema.fields
+    cleaned = {f.name: (F.nullif(_q(f.name), F.lit(MISSING_SENTINEL))
+                        if isinstance(f.dataType, T.StringType) else _q(f.name)) for f in fields}
+    if numeric == "mean" and TARGET in cleaned:
+        cleaned[TARGET] = to_number(cleaned[TARGET])
+    ts = reading_timestamp(cleaned["date"], cleaned["heures"]).alias("datetime")
+    return df.select(*[e.alias(n) for n, e in cleaned.items()], ts), fields
+
+
 def aggregate_hourly(df: DataFrame, order_cols: list[str] | None = None,
                      numeric: str = "auto") -> DataFrame:
-    """The whole hourly operator (AGG-03): sentinel -> time -> drop bad -> group."""
-    prepared = valid_time(with_reading_time(sentinel_to_null(df)))
-    return hourly_aggregate(prepared, order_cols, numeric)
+    """The whole hourly operator (AGG-03): sentinel -> time -> group -> drop bad.
+
+    Rows whose timestamp does not parse all fall in the null hour, which is
+    dropped after the grouping (FLT-03). Filtering before the grouping gives
+    the same rows, but the optimizer would inline the timestamp parse into
+    the filter and evaluate it twice per row.
+    """
+    prepared, fields = _prepare(df, numeric)
+    order_cols, mean, firsts, out_types = _plan(fields, order_cols, numeric)
+    grouped = _grouped(prepared, order_cols, mean, firsts)
+    return (grouped.where(F.col("hour_ts").isNotNull())
+            .select(F.col("hour_ts").alias("datetime"), *[_q(c) for c, _ in out_types]))
+
+
+def _finish(grouped: DataFrame, out_types: list[tuple[str, T.DataType]], numeric_target: bool) -> DataFrame:
+    """Calendar (PRJ-08), drop identifiers (PRJ-09), zero fill (PRJ-10) and, when
+    `numeric_target`, text read as numbers (PRJ-11), in one select."""
+    cols = []
+    for name, dtype in out_types:
+        if name in IDENTIFIER_COLUMNS:
+            continue
+        c = _q(name)
+        if is_numeric(dtype):
+            cols.append(F.coalesce(c, F.lit(0).cast(dtype)).alias(name))
+        elif numeric_target:
+            cols.append(F.coalesce(to_number(c), F.lit(0.0)).alias(name))
+        elif isinstance(dtype, T.StringType):
+            cols.append(F.coalesce(c, F.lit("0")).alias(name))
+        else:
+            cols.append(c)
+    cal = calendar_columns(F.col("hour_ts"))
+    cols += [v.alias(k) for k, v in cal.items()]
+    return grouped.where(F.col("hour_ts").isNotNull()).select(*cols)
 
 
 def create_features(df: DataFrame, order_cols: list[str] | None = None,
                     numeric: str = "auto") -> DataFrame:
     """Hourly feature table (AGG-10 core): aggregate, calendar, drop ids, zero fill."""
-    hourly = aggregate_hourly(df, order_cols, numeric)
-    cal = calendar_columns(F.col("datetime"))
-    with_cal = hourly.select("*", *[v.alias(k) for k, v in cal.items()])
-    return fill_zero(drop_identifiers(with_cal))
+    prepared, fields = _prepare(df, numeric)
+    order_cols, mean, firsts, out_types = _plan(fields, order_cols, numeric)
+    return _finish(_grouped(prepared, order_cols, mean, firsts), out_types, numeric_target=False)
+
+
+def feature_table(df: DataFrame, order_cols: list[str] | None = None,
+                  numeric: str = "auto") -> DataFrame:
+    """Flagship (AGG-10 end to end): readings -> hourly features with a numeric target.
+
+    Text columns (the target among them) are read as numbers, anything else
+    -> null, and every null becomes 0 (PRJ-10, PRJ-11).
+    """
+    prepared, fields = _prepare(df, numeric)
+    order_cols, mean, firsts, out_types = _plan(fields, order_cols, numeric)
+    return _finish(_grouped(prepared, order_cols, mean, firsts), out_types, numeric_target=True)
 
 
 def training_frame(features: DataFrame, target: str = TARGET,
                    keep: tuple[str, ...] = ()) -> DataFrame:
-    """Numeric target and features (PRJ-10, PRJ-11).
+    """Numeric target and features (PRJ-10, PRJ-11) for an existing feature frame.
 
     Text columns (the target among them) are read as numbers, anything else
     -> null, and every null becomes 0. Numeric columns keep their type.
@@ -86,7 +158,7 @@ def training_frame(features: DataFrame, target: str = TARGET,
     """
     cols = []
     for f in features.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = _q(f.name)
         if f.name in keep:
             cols.append(c)
         elif is_numeric(f.dataType):
@@ -96,13 +168,5 @@ def training_frame(features: DataFrame, target: str = TARGET,
     return features.select(*cols)
 
 
-def feature_table(df: DataFrame, order_cols: list[str] | None = None,
-                  numeric: str = "auto") -> DataFrame:
-    """Flagship (AGG-10 end to end): readings -> hourly features with a numeric target."""
-    return training_frame(create_features(df, order_cols, numeric))
-
-
 def feature_columns(df: DataFrame, target: str = TARGET) -> list[str]:
     return [c for c in df.columns if c != target]
-
-

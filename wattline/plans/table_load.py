@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from wattline.contracts import (
     CONSUMPTION_COLUMNS, CONSUMPTION_INT_COLUMNS, CONSUMPTION_KEY, CONSUMPTION_TABLE_SCHEMA,
+    CONSUMPTION_TEXT_COLUMNS,
 )
 from wattline.functions.names import clean_colname
+from wattline.functions.numeric import to_int64
 from wattline.operators import clean, tables
-from wattline.sources.delimited import LOADED_ORDER, load_all_data
+from wattline.sources.delimited import LOADED_ORDER, list_files, load_files
 
 
 def conform_loaded(df: DataFrame, mode: str = "name") -> DataFrame:
@@ -24,23 +26,30 @@ def conform_loaded(df: DataFrame, mode: str = "name") -> DataFrame:
     mode='name' (default) matches each table column with the loaded column
     of the same cleaned name, so the lineage column can neither be cut nor
     shift the rest. mode='position' maps by position after dropping
-    `source_file` (PRJ-02).
+    `source_file` (PRJ-02). One projection either way.
     """
     order = [c for c in LOADED_ORDER if c in df.columns]
-    data = df.drop(*[c for c in df.columns if c.startswith("_")], "source_file")
+    data = [c for c in df.columns if not c.startswith("_") and c != "source_file"]
     if mode == "position":
-        conformed = clean.conform_positional(data, CONSUMPTION_COLUMNS)
+        sources = [data[i] if i < len(data) else None for i in range(len(CONSUMPTION_COLUMNS))]
     else:
-        source = [clean_colname(c) for c in CONSUMPTION_COLUMNS]
-        conformed = clean.conform_by_name(data, CONSUMPTION_COLUMNS, source)
-    conformed = conformed.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in CONSUMPTION_COLUMNS])
-    return conformed.select("*", *[df[c] for c in order]) if order else conformed
+        present = set(data)
+        sources = [n if n in present else None for n in (clean_colname(c) for c in CONSUMPTION_COLUMNS)]
+    cols = [(F.col(f"`{s}`").cast("string") if s else F.lit(None).cast("string")).alias(t)
+            for s, t in zip(sources, CONSUMPTION_COLUMNS)]
+    return df.select(*cols, *[F.col(c) for c in order])
 
 
 def load_table(spark: SparkSession, data_dir: str, table_path: str, rejected_path: str,
                mode: str = "name") -> dict:
-    """Run the whole load; returns counts of inserted and rejected rows."""
-    raw = load_all_data(spark, data_dir)
+    """Run the whole load over a directory; returns counts of inserted and rejected rows."""
+    return load_table_files(spark, list_files(spark, data_dir), table_path, rejected_path, mode)
+
+
+def load_table_files(spark: SparkSession, paths: list[str], table_path: str, rejected_path: str,
+                     mode: str = "name") -> dict:
+    """The load for an explicit list of files."""
+    raw = load_files(spark, paths)
     if not raw.columns:
         tables.create_table_if_absent(spark, table_path, CONSUMPTION_TABLE_SCHEMA)
         return {"inserted": 0, "rejected": 0}
@@ -48,12 +57,12 @@ def load_table(spark: SparkSession, data_dir: str, table_path: str, rejected_pat
     reasons = clean.reject_reasons(conformed, CONSUMPTION_INT_COLUMNS)
     valid, rejected = tables.split_valid(conformed, reasons)
     order = [c for c in LOADED_ORDER if c in conformed.columns]
-    typed = clean.cast_consumption(valid.select(*CONSUMPTION_COLUMNS)).select(
-        "*", *[valid[c] for c in order])
-    typed = clean.nan_to_null_all(typed)
+    text = set(CONSUMPTION_TEXT_COLUMNS)
+    typed = valid.select(*[(F.col(f"`{c}`") if c in text else to_int64(F.col(f"`{c}`"))).alias(c)
+                           for c in CONSUMPTION_COLUMNS], *order)
     inserted = tables.insert_if_absent(spark, table_path, typed, CONSUMPTION_KEY, order,
                                        schema=CONSUMPTION_TABLE_SCHEMA)
     rej = rejected.select(*[F.col(f"`{k}`") for k in CONSUMPTION_KEY],
                           F.array_join("reasons", ",").alias("reasons"), *order)
     tables.append(rej, rejected_path)
-    return {"inserted": inserted.count(), "rejected": spark.read.parquet(rejected_path).count()}
+    return {"inserted": inserted.count(), "rejected": rej.count()}

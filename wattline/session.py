@@ -72,3 +72,4 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_location(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared root (one per written table)."""
     return f"{shared_root(spark)}/wattline/{name}-{uuid.uuid4().hex[:12]}"
+

@@ -147,7 +147,12 @@ def load_all_data(spark: SparkSession, data_dir: str) -> DataFrame:
     Missing directory -> FileNotFoundError; no matching file -> an empty
     frame; a file whose separator cannot be detected -> ValueError naming it.
     """
-    paths = list_files(spark, data_dir)
+    return load_files(spark, list_files(spark, data_dir))
+
+
+def load_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """`load_all_data` for an explicit list of files."""
+    paths = sorted(paths)
     if not paths:
         return spark.createDataFrame([], T.StructType([]))
     plan = sniff(spark, paths)
