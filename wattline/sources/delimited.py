@@ -80,7 +80,11 @@ def sniff(spark: SparkSession, paths: list[str],
           candidates: list[str] = SEPARATOR_CANDIDATES) -> list[dict]:
     """Per file: chosen separator and header cells (or the reason it failed)."""
     lines = _lines(spark, paths)
-    widths = [F.size(F.split(F.col("value"), _sep_regex(s), -1)).alias(f"w{i}")
+    v = F.col("value")
+    quoted = F.instr(v, '"') > 0
+    # fields = separators + 1; the quote-aware split only for lines holding a quote
+    widths = [F.when(quoted, F.size(F.split(v, _sep_regex(s), -1)))
+              .otherwise(F.length(v) - F.length(F.replace(v, F.lit(s), F.lit(""))) + 1).alias(f"w{i}")
               for i, s in enumerate(candidates)]
     wl = lines.select("file_path", "ord", "value", *widths)
     w = Window.partitionBy("file_path").orderBy("ord")
