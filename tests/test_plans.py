@@ -30,6 +30,17 @@ def test_table_load_idempotent(spark, workdir):
     assert again["inserted"] == 0 and spark.read.parquet(t).count() == 2
 
 
+def test_table_load_by_year(spark, workdir):
+    d = os.path.join(workdir, "in")
+    _file(os.path.join(d, "a.csv"), ["France;Déf;2012-01-01;00:00;1;1", "France;Déf;01/01/2013;00:00;2;1"])
+    t, r = os.path.join(workdir, "t"), os.path.join(workdir, "r")
+    assert load_table(spark, d, t, r, by_year=True)["inserted"] == 2
+    assert sorted(os.listdir(t))[:2] == ["_SUCCESS", "year=2012"] or "year=2013" in os.listdir(t)
+    _file(os.path.join(d, "b.csv"), ["France;Déf;2012-01-01;00:00;5;1", "France;Déf;2014-01-01;00:00;3;1"])
+    assert load_table(spark, d, t, r, by_year=True)["inserted"] == 1
+    assert spark.read.parquet(t).count() == 3
+
+
 def test_incremental_stream_loads_new_files_once(spark, workdir):
     land = os.path.join(workdir, "land")
     t, r = os.path.join(workdir, "t"), os.path.join(workdir, "r")

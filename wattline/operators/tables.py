@@ -145,7 +145,9 @@ def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: list
 
     Inside the batch the first row of each key (by `order_cols`) wins; keys
     match null-safely. The table is created when absent. Returns the rows
-    that were inserted.
+    that were inserted. With `partition_by` (columns derived from the key,
+    e.g. the year of the date) the table is partitioned and only the
+    partitions present in the batch are read for the key check.
 
     The new rows are checkpointed (to the shared `spark.checkpoint.dir`)
     before the append: that fixes them once, so the returned frame does not
@@ -155,6 +157,12 @@ def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: list
     shared_root(spark)
     schema = schema or T.StructType([f for f in batch.schema.fields if f.name not in order_cols])
     stored = create_table_if_absent(spark, path, schema, partition_by)
+    if partition_by:
+        # Partition columns are determined by the key, so only stored partitions
+        # that the batch touches can hold a match. The semi join lets dynamic
+        # partition pruning skip the other partitions at the scan.
+        touched = batch.select(*[_c(p) for p in partition_by]).distinct()
+        stored = stored.join(touched, on=partition_by, how="left_semi")
     first = first_per_key(batch, key, order_cols)
     new_rows = to_table_schema(not_existing(first, stored, key), schema).checkpoint(eager=True)
     append(new_rows, path, partition_by)
