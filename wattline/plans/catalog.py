@@ -781,3 +781,117 @@ def ml_11(spark, sf_dir):
     rows = _training_rows(spark, sf_dir).where(F.col("is_test"))
     from wattline.ml.models import predict
     return predict(model, rows, id_col="row_id").withColumn("model", F.lit(res.best))
+
+
+# ---------------------------------------------------------------------------
+# Daily weather and city-location tables from JSON documents derived from
+# the tables (SRC-11 + SNK-05, SRC-12 + SNK-07)
+# ---------------------------------------------------------------------------
+
+def _forecast_docs(spark, sf_dir):
+    """One forecast JSON per order: city = priority, dt = order date (epoch s)."""
+    o = S.table(spark, sf_dir, "orders")
+    p = F.col("o_totalprice")
+    doc = F.to_json(F.struct(
+        F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("dt"),
+        F.struct((p / 1000).alias("min"), (p / 500).alias("max")).alias("T"),
+        F.struct((F.col("o_custkey") % 100).alias("min"), (F.col("o_custkey") % 100 + 1).alias("max")).alias("humidity"),
+        F.struct((p / 10000).alias("24h")).alias("precipitation"),
+        (F.col("o_orderkey") % 11).alias("uv"),
+        F.when(F.col("o_orderstatus") != "P",
+               F.struct(F.col("o_orderstatus").alias("icon"), F.col("o_orderpriority").alias("desc")))
+         .alias("weather12H"),
+        F.struct(F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("rise"),
+                 (F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + 3600).alias("set")).alias("sun"),
+    ))
+    return o.select(F.col("o_orderpriority").alias("city"), (F.col("o_custkey") / 1000).alias("latitude"),
+                    (F.col("o_orderkey") / 1000).alias("longitude"), doc.alias("forecast"), "o_orderkey")
+
+
+_FORECAST_SQL = """
+  SELECT o_orderpriority || '_' || CAST(epoch(o_orderdate) AS BIGINT) AS db_id,
+         CAST(epoch(o_orderdate) AS BIGINT) AS dt,
+         CAST(o_totalprice / 1000 AS FLOAT) AS min_temp, CAST(o_totalprice / 500 AS FLOAT) AS max_temp,
+         CAST(o_custkey % 100 AS INTEGER) AS min_humidity, CAST(o_custkey % 100 + 1 AS INTEGER) AS max_humidity,
+         CAST(o_totalprice / 10000 AS FLOAT) AS precipitation, CAST(o_orderkey % 11 AS INTEGER) AS uv,
+         CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS weather_icon,
+         CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS weather_desc,
+         CAST(epoch(o_orderdate) AS BIGINT) AS sunrise, CAST(epoch(o_orderdate) AS BIGINT) + 3600 AS sunset,
+         CAST(o_custkey / 1000 AS FLOAT) AS latitude, CAST(o_orderkey / 1000 AS FLOAT) AS longitude,
+         o_orderpriority AS city, o_orderkey
+  FROM orders"""
+
+
+@register("snk_05", f"""
+SELECT db_id, dt, min_temp, max_temp, min_humidity, max_humidity, precipitation, uv, weather_icon,
+       weather_desc, sunrise, sunset, latitude, longitude, city
+FROM ({S.first_per_key_sql(_FORECAST_SQL, ['db_id'], 'o_orderkey')}) f
+""")
+def snk_05(spark, sf_dir):
+    from wattline.contracts import WEATHER_DAILY_SCHEMA
+    docs = _forecast_docs(spark, sf_dir)
+    flat = weather.flatten_forecast(docs, keep=["o_orderkey"])
+    valid, _ = tables.split_valid(flat, tables.null_violations(["db_id", "dt"]))
+    path = fresh_location(spark, "daily_weather")
+    tables.create_table_if_absent(spark, path, WEATHER_DAILY_SCHEMA)
+    tables.insert_if_absent(spark, path, valid, ["db_id"], ["o_orderkey"], schema=WEATHER_DAILY_SCHEMA)
+    return spark.read.parquet(path)
+
+
+def _city_docs(spark, sf_dir):
+    c = S.table(spark, sf_dir, "customer")
+    n = S.table(spark, sf_dir, "nation")
+    r = S.table(spark, sf_dir, "region")
+    rows = (c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+            .join(r, F.col("n_regionkey") == r["r_regionkey"], "left"))
+    city = F.struct(
+        F.col("c_custkey").cast("string").alias("insee_code"),
+        F.col("c_name").alias("city_code"),
+        F.when(F.col("c_acctbal") < 0, F.concat(F.lit("zip-"), F.col("c_name")))
+         .otherwise(F.col("c_nationkey").cast("string")).alias("zip_code"),
+        F.col("c_mktsegment").alias("label"),
+        F.col("c_acctbal").cast("string").alias("latitude"),
+        F.col("c_nationkey").cast("string").alias("longitude"),
+        F.col("n_name").alias("department_name"),
+        F.col("n_nationkey").cast("string").alias("department_number"),
+        F.col("r_name").alias("region_name"),
+        F.lower(F.col("r_name")).alias("region_geojson_name"),
+    )
+    return rows.select(F.to_json(F.struct(F.array(city).alias("cities"))).alias("value"))
+
+
+_CITY_SQL = """
+  SELECT CAST(c.c_custkey AS VARCHAR) AS insee_code, c.c_name AS city_code,
+         CASE WHEN c.c_acctbal < 0 THEN 'zip-' || c.c_name ELSE CAST(c.c_nationkey AS VARCHAR) END AS zip_code,
+         c.c_mktsegment AS label, CAST(c.c_acctbal AS VARCHAR) AS latitude, CAST(c.c_nationkey AS VARCHAR) AS longitude,
+         n.n_name AS department_name, CAST(n.n_nationkey AS VARCHAR) AS department_number,
+         r.r_name AS region_name, lower(r.r_name) AS region_geojson_name
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+_CITY_LIMITS_SQL = "length(zip_code) <= 10 AND length(insee_code) <= 10 AND length(city_code) <= 50"
+
+
+@register("snk_07", f"SELECT * FROM ({_CITY_SQL}) c WHERE {_CITY_LIMITS_SQL}")
+def snk_07(spark, sf_dir):
+    from wattline.contracts import CITY_LOCATION_COLUMNS, CITY_LOCATION_SCHEMA
+    cities = weather.explode_cities(_city_docs(spark, sf_dir))
+    valid, _ = tables.split_valid(cities, tables.length_violations(CITY_LOCATION_COLUMNS))
+    path = fresh_location(spark, "city_locations")
+    tables.create_table_if_absent(spark, path, CITY_LOCATION_SCHEMA)
+    tables.append(valid, path)
+    return spark.read.parquet(path)
+
+
+@register("snk_07_rejected", f"""
+SELECT insee_code, array_to_string(list_filter([
+    CASE WHEN length(insee_code) > 10 THEN 'insee_code:length>10' END,
+    CASE WHEN length(city_code) > 50 THEN 'city_code:length>50' END,
+    CASE WHEN length(zip_code) > 10 THEN 'zip_code:length>10' END], lambda x: x IS NOT NULL), ',') AS reasons
+FROM ({_CITY_SQL}) c WHERE NOT ({_CITY_LIMITS_SQL})
+""")
+def snk_07_rejected(spark, sf_dir):
+    from wattline.contracts import CITY_LOCATION_COLUMNS
+    cities = weather.explode_cities(_city_docs(spark, sf_dir))
+    _, rejected = tables.split_valid(cities, tables.length_violations(CITY_LOCATION_COLUMNS))
+    return rejected.select("insee_code", F.array_join("reasons", ",").alias("reasons"))

@@ -94,14 +94,17 @@ FORECAST_SCHEMA = T.StructType([
 
 
 def flatten_forecast(df: DataFrame, json_col: str = "forecast", city_col: str = "city",
-                     lat_col: str = "latitude", lon_col: str = "longitude") -> DataFrame:
+                     lat_col: str = "latitude", lon_col: str = "longitude",
+                     keep: list[str] | None = None) -> DataFrame:
     """JSON forecast text + city + coordinates -> the daily weather row (SRC-11).
 
-    `db_id` = city + '_' + dt. A missing nested object gives nulls.
+    `db_id` = city + '_' + dt. A missing nested object gives nulls. Columns
+    in `keep` are carried after the 15 table columns.
     """
+    keep = keep or []
     f = F.from_json(F.col(json_col), FORECAST_SCHEMA).alias("f")
     parsed = df.select(F.col(city_col).alias("city"), F.col(lat_col).alias("latitude"),
-                       F.col(lon_col).alias("longitude"), f)
+                       F.col(lon_col).alias("longitude"), f, *keep)
     return parsed.select(
         F.concat_ws("_", F.col("city"), F.col("f.dt").cast("string")).alias("db_id"),
         F.col("f.dt").alias("dt"),
@@ -118,6 +121,7 @@ def flatten_forecast(df: DataFrame, json_col: str = "forecast", city_col: str =
         F.col("latitude").cast("float").alias("latitude"),
         F.col("longitude").cast("float").alias("longitude"),
         F.col("city"),
+        *keep,
     )
 
 
