@@ -108,15 +108,19 @@ def drop_identifiers(df: DataFrame, names: list[str] = IDENTIFIER_COLUMNS) -> Da
 
 
 def fill_zero(df: DataFrame) -> DataFrame:
-    """Null becomes 0 in every column (PRJ-10); strings get the text '0'."""
-    numeric = [f.name for f in df.schema.fields if is_numeric(f.dataType)]
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    out = df
-    if numeric:
-        out = out.fillna(0, subset=numeric)
-    if text:
-        out = out.fillna("0", subset=text)
-    return out
+    """Null becomes 0 in every column (PRJ-10); strings get the text '0'.
+
+    Other types (timestamps, arrays) are left as they are.
+    """
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if is_numeric(f.dataType):
+            c = F.coalesce(c, F.lit(0).cast(f.dataType))
+        elif isinstance(f.dataType, T.StringType):
+            c = F.coalesce(c, F.lit("0"))
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
 
 
 def row_key(*cols: str, sep: str = "_") -> Column:
