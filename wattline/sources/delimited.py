@@ -78,41 +78,49 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def sniff(spark: SparkSession, paths: list[str],
           candidates: list[str] = SEPARATOR_CANDIDATES) -> list[dict]:
-    """Per file: chosen separator and header cells (or the reason it failed)."""
+    """Per file: chosen separator and header cells (or the reason it failed).
+
+    The decision is made in Spark; the driver receives one row per file.
+    """
     lines = _lines(spark, paths)
     v = F.col("value")
     quoted = F.instr(v, '"') > 0
+    k = range(len(candidates))
     # fields = separators + 1; the quote-aware split only for lines holding a quote
     widths = [F.when(quoted, F.size(F.split(v, _sep_regex(s), -1)))
               .otherwise(F.length(v) - F.length(F.replace(v, F.lit(s), F.lit(""))) + 1).alias(f"w{i}")
               for i, s in enumerate(candidates)]
     wl = lines.select("file_path", "ord", "value", *widths)
     w = Window.partitionBy("file_path").orderBy("ord")
-    first_two = (wl.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2)
-                 .select("file_path", "_rn", "value", *[f"w{i}" for i in range(len(candidates))]))
-    widest = wl.groupBy("file_path").agg(*[F.max(f"w{i}").alias(f"m{i}") for i in range(len(candidates))])
-    heads = defaultdict(dict)
-    for r in first_two.collect():
-        heads[r["file_path"]][r["_rn"]] = r
-    maxima = {r["file_path"]: r for r in widest.collect()}
+    first_two = wl.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2)
+    heads = first_two.groupBy("file_path").agg(
+        F.max(F.when(F.col("_rn") == 1, F.col("value"))).alias("header"),
+        *[F.max(F.when(F.col("_rn") == 1, F.col(f"w{i}"))).alias(f"h{i}") for i in k],
+        *[F.max(F.when(F.col("_rn") == 2, F.col(f"w{i}"))).alias(f"d{i}") for i in k])
+    widest = wl.groupBy("file_path").agg(*[F.max(f"w{i}").alias(f"m{i}") for i in k])
+    per_file = heads.join(widest, "file_path")
+    # a candidate is usable when no line is wider than both header and first data line;
+    # the widest usable header wins, the earlier candidate on a tie
+    usable = [F.col(f"m{i}") <= F.greatest(F.col(f"h{i}"), F.coalesce(F.col(f"d{i}"), F.col(f"h{i}")))
+              for i in k]
+    score = [F.when(usable[i], F.col(f"h{i}")).otherwise(F.lit(0)) for i in k]
+    best_w = F.greatest(*score)
+    choice = F.lit(None).cast("string")
+    for i in reversed(k):
+        choice = F.when(score[i] == best_w, F.lit(candidates[i])).otherwise(choice)
+    decided = per_file.select("file_path", "header",
+                              F.when(best_w > 1, choice).alias("sep"))
+    found = {r["file_path"]: r for r in decided.collect()}
     out = []
     for p in paths:
-        h = heads.get(p, {})
-        if 1 not in h:
+        r = found.get(p)
+        if r is None:
             out.append({"path": p, "sep": None, "header": None, "error": "empty file"})
-            continue
-        best, best_w = None, 0
-        for i, s in enumerate(candidates):
-            hw = h[1][f"w{i}"]
-            d1 = h[2][f"w{i}"] if 2 in h else hw
-            ragged = maxima[p][f"m{i}"] > max(hw, d1)
-            if not ragged and hw > best_w:
-                best, best_w = s, hw
-        if best is None or best_w == 1:
+        elif r["sep"] is None:
             out.append({"path": p, "sep": None, "header": None, "error": "separator not detected"})
-            continue
-        cells = next(csv.reader(io.StringIO(h[1]["value"]), delimiter=best))
-        out.append({"path": p, "sep": best, "header": cells, "error": None})
+        else:
+            cells = next(csv.reader(io.StringIO(r["header"]), delimiter=r["sep"]))
+            out.append({"path": p, "sep": r["sep"], "header": cells, "error": None})
     return out
 
 
