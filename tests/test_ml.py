@@ -109,3 +109,22 @@ def test_registry_versions(spark, workdir):
     assert registry.latest(spark, root, "m") == 2
     loaded = registry.pull(spark, root, "m")
     assert loaded.transform(df).select("prediction").first()[0] == pytest.approx(0.0, abs=1e-9)
+
+
+def test_models_learn_a_learnable_target(spark):
+    """Metric range (ML-03/05/07): hourly load that depends on hour and weekend."""
+    from wattline.plans.training import run_training
+    from pyspark.sql import functions as F
+    hours = spark.range(0, 24 * 60).select(
+        (F.lit(1325376000) + F.col("id") * 3600).cast("timestamp").alias("ts"), F.col("id"))
+    readings = hours.select(
+        F.lit("France").alias("perimetre"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"), F.date_format("ts", "HH:mm").alias("heures"),
+        (F.lit(50000) + F.hour("ts") * 1000 + F.when(F.weekday("ts") >= 5, -5000).otherwise(0))
+        .cast("string").alias("consommation"),
+        F.col("id").alias("_row_id"))
+    res = run_training(spark, readings, order_cols=["_row_id"])
+    m = {r["model"]: r for r in res.metrics.collect()}
+    assert m["RandomForest"]["r2"] > 0.95 and m["KNN"]["r2"] > 0.9
+    assert m["LinearRegression"]["r2"] > 0.999          # the target is linear in hour and weekend
+    assert res.best_r2 == max(r["r2"] for r in m.values())

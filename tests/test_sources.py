@@ -75,3 +75,21 @@ def test_archive_extract_skips_landed(spark, workdir):
     assert sorted(os.path.basename(p) for p in first) == ["a.xls", "b.xls", "c.xls"]
     assert open(os.path.join(land, "a.xls"), "rb").read() == b"x\ty\n1\t2\n"
     assert download_and_extract(spark, zdir, land) == []
+
+
+def test_fetch_weather_from_landed_blocks(spark, workdir):
+    start = 1577836800  # 2020-01-01 00:00 UTC
+    blocks = [
+        {"city": "Paris", "time": start - 7200, "time_end": start + 3 * 3600, "interval": 3600,
+         "temperature_2m": [1, 2, 3, 4, 5], "relative_humidity_2m": [9] * 5, "snowfall": [0] * 5,
+         "precipitation": [0] * 5, "weather_code": [3] * 5},
+        {"city": "Lille", "time": start, "time_end": start + 3600, "interval": 3600,
+         "temperature_2m": [7], "relative_humidity_2m": [8], "snowfall": [0], "precipitation": [0.5],
+         "weather_code": [1]},
+    ]
+    path = os.path.join(workdir, "blocks.json")
+    with open(path, "w") as f:
+        f.write("\n".join(json.dumps(b) for b in blocks) + "\n")
+    out = weather.fetch_weather(spark, path, "2020-01-01", "2020-01-01").orderBy("city", "date").collect()
+    assert [(r["city"], r["temperature_2m"]) for r in out] == [("Lille", 7.0), ("Paris", 3.0), ("Paris", 4.0), ("Paris", 5.0)]
+    assert out[0]["latitude"] == 50.6292

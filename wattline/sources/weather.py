@@ -139,3 +139,27 @@ def explode_cities(df: DataFrame, json_col: str = "value") -> DataFrame:
     """JSON `{"cities": [{...}, ...]}` -> one row per city, ten text columns (SRC-12)."""
     return (df.select(F.from_json(F.col(json_col), _CITY_LIST).alias("j"))
             .select(F.inline(F.col("j.cities"))))
+
+
+def read_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """Landed weather blocks: JSON lines, one object per city and request.
+
+    Fields: city, time, time_end, interval and one array per variable
+    (`WEATHER_BLOCK_SCHEMA`); the schema is declared, never inferred.
+    """
+    from wattline.contracts import WEATHER_BLOCK_SCHEMA
+    return spark.read.schema(WEATHER_BLOCK_SCHEMA).json(path)
+
+
+def fetch_weather(spark: SparkSession, blocks_path: str, start_date: str, end_date: str) -> DataFrame:
+    """Hourly weather of every city from landed blocks (SRC-09 + SRC-10).
+
+    Keeps hours from `start_date` 00:00 UTC up to the end of `end_date`,
+    with the city's coordinates attached from the fixed city table. Cities
+    are kept as a column (one row per city and hour).
+    """
+    hourly = expand_blocks(read_blocks(spark, blocks_path))
+    start = F.to_timestamp(F.lit(start_date))
+    stop = F.to_timestamp(F.lit(end_date)) + F.expr("INTERVAL 1 DAY")
+    in_range = hourly.where((F.col("date") >= start) & (F.col("date") < stop))
+    return attach_dimension(in_range, city_dimension(spark), on="city")
