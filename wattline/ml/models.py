@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wattline.contracts import FOREST_SEED, FOREST_TREES, NEIGHBOURS, TARGET
 from wattline.ml.knn import knn_predict
+from wattline.session import shared_root
 
 MODEL_ORDER = ["LinearRegression", "RandomForest", "KNN"]
 
@@ -83,6 +84,7 @@ def train_models(train: DataFrame, features: list[str], label: str = TARGET,
     The frame is checkpointed once (shared folder), so the three fits and
     the k-NN table read the same fixed rows.
     """
+    shared_root(train.sparkSession)
     fixed = train.checkpoint(eager=True)
     return {
         "LinearRegression": linear_regression(features, label).fit(fixed),

@@ -21,6 +21,7 @@ from wattline.ml.models import MODEL_ORDER, predict, train_models
 from wattline.ml.split import test_flag
 from wattline.operators.clean import drop_identifiers, fill_zero
 from wattline.operators.hourly import aggregate_hourly, training_frame
+from wattline.session import shared_root
 
 
 def hourly_training_rows(readings: DataFrame, order_cols: list[str] | None = None,
@@ -50,6 +51,7 @@ class TrainingResult:
 def run_training(spark: SparkSession, readings: DataFrame, order_cols: list[str] | None = None,
                  registry_root: str | None = None, model_name: str = "load_model",
                  forest_depth: int = 20) -> TrainingResult:
+    shared_root(spark)  # lineage cuts go to the shared spark.checkpoint.dir
     rows = hourly_training_rows(readings, order_cols).checkpoint(eager=True)
     feats = [c for c in rows.columns if c not in ("row_id", "is_test", TARGET)]
     train = rows.where(~F.col("is_test"))
