@@ -72,7 +72,8 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return raw.select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("ord"),
+        F.struct(F.col("_metadata.file_block_start").alias("file_block_start"),
+                 F.monotonically_increasing_id().alias("row_id")).alias("ord"),
     )
 
 
@@ -92,7 +93,9 @@ def sniff(spark: SparkSession, paths: list[str],
               for i, s in enumerate(candidates)]
     wl = lines.select("file_path", "ord", "value", *widths)
     w = Window.partitionBy("file_path").orderBy("ord")
-    first_two = wl.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2)
+    # header and first data line sit in the file's first split: only those rows are ranked
+    first_split = wl.where(F.col("ord.file_block_start") == 0)
+    first_two = first_split.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2)
     heads = first_two.groupBy("file_path").agg(
         F.max(F.when(F.col("_rn") == 1, F.col("value"))).alias("header"),
         *[F.max(F.when(F.col("_rn") == 1, F.col(f"w{i}"))).alias(f"h{i}") for i in k],
