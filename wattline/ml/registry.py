@@ -11,13 +11,14 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattline.contracts import REGISTRY_SCHEMA
 from wattline.ml.metrics import latest_version
 from wattline.ml.models import load_model, save_model
 from wattline.operators.tables import append, create_table_if_absent
 
-_SCHEMA_WITH_KIND = REGISTRY_SCHEMA.add("kind", "string", True)
+_SCHEMA_WITH_KIND = T.StructType(REGISTRY_SCHEMA.fields + [T.StructField("kind", T.StringType(), True)])
 
 
 def _registry(spark: SparkSession, root: str):
