@@ -895,3 +895,52 @@ def snk_07_rejected(spark, sf_dir):
     cities = weather.explode_cities(_city_docs(spark, sf_dir))
     _, rejected = tables.split_valid(cities, tables.length_violations(CITY_LOCATION_COLUMNS))
     return rejected.select("insee_code", F.array_join("reasons", ",").alias("reasons"))
+
+
+# ---------------------------------------------------------------------------
+# Archive ingest over archives derived from `events` (SRC-07 + SRC-01): the
+# readings are hashed into buckets of at most ~5,000 rows, each bucket is
+# zipped as one ';'-separated Latin-1 member by the task holding it, then the
+# archives are unpacked into a landing folder and loaded back.
+# ---------------------------------------------------------------------------
+
+_ZIP_BUCKET_ROWS = 5000
+_READING_COLS = ["perimetre", "nature", "date", "heures", "consommation"]
+
+
+def _zip_writer(archive_dir: str):
+    def write(pdf):
+        import io as _io
+        import zipfile as _zipfile
+
+        import pandas as _pd
+        from pyarrow import fs as pafs
+        bucket = int(pdf["_bucket"].iloc[0])
+        text = pdf.sort_values("_row_order")[_READING_COLS].to_csv(sep=";", index=False, na_rep="")
+        buf = _io.BytesIO()
+        with _zipfile.ZipFile(buf, "w", compression=_zipfile.ZIP_DEFLATED) as z:
+            z.writestr(f"readings_{bucket:05d}.csv", text.encode("latin-1"))
+        filesystem, root = pafs.FileSystem.from_uri(archive_dir)
+        filesystem.create_dir(root, recursive=True)
+        with filesystem.open_output_stream(f"{root}/readings_{bucket:05d}.zip") as out:
+            out.write(buf.getvalue())
+        return _pd.DataFrame({"bucket": [bucket], "rows": [len(pdf)]})
+    return write
+
+
+@register("src_07", """
+SELECT perimetre, nature, date, heures,
+       CASE WHEN consommation IN ('NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null') THEN NULL
+            ELSE consommation END AS consommation
+FROM (""" + S.READINGS_SQL + ") r")
+def src_07(spark, sf_dir):
+    from wattline.sources.archive import download_and_extract
+    from wattline.sources.delimited import load_all_data
+    r = _readings(spark, sf_dir).drop("source_file")
+    buckets = max(1, -(-r.count() // _ZIP_BUCKET_ROWS))
+    archive_dir = fresh_location(spark, "archives")
+    landing = fresh_location(spark, "landing")
+    bucketed = r.withColumn("_bucket", F.pmod(F.xxhash64("_row_order"), F.lit(buckets)))
+    bucketed.groupBy("_bucket").applyInPandas(_zip_writer(archive_dir), "bucket long, rows long").collect()
+    download_and_extract(spark, archive_dir, landing)
+    return load_all_data(spark, landing).select(*_READING_COLS)
