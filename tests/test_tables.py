@@ -19,6 +19,14 @@ def test_insert_if_absent_idempotent(spark, workdir):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_insert_without_return_is_idempotent(spark, workdir):
+    path = os.path.join(workdir, "t")
+    batch = spark.createDataFrame([("a", "x", 1, 0), ("a", "x", 2, 1), ("b", "x", 4, 3)], SCHEMA)
+    assert tables.insert_if_absent(spark, path, batch, ["k1", "k2"], ["ord"], return_inserted=False) is None
+    tables.insert_if_absent(spark, path, batch, ["k1", "k2"], ["ord"], return_inserted=False)
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 4]
+
+
 def test_create_table_if_absent_keeps_existing(spark, workdir):
     path = os.path.join(workdir, "c")
     t = tables.create_table_if_absent(spark, path, CONSUMPTION_TABLE_SCHEMA)

@@ -140,7 +140,8 @@ def to_table_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: list[str],
                      order_cols: list[str], schema: T.StructType | None = None,
-                     partition_by: list[str] | None = None) -> DataFrame:
+                     partition_by: list[str] | None = None,
+                     return_inserted: bool = True) -> DataFrame | None:
     """Insert the batch rows whose key the table lacks (SNK-01, SNK-02).
 
     Inside the batch the first row of each key (by `order_cols`) wins; keys
@@ -153,6 +154,10 @@ def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: list
     before the append: that fixes them once, so the returned frame does not
     re-run the anti join against the grown table, and a lost executor during
     the append recomputes from the checkpoint, not from the whole lineage.
+    With return_inserted=False the insert is one job (dedupe, anti join,
+    append) and nothing is returned; the stored files are listed when the
+    job is planned and each task's output is committed atomically, so a
+    retried task neither sees nor duplicates the rows being added.
     """
     shared_root(spark)
     schema = schema or T.StructType([f for f in batch.schema.fields if f.name not in order_cols])
@@ -164,7 +169,11 @@ def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: list
         touched = batch.select(*[_c(p) for p in partition_by]).distinct()
         stored = stored.join(touched, on=partition_by, how="left_semi")
     first = first_per_key(batch, key, order_cols)
-    new_rows = to_table_schema(not_existing(first, stored, key), schema).checkpoint(eager=True)
+    new_rows = to_table_schema(not_existing(first, stored, key), schema)
+    if not return_inserted:
+        append(new_rows, path, partition_by)
+        return None
+    new_rows = new_rows.checkpoint(eager=True)
     append(new_rows, path, partition_by)
     return new_rows
 

@@ -571,7 +571,7 @@ def snk_01(spark, sf_dir):
     rows = S.consumption_rows(S.table(spark, sf_dir, "events"))
     path = fresh_location(spark, "consumption")
     _write_stored(spark, rows, path)
-    tables.insert_if_absent(spark, path, rows, _KEYED, ["event_id"])
+    tables.insert_if_absent(spark, path, rows, _KEYED, ["event_id"], return_inserted=False)
     return spark.read.parquet(path)
 
 
