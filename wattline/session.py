@@ -62,8 +62,13 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
+        if root:
+            spark.sparkContext.setCheckpointDir(root)
+            root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="wattline-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the shared file system")
+        root = tempfile.mkdtemp(prefix="wattline-ckpt-")  # single-machine session only
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
