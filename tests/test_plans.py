@@ -62,3 +62,20 @@ def test_training_run_registers_best(spark, workdir):
     assert set(m) == {"LinearRegression", "RandomForest", "KNN"}
     assert res.best in m and res.version == 1
     assert res.best_r2 == max(x["r2"] for x in m.values())
+
+
+def test_training_rows_with_weather(spark):
+    from pyspark.sql import functions as F
+    from wattline.plans.training import hourly_training_rows
+    readings = spark.createDataFrame(
+        [("2020-01-01", "00:00", "100", 0), ("2020-01-01", "01:00", "200", 1), ("2020-01-01", "02:00", "300", 2)],
+        "date string, heures string, consommation string, _row_id long")
+    wx = spark.createDataFrame(
+        [("Paris", "2020-01-01 00:00:00", 2.0, 80.0), ("Lille", "2020-01-01 00:00:00", 4.0, 90.0),
+         ("Paris", "2020-01-01 01:00:00", 6.0, 70.0)],
+        "city string, date string, temperature_2m double, relative_humidity_2m double"
+    ).withColumn("date", F.to_timestamp("date"))
+    rows = {r["hour"]: r for r in hourly_training_rows(readings, ["_row_id"], weather=wx).collect()}
+    assert rows[0]["temperature_2m"] == 3.0 and rows[1]["temperature_2m"] == 6.0
+    assert rows[2]["temperature_2m"] == 0.0          # no weather that hour -> 0 after the fill
+    assert rows[0]["consommation"] == 100.0

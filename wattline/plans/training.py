@@ -21,13 +21,23 @@ from wattline.ml.models import MODEL_ORDER, predict, train_models
 from wattline.ml.split import test_flag
 from wattline.operators.clean import drop_identifiers, fill_zero
 from wattline.operators.hourly import aggregate_hourly, training_frame
+from wattline.operators.tables import join_hourly
 from wattline.session import shared_root
 
 
 def hourly_training_rows(readings: DataFrame, order_cols: list[str] | None = None,
-                         numeric: str = "auto") -> DataFrame:
-    """Feature rows plus `row_id` (epoch hour) and the split flag `is_test`."""
+                         numeric: str = "auto", weather: DataFrame | None = None) -> DataFrame:
+    """Feature rows plus `row_id` (epoch hour) and the split flag `is_test`.
+
+    With `weather` (hourly rows per city with a UTC `date`, as `fetch_weather`
+    gives), each hour also gets the weather variables averaged over cities
+    (the documented final feature table: consumption joined with weather).
+    """
     hourly = aggregate_hourly(readings, order_cols, numeric)
+    if weather is not None:
+        wx = weather.withColumn("hour_ts", F.date_trunc("hour", F.col("date")).cast("timestamp_ntz"))
+        hourly = join_hourly(hourly.withColumnRenamed("datetime", "hour_ts"), wx.drop("date"))
+        hourly = hourly.withColumnRenamed("hour_ts", "datetime")
     cal = calendar_columns(F.col("datetime"))
     with_cal = hourly.select(
         "*", *[v.alias(k) for k, v in cal.items()],
@@ -50,9 +60,9 @@ class TrainingResult:
 
 def run_training(spark: SparkSession, readings: DataFrame, order_cols: list[str] | None = None,
                  registry_root: str | None = None, model_name: str = "load_model",
-                 forest_depth: int = 20) -> TrainingResult:
+                 forest_depth: int = 20, weather: DataFrame | None = None) -> TrainingResult:
     shared_root(spark)  # lineage cuts go to the shared spark.checkpoint.dir
-    rows = hourly_training_rows(readings, order_cols).checkpoint(eager=True)
+    rows = hourly_training_rows(readings, order_cols, weather=weather).checkpoint(eager=True)
     feats = [c for c in rows.columns if c not in ("row_id", "is_test", TARGET)]
     train = rows.where(~F.col("is_test"))
     test = rows.where(F.col("is_test"))
