@@ -914,13 +914,13 @@ def _zip_writer(archive_dir: str):
         import zipfile as _zipfile
 
         import pandas as _pd
-        from pyarrow import fs as pafs
+        from wattline.sources.files import arrow_fs
         bucket = int(pdf["_bucket"].iloc[0])
         text = pdf.sort_values("_row_order")[_READING_COLS].to_csv(sep=";", index=False, na_rep="")
         buf = _io.BytesIO()
         with _zipfile.ZipFile(buf, "w", compression=_zipfile.ZIP_DEFLATED) as z:
             z.writestr(f"readings_{bucket:05d}.csv", text.encode("latin-1"))
-        filesystem, root = pafs.FileSystem.from_uri(archive_dir)
+        filesystem, root = arrow_fs(archive_dir)
         filesystem.create_dir(root, recursive=True)
         with filesystem.open_output_stream(f"{root}/readings_{bucket:05d}.zip") as out:
             out.write(buf.getvalue())

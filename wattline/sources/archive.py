@@ -45,7 +45,9 @@ def _unzip(batches):
 def _writer(landing_dir: str):
     def write(batches):
         from pyarrow import fs as pafs
-        filesystem, root = pafs.FileSystem.from_uri(landing_dir)
+
+        from wattline.sources.files import arrow_fs
+        filesystem, root = arrow_fs(landing_dir)
         for pdf in batches:
             done = []
             for member, content in zip(pdf["member"], pdf["content"]):
@@ -89,7 +91,9 @@ def download_and_extract(spark: SparkSession, archive_dir: str, landing_dir: str
     Returns the paths written by this run.
     """
     from pyarrow import fs as pafs
-    filesystem, root = pafs.FileSystem.from_uri(landing_dir)
+
+    from wattline.sources.files import arrow_fs
+    filesystem, root = arrow_fs(landing_dir)
     filesystem.create_dir(root, recursive=True)
     infos = filesystem.get_file_info(pafs.FileSelector(root, recursive=False))
     landed = [i.base_name for i in infos if i.type == pafs.FileType.File]

@@ -2,14 +2,13 @@
 
 Files differ in separator and header, so loading is two Spark jobs:
 
-1. Sniff (one row per file). Every line is read as a single Latin-1 text
-   cell; for each candidate separator the field count of each line is
-   computed JVM-side with a quote-aware split. Per file we need the header
-   width, the first data line width and the widest line: the first two
-   lines come from `row_number() <= 2` per file (planned as a partial
-   WindowGroupLimit, so each task ships at most two lines per file) and the
-   widest from a partial aggregate. Only this per-file summary reaches the
-   driver.
+1. Sniff (one row per file). Per file we need the header width, the first
+   data line width and the widest line, for each candidate separator. The
+   first two lines are read from the start of each file by the task that
+   holds its path (Arrow file system, a few KB per file); every line is
+   read once as a single Latin-1 text cell for the widest field count
+   (JVM-side counting, a partial hash aggregate, no sort). Only the
+   per-file decision reaches the driver.
 2. Parse. Files sharing (separator, header) are read by one
    `spark.read.csv` with an all-string positional schema; the groups are
    united by column name.
@@ -23,9 +22,10 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,43 +65,70 @@ def list_files(spark: SparkSession, data_dir: str,
     return sorted(out)
 
 
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    raw = (spark.read.option("sep", _LINE_SEP).option("quote", "").option("escape", "")
-           .option("encoding", ENCODING).option("header", "false")
-           .schema(T.StructType([T.StructField("value", T.StringType())])).csv(paths))
-    return raw.select(
-        "value",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.struct(F.col("_metadata.file_block_start").alias("file_block_start"),
-                 F.monotonically_increasing_id().alias("row_id")).alias("ord"),
-    )
+_HEAD_CHUNK = 1 << 16
+
+
+def _read_heads(batches):
+    """First two non-blank lines of each file, read from the file's start only."""
+    import pandas as pd
+
+    from wattline.sources.files import arrow_fs
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            filesystem, local = arrow_fs(path)
+            lines: list[str] = []
+            tail = b""
+            with filesystem.open_input_stream(local) as f:
+                while len(lines) < 2:
+                    chunk = f.read(_HEAD_CHUNK)
+                    data = tail + chunk
+                    parts = re.split(rb"\r\n|\r|\n", data)
+                    tail = parts.pop() if chunk else b""
+                    lines += [p.decode(ENCODING) for p in parts if p]
+                    if not chunk:
+                        if tail:
+                            lines.append(tail.decode(ENCODING))
+                        break
+            for rn, line in enumerate(lines[:2], start=1):
+                out.append((path, rn, line))
+        yield pd.DataFrame(out, columns=["file_path", "_rn", "value"])
+
+
+def _width_exprs(v, candidates):
+    """Field count per candidate: separators + 1; quote-aware split only for lines holding a quote."""
+    quoted = F.instr(v, '"') > 0
+    return [F.when(quoted, F.size(F.split(v, _sep_regex(s), -1)))
+            .otherwise(F.length(v) - F.length(F.replace(v, F.lit(s), F.lit(""))) + 1).alias(f"w{i}")
+            for i, s in enumerate(candidates)]
 
 
 def sniff(spark: SparkSession, paths: list[str],
           candidates: list[str] = SEPARATOR_CANDIDATES) -> list[dict]:
     """Per file: chosen separator and header cells (or the reason it failed).
 
-    The decision is made in Spark; the driver receives one row per file.
+    Two distributed reads: the head of each file (its first two non-blank
+    lines, read by the task that holds the path), and every line once for
+    the widest field count per candidate (a partial hash aggregate, no
+    sort). The decision is made in Spark; the driver receives one row per
+    file.
     """
-    lines = _lines(spark, paths)
-    v = F.col("value")
-    quoted = F.instr(v, '"') > 0
     k = range(len(candidates))
-    # fields = separators + 1; the quote-aware split only for lines holding a quote
-    widths = [F.when(quoted, F.size(F.split(v, _sep_regex(s), -1)))
-              .otherwise(F.length(v) - F.length(F.replace(v, F.lit(s), F.lit(""))) + 1).alias(f"w{i}")
-              for i, s in enumerate(candidates)]
-    wl = lines.select("file_path", "ord", "value", *widths)
-    w = Window.partitionBy("file_path").orderBy("ord")
-    # header and first data line sit in the file's first split: only those rows are ranked
-    first_split = wl.where(F.col("ord.file_block_start") == 0)
-    first_two = first_split.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 2)
-    heads = first_two.groupBy("file_path").agg(
+    names = spark.createDataFrame([(p,) for p in paths], "path string")
+    names = names.repartition(max(1, min(len(paths), spark.sparkContext.defaultParallelism)))
+    heads = names.mapInPandas(_read_heads, "file_path string, _rn int, value string")
+    head_w = heads.select("file_path", "_rn", "value", *_width_exprs(F.col("value"), candidates))
+    per_head = head_w.groupBy("file_path").agg(
         F.max(F.when(F.col("_rn") == 1, F.col("value"))).alias("header"),
         *[F.max(F.when(F.col("_rn") == 1, F.col(f"w{i}"))).alias(f"h{i}") for i in k],
         *[F.max(F.when(F.col("_rn") == 2, F.col(f"w{i}"))).alias(f"d{i}") for i in k])
-    widest = wl.groupBy("file_path").agg(*[F.max(f"w{i}").alias(f"m{i}") for i in k])
-    per_file = heads.join(widest, "file_path")
+    lines = (spark.read.option("sep", _LINE_SEP).option("quote", "").option("escape", "")
+             .option("encoding", ENCODING).option("header", "false")
+             .schema(T.StructType([T.StructField("value", T.StringType())])).csv(paths))
+    widest = (lines.select(F.url_decode(F.col("_metadata.file_path")).alias("file_path"),
+                           *_width_exprs(F.col("value"), candidates))
+              .groupBy("file_path").agg(*[F.max(f"w{i}").alias(f"m{i}") for i in k]))
+    per_file = per_head.join(widest, "file_path")
     # a candidate is usable when no line is wider than both header and first data line;
     # the widest usable header wins, the earlier candidate on a tie
     usable = [F.col(f"m{i}") <= F.greatest(F.col(f"h{i}"), F.coalesce(F.col(f"d{i}"), F.col(f"h{i}")))
@@ -111,8 +138,7 @@ def sniff(spark: SparkSession, paths: list[str],
     choice = F.lit(None).cast("string")
     for i in reversed(k):
         choice = F.when(score[i] == best_w, F.lit(candidates[i])).otherwise(choice)
-    decided = per_file.select("file_path", "header",
-                              F.when(best_w > 1, choice).alias("sep"))
+    decided = per_file.select("file_path", "header", F.when(best_w > 1, choice).alias("sep"))
     found = {r["file_path"]: r for r in decided.collect()}
     out = []
     for p in paths:
