@@ -944,3 +944,32 @@ def src_07(spark, sf_dir):
     bucketed.groupBy("_bucket").applyInPandas(_zip_writer(archive_dir), "bucket long, rows long").collect()
     download_and_extract(spark, archive_dir, landing)
     return load_all_data(spark, landing).select(*_READING_COLS)
+
+
+# ---------------------------------------------------------------------------
+# Header rules on a table whose columns carry raw, accented headers
+# (PRJ-01 cleaning for loaded frames, PRJ-03 renaming for the table layer)
+# ---------------------------------------------------------------------------
+
+_RAW_HEADERS = ["  Clé Client ", "Nom?Client", "Nation - Clé", "Solde (€)", "Segment__"]
+_TABLE_HEADERS = ["Périmètre", "Prévision J-1", "Taux?CO2", " Fioul-TAC ", "Gaz"]
+
+
+@register("prj_01", """
+SELECT c_custkey AS cle_client, c_name AS nomeclient, c_nationkey AS nation_cle,
+       c_acctbal AS solde, c_mktsegment AS segment FROM customer
+""")
+def prj_01(spark, sf_dir):
+    from wattline.functions.names import cleaned_headers
+    raw = S.table(spark, sf_dir, "customer").toDF(*_RAW_HEADERS)
+    return raw.toDF(*cleaned_headers(raw.columns))
+
+
+@register("prj_03", """
+SELECT c_custkey AS "périmètre", c_name AS "prévision_j_1", c_nationkey AS tauxeco2,
+       c_acctbal AS fioul_tac, c_mktsegment AS gaz FROM customer
+""")
+def prj_03(spark, sf_dir):
+    from wattline.functions.names import simple_rename
+    raw = S.table(spark, sf_dir, "customer").toDF(*_TABLE_HEADERS)
+    return raw.toDF(*[simple_rename(c) for c in raw.columns])
