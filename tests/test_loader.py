@@ -89,3 +89,13 @@ def test_empty_and_missing_directory(spark, workdir):
     assert load_all_data(spark, d).count() == 0
     with pytest.raises(FileNotFoundError):
         load_all_data(spark, os.path.join(workdir, "missing"))
+
+
+def test_zipped_spreadsheet_is_reported(spark, workdir):
+    import zipfile
+    d = os.path.join(workdir, "d")
+    os.makedirs(d)
+    with zipfile.ZipFile(os.path.join(d, "real.xlsx"), "w") as z:
+        z.writestr("xl/workbook.xml", "<workbook/>")
+    with pytest.raises(ValueError, match="binary spreadsheet"):
+        load_all_data(spark, d)

@@ -66,6 +66,9 @@ def list_files(spark: SparkSession, data_dir: str,
 
 
 _HEAD_CHUNK = 1 << 16
+_HEAD_LIMIT = 1 << 24          # a header line longer than 16 MB is not a header
+_ZIP_MAGIC = b"PK\x03\x04"    # a real (zipped) spreadsheet, not delimited text
+_BINARY = "\x00binary"
 
 
 def _read_heads(batches):
@@ -80,8 +83,13 @@ def _read_heads(batches):
             lines: list[str] = []
             tail = b""
             with filesystem.open_input_stream(local) as f:
-                while len(lines) < 2:
+                read = 0
+                while len(lines) < 2 and read < _HEAD_LIMIT:
                     chunk = f.read(_HEAD_CHUNK)
+                    if read == 0 and chunk.startswith(_ZIP_MAGIC):
+                        lines = [_BINARY]
+                        break
+                    read += len(chunk)
                     data = tail + chunk
                     parts = re.split(rb"\r\n|\r|\n", data)
                     tail = parts.pop() if chunk else b""
@@ -145,6 +153,9 @@ def sniff(spark: SparkSession, paths: list[str],
         r = found.get(p)
         if r is None:
             out.append({"path": p, "sep": None, "header": None, "error": "empty file"})
+        elif r["header"] == _BINARY:
+            out.append({"path": p, "sep": None, "header": None,
+                        "error": "binary spreadsheet, not delimited text"})
         elif r["sep"] is None:
             out.append({"path": p, "sep": None, "header": None, "error": "separator not detected"})
         else:
