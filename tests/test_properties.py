@@ -55,3 +55,26 @@ def test_number_readers_match_reference(spark, values):
         want_d, want_n = ref_number(v), ref_int64(v)
         assert (d is None and want_d is None) or d == want_d, (v, d, want_d)
         assert n == want_n, (v, n, want_n)
+
+
+keys = st.sampled_from(["a", "b", None])          # few keys: hot keys and null keys
+rows_strategy = st.lists(st.tuples(keys, keys, st.integers(-5, 5)), min_size=1, max_size=30)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows_strategy, st.sampled_from([1, 4, 17]))
+def test_insert_if_absent_properties(spark, rows, parts):
+    import tempfile
+
+    from wattline.operators import tables
+    batch = spark.createDataFrame([(k1, k2, v, i) for i, (k1, k2, v) in enumerate(rows)],
+                                  "k1 string, k2 string, v long, ord long").repartition(parts)
+    # first row per key (null-safe) in input order
+    want = {}
+    for k1, k2, v in rows:
+        want.setdefault((k1, k2), v)
+    path = tempfile.mkdtemp(prefix="wattline-prop-") + "/t"
+    inserted = tables.insert_if_absent(spark, path, batch, ["k1", "k2"], ["ord"])
+    assert sorted((r["k1"] or "", r["k2"] or "", r["v"]) for r in inserted.collect()) == \
+        sorted((a or "", b or "", v) for (a, b), v in want.items())
+    assert tables.insert_if_absent(spark, path, batch, ["k1", "k2"], ["ord"]).count() == 0
