@@ -93,3 +93,16 @@ def test_fetch_weather_from_landed_blocks(spark, workdir):
     out = weather.fetch_weather(spark, path, "2020-01-01", "2020-01-01").orderBy("city", "date").collect()
     assert [(r["city"], r["temperature_2m"]) for r in out] == [("Lille", 7.0), ("Paris", 3.0), ("Paris", 4.0), ("Paris", 5.0)]
     assert out[0]["latitude"] == 50.6292
+
+
+def test_archives_from_start_year_stop_at_gap(spark, workdir):
+    zdir, land = os.path.join(workdir, "zips"), os.path.join(workdir, "landing")
+    os.makedirs(zdir)
+    for year in [2011, 2012, 2013, 2015]:
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as z:
+            z.writestr(f"data_{year}.xls", b"a;b\n1;2\n")
+        with open(os.path.join(zdir, f"Annuel_{year}.zip"), "wb") as f:
+            f.write(buf.getvalue())
+    got = download_and_extract(spark, zdir, land, start_year=2012)
+    assert sorted(os.path.basename(p) for p in got) == ["data_2012.xls", "data_2013.xls"]

@@ -62,21 +62,38 @@ def _writer(landing_dir: str):
     return write
 
 
-def archive_members(spark: SparkSession, archive_dir: str) -> DataFrame:
-    """(archive, member, content) for every file inside every zip of the directory."""
-    zips = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
-            .load(archive_dir).select("path", "content"))
-    return zips.mapInPandas(_unzip, _MEMBERS)
+def archive_members(spark: SparkSession, archive_dir: str, start_year: int | None = None) -> DataFrame:
+    """(archive, member, content) for every file inside every zip of the directory.
+
+    With `start_year`, only yearly archives (a 4-digit year in the name) from
+    that year up to the first missing year are read (SRC-08). The choice is
+    made on a listing that reads no bytes (`content` is not selected), and
+    only the chosen archives are then opened.
+    """
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
+               .load(archive_dir))
+    if start_year is None:
+        zips = listing
+    else:
+        from wattline.sources.years import contiguous_years
+        named = listing.select("path", F.regexp_extract(F.col("path"), r"((?:19|20)[0-9]{2})[^/]*$", 1)
+                               .try_cast("int").alias("year"))
+        run = contiguous_years(named.where(F.col("year").isNotNull()), start_year)
+        chosen = [r["path"] for r in named.join(run, "year", "left_semi").select("path").collect()]
+        if not chosen:
+            return spark.createDataFrame([], _MEMBERS)
+        zips = spark.read.format("binaryFile").load(chosen)
+    return zips.select("path", "content").mapInPandas(_unzip, _MEMBERS)
 
 
 def extract_new(spark: SparkSession, archive_dir: str, landing_dir: str,
-                landed_names: list[str]) -> DataFrame:
+                landed_names: list[str], start_year: int | None = None) -> DataFrame:
     """Write members not yet landed; returns (member, path) of those written.
 
     A member name present in several archives is taken from the first
     archive by path. `landed_names` are the base names already present.
     """
-    members = archive_members(spark, archive_dir)
+    members = archive_members(spark, archive_dir, start_year)
     first = (members.groupBy("member")
              .agg(F.min_by(F.struct("archive", "content"), F.col("archive")).alias("m"))
              .select("member", F.col("m.content").alias("content")))
@@ -85,10 +102,12 @@ def extract_new(spark: SparkSession, archive_dir: str, landing_dir: str,
     return new.mapInPandas(_writer(landing_dir), _WRITTEN)
 
 
-def download_and_extract(spark: SparkSession, archive_dir: str, landing_dir: str) -> list[str]:
+def download_and_extract(spark: SparkSession, archive_dir: str, landing_dir: str,
+                         start_year: int | None = None) -> list[str]:
     """Unpack archives into `landing_dir`, skipping members already there.
 
-    Returns the paths written by this run.
+    With `start_year`, only the contiguous run of yearly archives from that
+    year is taken. Returns the paths written by this run.
     """
     from pyarrow import fs as pafs
 
@@ -97,4 +116,4 @@ def download_and_extract(spark: SparkSession, archive_dir: str, landing_dir: str
     filesystem.create_dir(root, recursive=True)
     infos = filesystem.get_file_info(pafs.FileSelector(root, recursive=False))
     landed = [i.base_name for i in infos if i.type == pafs.FileType.File]
-    return [r["path"] for r in extract_new(spark, archive_dir, landing_dir, landed).collect()]
+    return [r["path"] for r in extract_new(spark, archive_dir, landing_dir, landed, start_year).collect()]
