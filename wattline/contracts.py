@@ -115,11 +115,9 @@ CITY_LOCATION_COLUMNS = [
 
 
 def table_name(header: str) -> str:
-    """Table column name for a header: strip, space/'-' to '_', '?' to 'e', lower.
-
-    Accents are kept (the table layer uses accented names).
-    """
-    return header.strip().replace(" ", "_").replace("-", "_").replace("?", "e").lower()
+    """Table column name for a header (accents kept): see `functions.names.simple_rename`."""
+    from wattline.functions.names import simple_rename
+    return simple_rename(header)
 
 
 CONSUMPTION_COLUMNS = [table_name(h) for h in CONSUMPTION_HEADERS]
