@@ -35,7 +35,7 @@ def linear_regression(features: list[str], label: str = TARGET) -> Pipeline:
 
 
 def random_forest(features: list[str], label: str = TARGET, trees: int = FOREST_TREES,
-                  seed: int = FOREST_SEED, max_depth: int = 20, max_bins: int = 128,
+                  seed: int = FOREST_SEED, max_depth: int = 30, max_bins: int = 128,
                   max_memory_mb: int = 2048) -> Pipeline:
     """Random forest: every feature considered at each split, bootstrap rows.
 
@@ -78,7 +78,7 @@ class KNNModel:
 
 
 def train_models(train: DataFrame, features: list[str], label: str = TARGET,
-                 id_col: str = "row_id", forest_depth: int = 20) -> dict:
+                 id_col: str = "row_id", forest_depth: int = 30) -> dict:
     """Fit all three models on the same training frame (ML-05).
 
     The frame is checkpointed once (shared folder), so the three fits and

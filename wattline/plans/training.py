@@ -60,7 +60,7 @@ class TrainingResult:
 
 def run_training(spark: SparkSession, readings: DataFrame, order_cols: list[str] | None = None,
                  registry_root: str | None = None, model_name: str = "load_model",
-                 forest_depth: int = 20, weather: DataFrame | None = None) -> TrainingResult:
+                 forest_depth: int = 30, weather: DataFrame | None = None) -> TrainingResult:
     shared_root(spark)  # lineage cuts go to the shared spark.checkpoint.dir
     rows = hourly_training_rows(readings, order_cols, weather=weather).checkpoint(eager=True)
     feats = [c for c in rows.columns if c not in ("row_id", "is_test", TARGET)]
