@@ -88,9 +88,9 @@ class Texts:
         np.cumsum((_lower_values if lower else _byte_values)[self.data] * powers[:n], out=sums[1:])
         return lambda a, b: mix((sums[b] - sums[a]) * inverses[a] + (b - a).astype(_U))
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def words(self, separators: np.ndarray = _is_sep) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and end byte of every word, and its document's index."""
-        inside = ~_is_sep[self.data]
+        inside = ~separators[self.data]
         n = len(inside)
         if not n:
             z = np.zeros(0, np.int64)
