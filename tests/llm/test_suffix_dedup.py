@@ -54,7 +54,7 @@ def make_rows():
     return rows
 
 
-@pytest.mark.parametrize("hot", [16384, 1])
+@pytest.mark.parametrize("hot", [4096, 1])
 def test_report_matches_brute_force(spark, hot):
     rows = make_rows()
     got = removal_report(spark.createDataFrame(rows, SCHEMA), hot=hot).collect()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import suffix_dedup
+from wattline.llm import ngram_join, quality, suffix_dedup, toxicity
 from wattline.llm.common import table
 
 
@@ -12,8 +12,25 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.groups(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op8_quality_rules": quality.ORACLE,
+}

@@ -11,7 +11,7 @@ only are repeated as a whole; the contents under one anchor that differ are
 laid side by side in blocks of some megabytes, and interval expansion on the
 block's Burrows-Wheeler transform (`bwt.repeated_starts`) finds what repeats.
 
-An anchor with more than `hot` different contents is cut again by longer
+The contents of an anchor with more than `hot` of them are cut again by longer
 grams, down to single windows, so that no group outgrows a task.
 
 Defined cases: a null text counts as empty; a text shorter than `least`
@@ -36,8 +36,8 @@ from wattline.llm.common import map_slices, save
 from wattline.llm.textbytes import Texts, group_starts, mix, signed
 
 LEAST = 200
-HOT = 16_384             # contents under one anchor (about 5 MB) before it is cut again
-BLOCK_BYTES = 2 << 20
+HOT = 4096               # contents under one anchor (about 1 MB) before it is cut again
+BLOCK_BYTES = 1 << 20
 _LONGEST_RUN = 4096      # windows in a segment
 _CHUNK = 8 << 20         # windows looked at together
 _PLACE = (1 << 24) - 1
@@ -139,26 +139,24 @@ def shared(rows: DataFrame, key: str = "anchor") -> DataFrame:
 
 
 def _take_ranges(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The bytes of each row's range (one text for each text wanted; columns anchor, seg, key, doc_id, start, bytes)."""
+    """anchor, seg, n and the bytes of each row's range."""
     wanted = rows.groupBy("key", F.col("doc_id").alias("id")).agg(
-        F.collect_list(F.struct("anchor", "seg", "start", "size")).alias("ranges"))
+        F.collect_list(F.struct("anchor", "seg", "n", "start", "size")).alias("ranges"))
     texts = docs.join(wanted, (docs["key"] == wanted["key"]) & docs["doc_id"].eqNullSafe(wanted["id"])).select(
-        docs["key"], docs["doc_id"], docs["text"], "ranges")
+        docs["text"], "ranges")
 
     def take(part: pa.RecordBatch) -> pa.RecordBatch | None:
         texts = Texts(part.column("text"))
         lists = part.column("ranges")
         doc = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-        anchor, seg, start, size = (x.to_numpy() for x in lists.flatten().flatten())
+        anchor, seg, n, start, size = (x.to_numpy() for x in lists.flatten().flatten())
         a = texts.starts[doc] + start
         raw = texts.data.tobytes()
-        doc = pa.array(doc)
         return pa.record_batch([
-            pa.array(anchor), pa.array(seg), part.column("key").take(doc), part.column("doc_id").take(doc),
-            pa.array(start), pa.array([raw[x:y] for x, y in zip(a, a + size)], pa.binary())],
-            names=["anchor", "seg", "key", "doc_id", "start", "bytes"])
+            pa.array(anchor), pa.array(seg), pa.array(n),
+            pa.array([raw[x:y] for x, y in zip(a, a + size)], pa.binary())], names=["anchor", "seg", "n", "bytes"])
 
-    return map_slices(texts, take, "anchor long, seg long, key long, doc_id long, start long, bytes binary")
+    return map_slices(texts, take, "anchor long, seg long, n long, bytes binary")
 
 
 def _bytes_of(column: pa.Array) -> Texts:
@@ -172,8 +170,8 @@ def _bytes_of(column: pa.Array) -> Texts:
     return texts
 
 
-def _cut_again(docs: DataFrame, rows: DataFrame, gram: int, least: int) -> DataFrame:
-    """Segments of a hot anchor cut by a longer gram; the new anchor includes the old one."""
+def _cut_again(pieces: DataFrame, gram: int, least: int) -> DataFrame:
+    """Contents of hot anchors cut by a longer gram; the new anchor includes the old one."""
     def cut(part: pa.RecordBatch) -> pa.RecordBatch | None:
         texts = _bytes_of(part.column("bytes"))
         found = _segments(texts, gram, least)
@@ -181,21 +179,42 @@ def _cut_again(docs: DataFrame, rows: DataFrame, gram: int, least: int) -> DataF
             return None
         anchor, a, b, doc, hasher = found
         old = part.column("anchor").to_numpy().view(_U)[doc]
-        start = part.column("start").to_numpy()[doc] + a - texts.starts[doc]
-        doc = pa.array(doc)
+        raw = texts.data.tobytes()
         return pa.record_batch([
-            signed(mix(old + _U(gram)) ^ anchor), signed(hasher(a, b)), part.column("key").take(doc),
-            part.column("doc_id").take(doc), start, b - a],
-            names=["anchor", "seg", "key", "doc_id", "start", "size"])
+            signed(mix(old + _U(gram)) ^ anchor), signed(hasher(a, b)), part.column("anchor").take(pa.array(doc)),
+            part.column("seg").take(pa.array(doc)), a - texts.starts[doc],
+            pa.array([raw[x:y] for x, y in zip(a, b)], pa.binary())],
+            names=["anchor", "seg", "of_anchor", "of_seg", "at", "bytes"])
 
-    return map_slices(_take_ranges(docs, rows), cut, _ROWS, "bytes")
+    return map_slices(pieces, cut, "anchor long, seg long, of_anchor long, of_seg long, at long, bytes binary", "bytes")
 
 
-def _contents(rows: DataFrame) -> DataFrame:
-    """One row for each anchor and content, with an example and the number of occurrences."""
-    return rows.groupBy("anchor", "seg").agg(
-        F.count("*").alias("m"), F.first("key").alias("key"), F.first("doc_id").alias("doc_id"),
-        F.first("start").alias("start"), F.first("size").alias("size"))
+def _whole(contents: DataFrame) -> DataFrame:
+    """Contents that occur more than once repeat from end to end."""
+    return contents.filter("m > 1").select("anchor", "seg", F.lit(0).cast("long").alias("a"), F.col("size").alias("b"))
+
+
+def _resolve(pieces: DataFrame, grams: list[int], least: int, hot: int) -> DataFrame:
+    """Ranges (anchor, seg, a, b) of contents that also occur in another content of the anchor, or again in their own."""
+    # Under whole windows the contents of an anchor are runs of one window: few, of different lengths.
+    small = pieces.filter(F.col("n") <= hot) if grams else pieces
+    found = small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
+        _expand(least), "anchor long, seg long, a long, b long")
+    crowded = pieces.filter(F.col("n") > hot)
+    if not grams or crowded.isEmpty():
+        return found
+    cut = save(_cut_again(crowded, grams[0], least))
+    contents = cut.groupBy("anchor", "seg").agg(F.count("*").alias("m"), F.first("bytes").alias("bytes"))
+    contents = save(contents.withColumn("size", F.length("bytes").cast("long")))
+    inner = _resolve(save(_counted(contents).filter("n > 1").select("anchor", "seg", "n", "bytes")), grams[1:], least, hot)
+    return found.unionByName(cut.join(_whole(contents).unionByName(inner), ["anchor", "seg"]).select(
+        F.col("of_anchor").alias("anchor"), F.col("of_seg").alias("seg"),
+        (F.col("a") + F.col("at")).alias("a"), (F.col("b") + F.col("at")).alias("b")))
+
+
+def _counted(contents: DataFrame) -> DataFrame:
+    """With the number n of contents under the anchor."""
+    return contents.join(contents.groupBy("anchor").agg(F.count("*").alias("n")), "anchor")
 
 
 def _expand(least: int):
@@ -253,26 +272,12 @@ def repeated_ranges(docs: DataFrame, least: int = LEAST, hot: int = HOT) -> Data
     """
     grams = gram_lengths(least)
     rows = save(shared(_cut(docs, grams[0], least)))
-    for gram in grams[1:]:
-        crowded = save(rows.groupBy("anchor").agg(F.count_distinct("seg").alias("n")).filter(F.col("n") > hot))
-        if crowded.isEmpty():
-            break
-        crowded = crowded.select("anchor")
-        rows = save(rows.join(crowded, "anchor", "left_anti").unionByName(
-            shared(_cut_again(docs, rows.join(crowded, "anchor", "left_semi"), gram, least))))
-    contents = save(_contents(rows))
-    groups = contents.groupBy("anchor").agg(F.count("*").alias("n"))
-    contents = contents.join(groups, "anchor")
-    alone = contents.filter("n = 1").select("anchor", "seg", F.lit(0).cast("long").alias("a"),
-                                            F.col("size").alias("b"))
-    pieces = _take_ranges(docs, contents.filter("n > 1")).select("anchor", "seg", "bytes")
-    found = pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        _expand(least), "anchor long, seg long, a long, b long")
-    # A content of which the block holds one copy only still repeats if it occurred twice.
-    twice = contents.filter("n > 1 and m > 1").select("anchor", "seg", F.lit(0).cast("long").alias("a"),
-                                                      F.col("size").alias("b"))
-    places = rows.select("anchor", "seg", "key", "start").distinct()
-    ranges = places.join(alone.unionByName(found).unionByName(twice), ["anchor", "seg"])
+    contents = save(rows.groupBy("anchor", "seg").agg(
+        F.count("*").alias("m"), F.first("key").alias("key"), F.first("doc_id").alias("doc_id"),
+        F.first("start").alias("start"), F.first("size").alias("size")))
+    pieces = save(_take_ranges(docs, _counted(contents).filter("n > 1")))
+    ranges = rows.select("anchor", "seg", "key", "start").join(
+        _whole(contents).unionByName(_resolve(pieces, grams[1:], least, hot)), ["anchor", "seg"])
     return ranges.groupBy("key").agg(F.collect_set(
         F.shiftleft(F.col("start") + F.col("a"), 32) + F.col("start") + F.col("b")).alias("ranges"))
 
