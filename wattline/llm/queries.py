@@ -4,14 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import ngram_join, quality, suffix_dedup, toxicity
+from wattline.llm import bpe, chat, neighbours, ngram_join, packing, quality, sharding, span_dedup, suffix_dedup, toxicity
 from wattline.llm.common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return span_dedup.without_repeats(documents)
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
 
 
+def op3_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(table(spark, sf_dir, "documents"))
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(chat.conversations(chat.with_hostile(spark, table(spark, sf_dir, "conversations"))))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
@@ -25,7 +50,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op3_approximate_neighbours": op3_approximate_neighbours,
+    "op4_bpe": op4_bpe,
+    "op5_chat_formatting": op5_chat_formatting,
+    "op6_sharding": op6_sharding,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_toxicity": op10_toxicity,
