@@ -35,7 +35,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     from wattline.session import get_session
     from wattline.plans.catalog import QUERIES
-    spark = get_session(f"local[{cpus}]", cpus, app_name="wattline-bench")
+    spark = get_session(f"local[{cpus}]", cpus, app_name="wattline-bench", driver_memory="16g")
 
     def once(name: str) -> float:
         t0 = time.perf_counter()

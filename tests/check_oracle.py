@@ -88,7 +88,7 @@ def main(argv):
     names = argv[2:]
     import __spark_entry__ as E
     from wattline.session import get_session
-    spark = get_session("local[8]", 8)
+    spark = get_session("local[8]", 8, driver_memory="8g")
     con = duck(sf_dir)
     qs, orc = E.queries(), E.oracle_sql()
     bad = 0

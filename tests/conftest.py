@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from wattline.session import get_session
-    s = get_session("local[4]", 4, app_name="wattline-tests")
+    s = get_session("local[4]", 4, app_name="wattline-tests", driver_memory="8g")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wattline-test-ckpt-"))
     yield s

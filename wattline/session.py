@@ -34,17 +34,21 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "wattline") -> SparkSession:
-    """Build (or reuse) a session for local runs, tests and the bench."""
+                app_name: str = "wattline", driver_memory: str | None = None) -> SparkSession:
+    """Build (or reuse) a session. Partition count and driver memory stay as the cluster
+    set them unless the caller (tests, bench) or WATTLINE_DRIVER_MEMORY asks for others."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-               .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-               .config("spark.driver.memory", os.environ.get("WATTLINE_DRIVER_MEMORY", "16g")))
+               .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    driver_memory = driver_memory or os.environ.get("WATTLINE_DRIVER_MEMORY")
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -66,7 +70,7 @@ def shared_root(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(root)
             root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder on the shared file system")
         root = tempfile.mkdtemp(prefix="wattline-ckpt-")  # single-machine session only
         spark.sparkContext.setCheckpointDir(root)
