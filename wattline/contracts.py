@@ -25,6 +25,18 @@ CONSUMPTION_HEADERS = [
     "Déstockage_batterie", "Eolien_terrestre", "Eolien_offshore",
 ]
 
+# Columns of the consumption table: the headers above under the table layer's spelling (PRJ-03).
+CONSUMPTION_COLUMNS = [
+    "périmètre", "nature", "date", "heures", "consommation", "prévision_j_1", "prévision_j",
+    "fioul", "charbon", "gaz", "nucléaire", "eolien", "solaire", "hydraulique", "pompage",
+    "bioénergies", "ech_physiques", "taux_de_co2", "ech_comm_angleterre", "ech_comm_espagne",
+    "ech_comm_italie", "ech_comm_suisse", "ech_comm_allemagne_belgique", "fioul_tac", "fioul_cogén",
+    "fioul_autres", "gaz_tac", "gaz_cogén", "gaz_ccg", "gaz_autres",
+    "hydraulique_fil_de_leau_eclusée", "hydraulique_lacs", "hydraulique_step_turbinage",
+    "bioénergies_déchets", "bioénergies_biomasse", "bioénergies_biogaz", "stockage_batterie",
+    "déstockage_batterie", "eolien_terrestre", "eolien_offshore",
+]
+
 # Columns of the consumption table kept as text; every other one is an integer.
 CONSUMPTION_TEXT_COLUMNS = ["périmètre", "nature", "date", "heures", "stockage_batterie"]
 
@@ -113,14 +125,6 @@ CITY_LOCATION_COLUMNS = [
 # Derived contracts
 # ---------------------------------------------------------------------------
 
-
-def table_name(header: str) -> str:
-    """Table column name for a header (accents kept): see `functions.names.simple_rename`."""
-    from wattline.functions.names import simple_rename
-    return simple_rename(header)
-
-
-CONSUMPTION_COLUMNS = [table_name(h) for h in CONSUMPTION_HEADERS]
 CONSUMPTION_INT_COLUMNS = [c for c in CONSUMPTION_COLUMNS if c not in CONSUMPTION_TEXT_COLUMNS]
 
 # Frame layer: 64-bit integers. Table layer: 32-bit integers.

@@ -1,33 +1,42 @@
-"""Column-name rules (schema metadata only; no rows are touched)."""
+"""Column-name rules (schema metadata only; no rows are touched).
+
+Both rules walk a header once and ask a table-driven rule what each
+character becomes; neither touches data.
+"""
 
 from __future__ import annotations
 
-import re
 import unicodedata
+from collections.abc import Iterable
 
-_NON_ALNUM = re.compile(r"[^a-z0-9]+")
-_TABLE_CHARS = str.maketrans({" ": "_", "-": "_", "?": "e"})
+# Characters that stand for an accent lost in decoding, and what they are read as.
+LOST_ACCENTS = {"?": "e", "\ufffd": "e"}
+# What the table layer writes for characters it does not keep.
+TABLE_SPELLING = {" ": "_", "-": "_", "?": "e"}
 
+_KEPT = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
 
-def clean_colname(name) -> str:
-    """ASCII snake-case name for a raw header (PRJ-01).
 
-    Trim; a replacement character or '?' (a mis-decoded accent) becomes 'e';
-    fold accents through NFKD and keep ASCII only; lower-case; every run of
-    characters outside [a-z0-9] becomes one '_'; no '_' at either end.
-    """
-    text = str(name).strip()
-    text = text.replace("�", "e").replace("?", "e")
-    text = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii")
-    return _NON_ALNUM.sub("_", text.lower()).strip("_")
+def _plain_characters(header: str) -> Iterable[str]:
+    """The ASCII characters a header is made of: accents are taken off their letters, other scripts vanish."""
+    for char in header:
+        yield from (c for c in unicodedata.normalize("NFKD", LOST_ACCENTS.get(char, char)) if c.isascii())
 
 
-def simple_rename(name: str) -> str:
-    """Table-layer rename (PRJ-03): strip, space/'-' to '_', '?' to 'e', lower.
+def clean_colname(name) -> str:
+    """ASCII snake-case name for a raw header (PRJ-01): its words of letters and digits, joined by '_'."""
+    words = [""]
+    for char in _plain_characters(str(name)):
+        if char.lower() in _KEPT:
+            words[-1] += char.lower()
+        elif words[-1]:
+            words.append("")
+    return "_".join(filter(None, words))
 
-    Accents are kept.
-    """
-    return name.strip().translate(_TABLE_CHARS).lower()
+
+def simple_rename(name: str) -> str:
+    """Table-layer name (PRJ-03): `TABLE_SPELLING` for each character, lower case, accents kept."""
+    return "".join(TABLE_SPELLING.get(char, char) for char in name.strip()).lower()
 
 
 def positional_headers(fields: list) -> list[str]:
