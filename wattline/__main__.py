@@ -15,6 +15,8 @@ from __future__ import annotations
 import argparse
 import json
 
+from wattline.contracts import FIRST_DATA_YEAR
+
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="wattline")
@@ -23,7 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     ex = sub.add_parser("extract")
     ex.add_argument("--archives", required=True)
     ex.add_argument("--landing", required=True)
-    ex.add_argument("--start-year", type=int, default=None)
+    ex.add_argument("--start-year", type=int, default=FIRST_DATA_YEAR, help="first yearly archive; 0 takes every archive")
     lt = sub.add_parser("load-table")
     lt.add_argument("--data", required=True)
     lt.add_argument("--table", required=True)
@@ -52,8 +54,8 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd == "extract":
         from wattline.sources.archive import download_and_extract
-        written = download_and_extract(spark, args.archives, args.landing, args.start_year)
-        print(json.dumps({"extracted": len(written)}))
+        written = download_and_extract(spark, args.archives, args.landing, args.start_year or None)
+        print(json.dumps({"extracted": written.count()}))
     elif args.cmd == "load-table":
         from wattline.plans.table_load import load_table
         print(json.dumps(load_table(spark, args.data, args.table, args.rejected, by_year=args.by_year)))

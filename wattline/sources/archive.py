@@ -1,15 +1,15 @@
 """Archive ingest (SRC-07): unpack zip archives into a landing directory.
 
-Archives are read as binary rows and unpacked inside tasks
-(`mapInPandas`), members already landed are skipped by a `left_anti` join
-on the member name, and each new member is written by the task that holds
-it. Member names are reduced to their base name, so an archive can never
-write outside the landing directory.
+Only names travel through Spark: tasks read each archive's directory of
+members, a `left_anti` join on the member's path skips what has landed, and
+the task that holds a member copies it from the archive to the landing
+directory in chunks, so its memory does not depend on the archive's or the
+member's size. Members keep their path inside the archive; one that would
+leave the landing directory is an error.
 """
 
 from __future__ import annotations
 
-import io
 import posixpath
 import uuid
 import zipfile
@@ -17,103 +17,98 @@ import zipfile
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_MEMBERS = T.StructType([
-    T.StructField("archive", T.StringType()),
-    T.StructField("member", T.StringType()),
-    T.StructField("content", T.BinaryType()),
-])
-_WRITTEN = T.StructType([T.StructField("member", T.StringType()),
-                         T.StructField("path", T.StringType())])
+from wattline.session import fresh_location
+from wattline.sources.files import arrow_fs
 
+_COPY_BYTES = 1 << 20
 
-def _unzip(batches):
+
+def safe_member(name: str) -> str:
+    """A member's path relative to the landing directory; absolute or upward paths are an error."""
+    path = posixpath.normpath(name.replace("\\", "/"))
+    if path.startswith(("/", "../")) or path == ".." or ":" in path.split("/")[0]:
+        raise ValueError(f"archive member leaves the landing directory: {name}")
+    return path
+
+
+def _list_members(batches):
     for pdf in batches:
-        rows = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                for info in zf.infolist():
-                    if info.is_dir():
-                        continue
-                    base = posixpath.basename(info.filename.replace("\\", "/"))
-                    if base:
-                        rows.append((path, base, zf.read(info)))
-        yield pd.DataFrame(rows, columns=["archive", "member", "content"])
-
-
-def _writer(landing_dir: str):
-    def write(batches):
-        from pyarrow import fs as pafs
-
-        from wattline.sources.files import arrow_fs
+        for path in pdf["path"]:
+            filesystem, local = arrow_fs(path)
+            with filesystem.open_input_file(local) as f, zipfile.ZipFile(f) as zf:
+                names = [(path, safe_member(i.filename), i.filename) for i in zf.infolist() if not i.is_dir()]
+            yield pd.DataFrame(names, columns=["archive", "member", "entry"])
+
+
+def _copier(landing_dir: str):
+    def copy(batches):
         filesystem, root = arrow_fs(landing_dir)
         for pdf in batches:
             done = []
-            for member, content in zip(pdf["member"], pdf["content"]):
-                final = f"{root}/{member}"
-                if filesystem.get_file_info(final).type == pafs.FileType.NotFound:
-                    tmp = f"{root}/.{member}.{uuid.uuid4().hex}.tmp"
-                    with filesystem.open_output_stream(tmp) as out:
-                        out.write(content)
-                    filesystem.move(tmp, final)
-                done.append((member, f"{landing_dir.rstrip('/')}/{member}"))
+            for archive, rows in pdf.groupby("archive"):
+                source, local = arrow_fs(archive)
+                with source.open_input_file(local) as f, zipfile.ZipFile(f) as zf:
+                    for member, entry in zip(rows["member"], rows["entry"]):
+                        final = f"{root}/{member}"
+                        folder, base = posixpath.split(final)
+                        filesystem.create_dir(folder, recursive=True)
+                        tmp = f"{folder}/.{base}.{uuid.uuid4().hex}.tmp"
+                        with zf.open(entry) as data, filesystem.open_output_stream(tmp) as out:
+                            while chunk := data.read(_COPY_BYTES):
+                                out.write(chunk)
+                        filesystem.move(tmp, final)
+                        done.append((member, f"{landing_dir.rstrip('/')}/{member}"))
             yield pd.DataFrame(done, columns=["member", "path"])
-    return write
+    return copy
 
 
 def archive_members(spark: SparkSession, archive_dir: str, start_year: int | None = None) -> DataFrame:
-    """(archive, member, content) for every file inside every zip of the directory.
+    """(archive, member, entry) for every file inside every zip of the directory; no content is read.
 
     With `start_year`, only yearly archives (a 4-digit year in the name) from
-    that year up to the first missing year are read (SRC-08). The choice is
-    made on a listing that reads no bytes (`content` is not selected), and
-    only the chosen archives are then opened.
+    that year up to the first missing year are opened (SRC-08).
     """
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
-               .load(archive_dir))
-    if start_year is None:
-        zips = listing
-    else:
+    paths = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
+             .load(archive_dir).select("path"))
+    if start_year is not None:
         from wattline.sources.years import contiguous_years
-        named = listing.select("path", F.regexp_extract(F.col("path"), r"((?:19|20)[0-9]{2})[^/]*$", 1)
-                               .try_cast("int").alias("year"))
+        named = paths.select("path", F.regexp_extract(F.col("path"), r"((?:19|20)[0-9]{2})[^/]*$", 1)
+                             .try_cast("int").alias("year"))
         run = contiguous_years(named.where(F.col("year").isNotNull()), start_year)
-        chosen = [r["path"] for r in named.join(run, "year", "left_semi").select("path").collect()]
-        if not chosen:
-            return spark.createDataFrame([], _MEMBERS)
-        zips = spark.read.format("binaryFile").load(chosen)
-    return zips.select("path", "content").mapInPandas(_unzip, _MEMBERS)
+        paths = named.join(run, "year", "left_semi").select("path")
+    return paths.mapInPandas(_list_members, "archive string, member string, entry string")
+
+
+def landed_members(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """Paths (relative to the landing directory) of the files already there."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(landing_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    root = fs.makeQualified(path).toString().rstrip("/") + "/"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing_dir)
+    return files.select(F.substring(F.col("path"), F.lit(len(root) + 1), F.length("path")).alias("member"))
 
 
-def extract_new(spark: SparkSession, archive_dir: str, landing_dir: str,
-                landed_names: list[str], start_year: int | None = None) -> DataFrame:
-    """Write members not yet landed; returns (member, path) of those written.
+def extract_new(spark: SparkSession, archive_dir: str, landing_dir: str, start_year: int | None = None) -> DataFrame:
+    """The copy of members not yet landed, as a plan; its rows are (member, path) of those written.
 
-    A member name present in several archives is taken from the first
-    archive by path. `landed_names` are the base names already present.
+    The same path in several archives is taken from the first archive by name.
     """
     members = archive_members(spark, archive_dir, start_year)
-    first = (members.groupBy("member")
-             .agg(F.min_by(F.struct("archive", "content"), F.col("archive")).alias("m"))
-             .select("member", F.col("m.content").alias("content")))
-    landed = spark.createDataFrame([(n,) for n in landed_names], "member string")
-    new = first.join(landed, on="member", how="left_anti")
-    return new.mapInPandas(_writer(landing_dir), _WRITTEN)
+    first = members.groupBy("member").agg(F.min(F.struct("archive", "entry")).alias("m")).select(
+        "member", "m.archive", "m.entry")
+    new = first.join(landed_members(spark, landing_dir), on="member", how="left_anti")
+    return new.repartition("archive", "member").mapInPandas(_copier(landing_dir), "member string, path string")
 
 
 def download_and_extract(spark: SparkSession, archive_dir: str, landing_dir: str,
-                         start_year: int | None = None) -> list[str]:
-    """Unpack archives into `landing_dir`, skipping members already there.
+                         start_year: int | None = None) -> DataFrame:
+    """Unpack archives into `landing_dir`, skipping members already there; (member, path) of what was written.
 
-    With `start_year`, only the contiguous run of yearly archives from that
-    year is taken. Returns the paths written by this run.
+    With `start_year`, only the contiguous run of yearly archives from that year is taken.
     """
-    from pyarrow import fs as pafs
-
-    from wattline.sources.files import arrow_fs
-    filesystem, root = arrow_fs(landing_dir)
-    filesystem.create_dir(root, recursive=True)
-    infos = filesystem.get_file_info(pafs.FileSelector(root, recursive=False))
-    landed = [i.base_name for i in infos if i.type == pafs.FileType.File]
-    return [r["path"] for r in extract_new(spark, archive_dir, landing_dir, landed, start_year).collect()]
+    written = fresh_location(spark, "extracted")
+    extract_new(spark, archive_dir, landing_dir, start_year).write.parquet(written)
+    return spark.read.parquet(written)
