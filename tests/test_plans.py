@@ -76,6 +76,7 @@ def test_training_rows_with_weather(spark):
         "city string, date string, temperature_2m double, relative_humidity_2m double"
     ).withColumn("date", F.to_timestamp("date"))
     rows = {r["hour"]: r for r in hourly_training_rows(readings, ["_row_id"], weather=wx).collect()}
-    assert rows[0]["temperature_2m"] == 3.0 and rows[1]["temperature_2m"] == 6.0
-    assert rows[2]["temperature_2m"] == 0.0          # no weather that hour -> 0 after the fill
+    # midnight UTC is one o'clock on the readings' clock
+    assert rows[1]["temperature_2m"] == 3.0 and rows[2]["temperature_2m"] == 6.0
+    assert rows[0]["temperature_2m"] == 0.0          # no weather that hour -> 0 after the fill
     assert rows[0]["consommation"] == 100.0

@@ -24,6 +24,8 @@ from wattline.operators.hourly import aggregate_hourly, training_frame
 from wattline.operators.tables import join_hourly
 from wattline.session import shared_root
 
+READING_ZONE = "Europe/Paris"      # fixed value: the zone of the readings' wall clock
+
 
 def hourly_training_rows(readings: DataFrame, order_cols: list[str] | None = None,
                          numeric: str = "auto", weather: DataFrame | None = None) -> DataFrame:
@@ -35,7 +37,9 @@ def hourly_training_rows(readings: DataFrame, order_cols: list[str] | None = Non
     """
     hourly = aggregate_hourly(readings, order_cols, numeric)
     if weather is not None:
-        wx = weather.withColumn("hour_ts", F.date_trunc("hour", F.col("date")).cast("timestamp_ntz"))
+        # Readings carry the local wall clock, weather UTC.
+        local = F.from_utc_timestamp(F.col("date"), READING_ZONE)
+        wx = weather.withColumn("hour_ts", F.date_trunc("hour", local).cast("timestamp_ntz"))
         hourly = join_hourly(hourly.withColumnRenamed("datetime", "hour_ts"), wx.drop("date"))
         hourly = hourly.withColumnRenamed("hour_ts", "datetime")
     cal = calendar_columns(F.col("datetime"))

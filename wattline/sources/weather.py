@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from wattline.contracts import CITIES, CITY_LOCATION_COLUMNS, CITY_SCHEMA, WEATHER_VARIABLES
 
+REQUEST_ZONE = "Europe/London"     # fixed value: the zone whose days a weather request names
+
 
 def _steps(time: Column, end: Column, interval: Column) -> Column:
     """Number of steps in [time, end) with the given stride (0 when empty)."""
@@ -62,14 +64,10 @@ def city_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CITIES, CITY_SCHEMA)
 
 
-def attach_dimension(facts: DataFrame, dim: DataFrame, on: str, max_dim_rows: int = 10_000) -> DataFrame:
-    """Left join facts to a small dimension, broadcasting it when its size is proven small.
-
-    The dimension's row count is checked with a bounded count (it stops at
-    `max_dim_rows + 1`); above the bound the join is left to the planner.
-    """
-    small = dim.limit(max_dim_rows + 1).count() <= max_dim_rows
-    return facts.join(F.broadcast(dim) if small else dim, on=on, how="left")
+def attach_dimension(facts: DataFrame, dim: DataFrame, on: str) -> DataFrame:
+    """Left join facts to a dimension. Whether it is broadcast is the planner's choice, from measured
+    bytes (`spark.sql.autoBroadcastJoinThreshold`)."""
+    return facts.join(dim, on=on, how="left")
 
 
 def unmatched(facts: DataFrame, dim: DataFrame, on: str) -> DataFrame:
@@ -110,10 +108,10 @@ def flatten_forecast(df: DataFrame, json_col: str = "forecast", city_col: str =
         F.col("f.dt").alias("dt"),
         F.col("f.T.min").cast("float").alias("min_temp"),
         F.col("f.T.max").cast("float").alias("max_temp"),
-        F.col("f.humidity.min").cast("int").alias("min_humidity"),
-        F.col("f.humidity.max").cast("int").alias("max_humidity"),
+        F.col("f.humidity.min").try_cast("int").alias("min_humidity"),
+        F.col("f.humidity.max").try_cast("int").alias("max_humidity"),
         F.col("f.precipitation.`24h`").cast("float").alias("precipitation"),
-        F.col("f.uv").cast("int").alias("uv"),
+        F.col("f.uv").try_cast("int").alias("uv"),
         F.col("f.weather12H.icon").alias("weather_icon"),
         F.col("f.weather12H.desc").alias("weather_desc"),
         F.col("f.sun.rise").alias("sunrise"),
@@ -154,12 +152,24 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 def fetch_weather(spark: SparkSession, blocks_path: str, start_date: str, end_date: str) -> DataFrame:
     """Hourly weather of every city from landed blocks (SRC-09 + SRC-10).
 
-    Keeps hours from `start_date` 00:00 UTC up to the end of `end_date`,
-    with the city's coordinates attached from the fixed city table. Cities
-    are kept as a column (one row per city and hour).
+    Keeps the hours of the days `start_date` to `end_date` as the request
+    counts them, in `REQUEST_ZONE` (a summer day begins at 23:00 UTC), with
+    the city's coordinates attached from the fixed city table. Cities are
+    kept as a column (one row per city and hour). A block whose arrays do not
+    match its range is an error that names its city, as is a city outside
+    the fixed table.
     """
-    hourly = expand_blocks(read_blocks(spark, blocks_path))
-    start = F.to_timestamp(F.lit(start_date))
-    stop = F.to_timestamp(F.lit(end_date)) + F.expr("INTERVAL 1 DAY")
+    blocks = read_blocks(spark, blocks_path)
+    bad = block_errors(blocks).select("city", "bad_variables").limit(20).collect()
+    if bad:
+        raise ValueError("weather blocks do not match their range: "
+                         + "; ".join(f"{r['city']}: {', '.join(r['bad_variables'])}" for r in bad))
+    cities = F.broadcast(city_dimension(spark))    # 21 fixed rows
+    unknown = [r["city"] for r in unmatched(blocks, cities, "city").limit(20).collect()]
+    if unknown:
+        raise ValueError(f"weather of unknown cities: {', '.join(map(str, unknown))}")
+    hourly = expand_blocks(blocks)
+    start = F.to_utc_timestamp(F.lit(start_date).cast("timestamp_ntz").cast("timestamp"), REQUEST_ZONE)
+    stop = F.to_utc_timestamp(F.date_add(F.lit(end_date).cast("date"), 1).cast("timestamp"), REQUEST_ZONE)
     in_range = hourly.where((F.col("date") >= start) & (F.col("date") < stop))
-    return attach_dimension(in_range, city_dimension(spark), on="city")
+    return attach_dimension(in_range, cities, on="city")
