@@ -99,3 +99,21 @@ def test_zipped_spreadsheet_is_reported(spark, workdir):
         z.writestr("xl/workbook.xml", "<workbook/>")
     with pytest.raises(ValueError, match="binary spreadsheet"):
         load_all_data(spark, d)
+
+
+def test_quoted_cells_as_pandas_reads_them(spark, workdir):
+    import pandas as pd
+    cells = ['x ""y"" z', "back\\", "plain", 'a;b', "line one\nline two", "C:\\dir\\", '""', "end\\\\"]
+    text = "name;note;n\n" + "".join(f'row{i};"{c}";{i}\n' for i, c in enumerate(cells))
+    write(os.path.join(workdir, "a+b.csv"), text)
+    write(os.path.join(workdir, "comma.csv"), 'p,q\n1,"x, y"\n2,z\n')
+    got = load_all_data(spark, workdir)
+    want = pd.read_csv(os.path.join(workdir, "a+b.csv"), sep=";", dtype=str, encoding="latin-1", keep_default_na=False)
+    rows = got.where("source_file = 'a+b.csv'").select("name", "note", "n").collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, want.values.tolist()))
+    assert sorted(map(tuple, got.where("source_file = 'comma.csv'").select("p", "q").collect())) == [("1", "x, y"), ("2", "z")]
+
+
+def test_header_after_many_blank_bytes(spark, workdir):
+    write(os.path.join(workdir, "late.csv"), "\n" * (17 << 20) + "a;b\n1;2\n")
+    assert [tuple(r) for r in load_all_data(spark, workdir).select("a", "b").collect()] == [("1", "2")]

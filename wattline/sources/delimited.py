@@ -66,7 +66,6 @@ def list_files(spark: SparkSession, data_dir: str,
 
 
 _HEAD_CHUNK = 1 << 16
-_HEAD_LIMIT = 1 << 24          # a header line longer than 16 MB is not a header
 _ZIP_MAGIC = b"PK\x03\x04"    # a real (zipped) spreadsheet, not delimited text
 _BINARY = "\x00binary"
 
@@ -84,7 +83,7 @@ def _read_heads(batches):
             tail = b""
             with filesystem.open_input_stream(local) as f:
                 read = 0
-                while len(lines) < 2 and read < _HEAD_LIMIT:
+                while len(lines) < 2:
                     chunk = f.read(_HEAD_CHUNK)
                     if read == 0 and chunk.startswith(_ZIP_MAGIC):
                         lines = [_BINARY]
@@ -99,8 +98,18 @@ def _read_heads(batches):
                             lines.append(tail.decode(ENCODING))
                         break
             for rn, line in enumerate(lines[:2], start=1):
-                out.append((path, rn, line))
-        yield pd.DataFrame(out, columns=["file_path", "_rn", "value"])
+                out.append((path, rn, line, read > _HEAD_CHUNK))
+        yield pd.DataFrame(out, columns=["file_path", "_rn", "value", "late"])
+
+
+def _open_quote(v):
+    """True for a line with an odd number of quotes: one of its cells goes on in the next line."""
+    return (F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))) % 2 == 1
+
+
+def _decoded_path():
+    """The file's path as Hadoop lists it. Only percent escapes are decoded: a plus sign is a plus sign."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def _width_exprs(v, candidates):
@@ -124,29 +133,31 @@ def sniff(spark: SparkSession, paths: list[str],
     k = range(len(candidates))
     names = spark.createDataFrame([(p,) for p in paths], "path string")
     names = names.repartition(max(1, min(len(paths), spark.sparkContext.defaultParallelism)))
-    heads = names.mapInPandas(_read_heads, "file_path string, _rn int, value string")
-    head_w = heads.select("file_path", "_rn", "value", *_width_exprs(F.col("value"), candidates))
+    heads = names.mapInPandas(_read_heads, "file_path string, _rn int, value string, late boolean")
+    head_w = heads.select("file_path", "_rn", "value", "late", *_width_exprs(F.col("value"), candidates))
     per_head = head_w.groupBy("file_path").agg(
-        F.max(F.when(F.col("_rn") == 1, F.col("value"))).alias("header"),
+        F.max(F.when(F.col("_rn") == 1, F.col("value"))).alias("header"), F.max("late").alias("late"),
         *[F.max(F.when(F.col("_rn") == 1, F.col(f"w{i}"))).alias(f"h{i}") for i in k],
         *[F.max(F.when(F.col("_rn") == 2, F.col(f"w{i}"))).alias(f"d{i}") for i in k])
     lines = (spark.read.option("sep", _LINE_SEP).option("quote", "").option("escape", "")
              .option("encoding", ENCODING).option("header", "false")
              .schema(T.StructType([T.StructField("value", T.StringType())])).csv(paths))
-    widest = (lines.select(F.url_decode(F.col("_metadata.file_path")).alias("file_path"),
-                           *_width_exprs(F.col("value"), candidates))
-              .groupBy("file_path").agg(*[F.max(f"w{i}").alias(f"m{i}") for i in k]))
+    widest = (lines.select(_decoded_path().alias("file_path"),
+                           *_width_exprs(F.col("value"), candidates), _open_quote(F.col("value")).alias("odd"))
+              .groupBy("file_path").agg(*[F.max(f"w{i}").alias(f"m{i}") for i in k], F.max("odd").alias("multiline")))
     per_file = per_head.join(widest, "file_path")
     # a candidate is usable when no line is wider than both header and first data line;
     # the widest usable header wins, the earlier candidate on a tie
-    usable = [F.col(f"m{i}") <= F.greatest(F.col(f"h{i}"), F.coalesce(F.col(f"d{i}"), F.col(f"h{i}")))
+    # (a cell that goes on over a line break makes the widths of lines meaningless: no candidate is ruled out)
+    usable = [F.col("multiline") | (F.col(f"m{i}") <= F.greatest(F.col(f"h{i}"), F.coalesce(F.col(f"d{i}"), F.col(f"h{i}"))))
               for i in k]
     score = [F.when(usable[i], F.col(f"h{i}")).otherwise(F.lit(0)) for i in k]
     best_w = F.greatest(*score)
     choice = F.lit(None).cast("string")
     for i in reversed(k):
         choice = F.when(score[i] == best_w, F.lit(candidates[i])).otherwise(choice)
-    decided = per_file.select("file_path", "header", F.when(best_w > 1, choice).alias("sep"))
+    decided = per_file.select("file_path", "header", F.when(best_w > 1, choice).alias("sep"),
+                              "multiline", (F.col("multiline") | F.col("late")).alias("whole"))
     found = {r["file_path"]: r for r in decided.collect()}
     out = []
     for p in paths:
@@ -160,14 +171,18 @@ def sniff(spark: SparkSession, paths: list[str],
             out.append({"path": p, "sep": None, "header": None, "error": "separator not detected"})
         else:
             cells = next(csv.reader(io.StringIO(r["header"]), delimiter=r["sep"]))
-            out.append({"path": p, "sep": r["sep"], "header": cells, "error": None})
+            out.append({"path": p, "sep": r["sep"], "header": cells, "error": None, "whole": r["whole"]})
     return out
 
 
-def read_group(spark: SparkSession, paths: list[str], sep: str, header: list[str]) -> DataFrame:
+def read_group(spark: SparkSession, paths: list[str], sep: str, header: list[str],
+               whole: bool = False) -> DataFrame:
     """One parse of files sharing separator and header (SRC-03, SRC-06).
 
-    All cells are strings; surplus trailing fields are cut, short rows are
+    All cells are strings; in a quoted cell a doubled quote is a quote, a
+    backslash is itself, and a line break belongs to the cell. Files with such
+    a break, or whose header does not stand near their start, are not split
+    (`whole`); surplus trailing fields are cut, short rows are
     padded with null, blank lines are skipped; the reader's null spellings
     become null. Adds `source_file` and hidden row-order columns.
     """
@@ -181,7 +196,8 @@ def read_group(spark: SparkSession, paths: list[str], sep: str, header: list[str
     raw_names = [f"c{i}" for i in range(len(unique))]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in raw_names])
     df = (spark.read.option("sep", sep).option("header", "true").option("encoding", ENCODING)
-          .option("mode", "PERMISSIVE").option("enforceSchema", "true").schema(schema).csv(paths))
+          .option("mode", "PERMISSIVE").option("enforceSchema", "true").option("escape", '"')
+          .option("multiLine", str(whole).lower()).schema(schema).csv(paths))
     tokens = [t for t in NULL_TOKENS if t != ""]
     cols = [F.when(F.col(r).isin(tokens), F.lit(None)).otherwise(F.col(r)).alias(n)
             for r, n in zip(raw_names, unique)]
@@ -213,8 +229,8 @@ def load_files(spark: SparkSession, paths: list[str]) -> DataFrame:
         raise ValueError("cannot load: " + "; ".join(f"{p['path']}: {p['error']}" for p in bad))
     groups: dict[tuple, list[str]] = defaultdict(list)
     for p in plan:
-        groups[(p["sep"], tuple(p["header"]))].append(p["path"])
-    frames = [read_group(spark, ps, sep, list(header)) for (sep, header), ps in groups.items()]
+        groups[(p["sep"], tuple(p["header"]), p["whole"])].append(p["path"])
+    frames = [read_group(spark, ps, sep, list(header), whole) for (sep, header, whole), ps in groups.items()]
     return union_by_name(frames)
 
 
