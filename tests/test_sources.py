@@ -63,7 +63,7 @@ def test_contiguous_years(spark):
 def test_archive_extract_skips_landed(spark, workdir):
     zdir, land = os.path.join(workdir, "zips"), os.path.join(workdir, "landing")
     os.makedirs(zdir)
-    for name, members in [("y2012.zip", {"a.xls": b"x\ty\n1\t2\n", "dir/b.xls": b"p;q\n"}),
+    for name, members in [("y2012.zip", {"a.xls": b"x\ty\n1\t2\n", "dir/b.xls": b"p;q\n", "other/b.xls": b"s;t\n"}),
                           ("y2013.zip", {"c.xls": b"r;s\n"})]:
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w") as z:
@@ -72,9 +72,20 @@ def test_archive_extract_skips_landed(spark, workdir):
         with open(os.path.join(zdir, name), "wb") as f:
             f.write(buf.getvalue())
     first = download_and_extract(spark, zdir, land)
-    assert sorted(os.path.basename(p) for p in first) == ["a.xls", "b.xls", "c.xls"]
+    assert sorted(r["member"] for r in first.collect()) == ["a.xls", "c.xls", "dir/b.xls", "other/b.xls"]
+    assert open(os.path.join(land, "other", "b.xls"), "rb").read() == b"s;t\n"
     assert open(os.path.join(land, "a.xls"), "rb").read() == b"x\ty\n1\t2\n"
-    assert download_and_extract(spark, zdir, land) == []
+    assert download_and_extract(spark, zdir, land).count() == 0
+
+
+def test_archive_member_must_stay_inside():
+    import pytest
+
+    from wattline.sources.archive import safe_member
+    assert safe_member("a\\b/./c.csv") == "a/b/c.csv"
+    for name in ("../x.csv", "/etc/x.csv", "a/../../x.csv", "C:/x.csv"):
+        with pytest.raises(ValueError):
+            safe_member(name)
 
 
 def test_fetch_weather_from_landed_blocks(spark, workdir):
@@ -95,6 +106,30 @@ def test_fetch_weather_from_landed_blocks(spark, workdir):
     assert out[0]["latitude"] == 50.6292
 
 
+def _summer_block(city, hours, values):
+    start = 1593558000  # 2020-06-30 23:00 UTC: midnight of the first of July in London
+    return {"city": city, "time": start - 3600, "time_end": start - 3600 + hours * 3600, "interval": 3600,
+            "temperature_2m": list(range(values)), "relative_humidity_2m": [9] * values, "snowfall": [0] * values,
+            "precipitation": [0] * values, "weather_code": [3] * values}
+
+
+def test_summer_day_has_all_hours_of_the_request_zone(spark, workdir):
+    path = os.path.join(workdir, "blocks.json")
+    with open(path, "w") as f:
+        f.write(json.dumps(_summer_block("Paris", 30, 30)) + "\n")
+    out = weather.fetch_weather(spark, path, "2020-07-01", "2020-07-01").collect()
+    assert sorted(r["temperature_2m"] for r in out) == [float(t) for t in range(1, 25)]
+
+
+def test_malformed_block_is_an_error(spark, workdir):
+    import pytest
+    path = os.path.join(workdir, "blocks.json")
+    with open(path, "w") as f:
+        f.write(json.dumps(_summer_block("Paris", 30, 29)) + "\n" + json.dumps(_summer_block("Lille", 3, 3)) + "\n")
+    with pytest.raises(ValueError, match="Paris"):
+        weather.fetch_weather(spark, path, "2020-07-01", "2020-07-01")
+
+
 def test_archives_from_start_year_stop_at_gap(spark, workdir):
     zdir, land = os.path.join(workdir, "zips"), os.path.join(workdir, "landing")
     os.makedirs(zdir)
@@ -104,5 +139,5 @@ def test_archives_from_start_year_stop_at_gap(spark, workdir):
             z.writestr(f"data_{year}.xls", b"a;b\n1;2\n")
         with open(os.path.join(zdir, f"Annuel_{year}.zip"), "wb") as f:
             f.write(buf.getvalue())
-    got = download_and_extract(spark, zdir, land, start_year=2012)
-    assert sorted(os.path.basename(p) for p in got) == ["data_2012.xls", "data_2013.xls"]
+    got = download_and_extract(spark, zdir, land, start_year=2012).collect()
+    assert sorted(r["member"] for r in got) == ["data_2012.xls", "data_2013.xls"]

@@ -22,7 +22,7 @@ def test_insert_if_absent_idempotent(spark, workdir):
 def test_insert_without_return_is_idempotent(spark, workdir):
     path = os.path.join(workdir, "t")
     batch = spark.createDataFrame([("a", "x", 1, 0), ("a", "x", 2, 1), ("b", "x", 4, 3)], SCHEMA)
-    assert tables.insert_if_absent(spark, path, batch, ["k1", "k2"], ["ord"], return_inserted=False) is None
+    assert tables.insert_if_absent(spark, path, batch, ["k1", "k2"], ["ord"], return_inserted=False) > 0
     tables.insert_if_absent(spark, path, batch, ["k1", "k2"], ["ord"], return_inserted=False)
     assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 4]
 
@@ -70,3 +70,29 @@ def test_partitioned_write_prunes(spark, workdir):
 def test_weather_daily_contract(spark, workdir):
     t = tables.create_table_if_absent(spark, os.path.join(workdir, "w"), WEATHER_DAILY_SCHEMA)
     assert t.columns[0] == "db_id" and len(t.columns) == 15
+
+
+def test_unknown_year_is_inserted_once(spark, workdir):
+    path = os.path.join(workdir, "by_year")
+    batch = spark.createDataFrame([("x", None, 1), ("y", 2020, 2), (None, None, 3)], "k string, year int, ord int")
+    counts = [tables.insert_if_absent(spark, path, batch, ["k"], ["ord"], partition_by=["year"], return_inserted=False)
+              for _ in range(3)]
+    assert counts == [3, 0, 0]
+
+
+def test_reasons_beyond_64_bits(spark):
+    rows = [("9223372036854775808",), ("inf",), ("1.5",), ("3000000000",), ("7",), ("1e30",)]
+    df = spark.createDataFrame(rows, "c string")
+    got = {r["c"]: r["why"] for r in df.select("c", clean.reject_reasons(df, ["c"]).alias("why")).collect()}
+    assert got == {"9223372036854775808": ["c:int64"], "inf": ["c:int64"], "1.5": ["c:fraction"],
+                   "3000000000": ["c:int32"], "7": [], "1e30": ["c:int64"]}
+
+
+def test_session_keeps_the_clusters_settings(spark):
+    from wattline.session import get_session
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "4000")
+        assert get_session().conf.get("spark.sql.shuffle.partitions") == "4000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from wattline.contracts import (
     CONSUMPTION_COLUMNS, CONSUMPTION_TEXT_COLUMNS, IDENTIFIER_COLUMNS, MISSING_SENTINEL,
 )
-from wattline.functions.numeric import int32_overflow, int64_reject, nan_to_null, to_int64
+from wattline.functions.numeric import int32_overflow, int64_reject, nan_to_null, to_int64, to_number
 from wattline.functions.timefmt import floor_hour, reading_timestamp
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -71,13 +71,16 @@ def cast_consumption(df: DataFrame) -> DataFrame:
 def reject_reasons(raw: DataFrame, int_columns: list[str]) -> Column:
     """Array of `column:reason` for one raw (string) row; empty when the row is valid.
 
-    Reasons: `fraction` (a number no integer holds) and `int32` (does not fit
-    the 32-bit table column).
+    Reasons: `fraction` (a number that is not whole), `int64` (a whole number
+    beyond 64 bits, or an infinity) and `int32` (does not fit the 32-bit table
+    column).
     """
     checks = []
     for c in int_columns:
         v = F.col(f"`{c}`")
-        checks.append(F.when(int64_reject(v), F.lit(f"{c}:fraction")))
+        number = to_number(v)
+        beyond = (number % 1 == 0) | (F.abs(number) == float("inf"))
+        checks.append(F.when(int64_reject(v), F.when(beyond, F.lit(f"{c}:int64")).otherwise(F.lit(f"{c}:fraction"))))
         checks.append(F.when(int32_overflow(to_int64(v)), F.lit(f"{c}:int32")))
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -133,6 +133,13 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     writer.parquet(path)
 
 
+def append_counted(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
+    """Append, and the number of rows, observed while they are written."""
+    seen = Observation()
+    append(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    return seen.get["rows"]
+
+
 def to_table_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast and order columns to the table contract."""
     return df.select(*[_c(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -141,7 +148,7 @@ def to_table_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: list[str],
                      order_cols: list[str], schema: T.StructType | None = None,
                      partition_by: list[str] | None = None,
-                     return_inserted: bool = True) -> DataFrame | None:
+                     return_inserted: bool = True) -> DataFrame | int:
     """Insert the batch rows whose key the table lacks (SNK-01, SNK-02).
 
     Inside the batch the first row of each key (by `order_cols`) wins; keys
@@ -155,7 +162,7 @@ def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: list
     re-run the anti join against the grown table, and a lost executor during
     the append recomputes from the checkpoint, not from the whole lineage.
     With return_inserted=False the insert is one job (dedupe, anti join,
-    append) and nothing is returned; the stored files are listed when the
+    append) and the number of rows inserted, observed on the write, is returned; the stored files are listed when the
     job is planned and each task's output is committed atomically, so a
     retried task neither sees nor duplicates the rows being added.
     """
@@ -166,13 +173,13 @@ def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: list
         # Partition columns are determined by the key, so only stored partitions
         # that the batch touches can hold a match. The semi join lets dynamic
         # partition pruning skip the other partitions at the scan.
+        # Null-safe: rows of an unknown year are looked up in the null partition.
         touched = batch.select(*[_c(p) for p in partition_by]).distinct()
-        stored = stored.join(touched, on=partition_by, how="left_semi")
+        stored = stored.join(touched, key_match(stored, touched, partition_by), how="left_semi")
     first = first_per_key(batch, key, order_cols)
     new_rows = to_table_schema(not_existing(first, stored, key), schema)
     if not return_inserted:
-        append(new_rows, path, partition_by)
-        return None
+        return append_counted(new_rows, path, partition_by)
     new_rows = new_rows.checkpoint(eager=True)
     append(new_rows, path, partition_by)
     return new_rows

@@ -658,7 +658,8 @@ def _reasons_sql(c: str) -> str:
     num = S.number_sql(c)
     frac = f"(({num}) IS NOT NULL AND ({i64}) IS NULL)"
     over = f"(({i64}) < -2147483648 OR ({i64}) > 2147483647)"
-    return (f"list_filter([CASE WHEN {frac} THEN '{c}:fraction' END, CASE WHEN COALESCE({over}, false) "
+    beyond = f"(isinf({num}) OR ({num}) = floor({num}))"
+    return (f"list_filter([CASE WHEN {frac} AND {beyond} THEN '{c}:int64' WHEN {frac} THEN '{c}:fraction' END, CASE WHEN COALESCE({over}, false) "
             f"THEN '{c}:int32' END], lambda x: x IS NOT NULL)")
 
 
@@ -941,7 +942,8 @@ def src_07(spark, sf_dir):
     archive_dir = fresh_location(spark, "archives")
     landing = fresh_location(spark, "landing")
     bucketed = r.withColumn("_bucket", F.pmod(F.xxhash64("_row_order"), F.lit(buckets)))
-    bucketed.groupBy("_bucket").applyInPandas(_zip_writer(archive_dir), "bucket long, rows long").collect()
+    bucketed.groupBy("_bucket").applyInPandas(_zip_writer(archive_dir), "bucket long, rows long").write.format(
+        "noop").mode("overwrite").save()
     download_and_extract(spark, archive_dir, landing)
     return load_all_data(spark, landing).select(*_READING_COLS)
 

@@ -19,6 +19,7 @@ from wattline.functions.names import clean_colname
 from wattline.functions.numeric import to_int64
 from wattline.functions.timefmt import reading_timestamp
 from wattline.operators import clean, tables
+from wattline.session import fresh_location
 from wattline.sources.delimited import LOADED_ORDER, list_files, load_files
 
 
@@ -61,7 +62,12 @@ def load_table_files(spark: SparkSession, paths: list[str], table_path: str, rej
         return {"inserted": 0, "rejected": 0}
     conformed = conform_loaded(raw, mode)
     reasons = clean.reject_reasons(conformed, CONSUMPTION_INT_COLUMNS)
-    valid, rejected = tables.split_valid(conformed, reasons)
+    # One parse: the staged rows with their reasons feed the insert, the rejected rows and the years.
+    staged = fresh_location(spark, "staged-load")
+    conformed.withColumn("_reasons", reasons).write.parquet(staged)
+    tagged = spark.read.parquet(staged)
+    valid = tagged.where(F.size("_reasons") == 0).drop("_reasons")
+    rejected = tagged.where(F.size("_reasons") > 0)
     order = [c for c in LOADED_ORDER if c in conformed.columns]
     text = set(CONSUMPTION_TEXT_COLUMNS)
     typed = valid.select(*[(F.col(f"`{c}`") if c in text else to_int64(F.col(f"`{c}`"))).alias(c)
@@ -72,8 +78,7 @@ def load_table_files(spark: SparkSession, paths: list[str], table_path: str, rej
         typed = typed.select("*", year)
         schema, partition_by = T.StructType(schema.fields + [T.StructField("year", T.IntegerType())]), ["year"]
     inserted = tables.insert_if_absent(spark, table_path, typed, CONSUMPTION_KEY, order,
-                                       schema=schema, partition_by=partition_by)
+                                       schema=schema, partition_by=partition_by, return_inserted=False)
     rej = rejected.select(*[F.col(f"`{k}`") for k in CONSUMPTION_KEY],
-                          F.array_join("reasons", ",").alias("reasons"), *order)
-    tables.append(rej, rejected_path)
-    return {"inserted": inserted.count(), "rejected": rej.count()}
+                          F.array_join("_reasons", ",").alias("reasons"), *order)
+    return {"inserted": inserted, "rejected": tables.append_counted(rej, rejected_path)}
