@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from wattline.operators.hourly import aggregate_hourly, create_features, feature_table
+from wattline.operators.hourly import aggregate_hourly, feature_table
 
 SCHEMA = "perimetre string, date string, heures string, consommation string, source_file string, _block_start long, _row_id long"
 ROWS = [
@@ -50,9 +50,9 @@ def test_numeric_mean_mode(spark):
 
 def test_partition_count_does_not_change_result(spark):
     df = spark.createDataFrame(ROWS * 3, SCHEMA)
-    want = sorted(map(tuple, create_features(df.coalesce(1)).collect()))
+    want = sorted(map(tuple, feature_table(df.coalesce(1)).collect()))
     for n in (4, 17):
-        assert sorted(map(tuple, create_features(df.repartition(n)).collect())) == want
+        assert sorted(map(tuple, feature_table(df.repartition(n)).collect())) == want
 
 
 def test_hourly_keys_unique(spark):

@@ -141,3 +141,22 @@ def test_archives_from_start_year_stop_at_gap(spark, workdir):
             f.write(buf.getvalue())
     got = download_and_extract(spark, zdir, land, start_year=2012).collect()
     assert sorted(r["member"] for r in got) == ["data_2012.xls", "data_2013.xls"]
+
+
+def test_weather_tables_load_once(spark, workdir):
+    from wattline.plans.weather_load import load_cities, load_daily, load_hourly
+    blocks, daily, cities = (os.path.join(workdir, n) for n in ("b.json", "d.json", "c.json"))
+    with open(blocks, "w") as f:
+        f.write(json.dumps(_summer_block("Paris", 30, 30)) + "\n")
+    with open(daily, "w") as f:
+        for dt in (1, 2, None):
+            f.write(json.dumps({"city": "Paris", "latitude": 48.8, "longitude": 2.3,
+                                "forecast": json.dumps({"dt": dt, "T": {"min": 1, "max": 2}, "uv": 3})}) + "\n")
+    with open(cities, "w") as f:
+        f.write(json.dumps({"cities": [{"insee_code": "75056", "label": "paris"}, {"insee_code": "x" * 11}]}, indent=1))
+    at = lambda name: os.path.join(workdir, name)
+    assert [load_hourly(spark, blocks, "2020-07-01", "2020-07-01", at("h")) for _ in range(2)] == [24, 0]
+    assert [load_daily(spark, daily, at("d"), at("dr")) for _ in range(2)] == [
+        {"inserted": 2, "rejected": 1}, {"inserted": 0, "rejected": 1}]
+    assert [load_cities(spark, cities, at("c"), at("cr")) for _ in range(2)] == [
+        {"inserted": 1, "rejected": 1}, {"inserted": 0, "rejected": 1}]

@@ -127,11 +127,6 @@ CITY_LOCATION_COLUMNS = [
 
 CONSUMPTION_INT_COLUMNS = [c for c in CONSUMPTION_COLUMNS if c not in CONSUMPTION_TEXT_COLUMNS]
 
-# Frame layer: 64-bit integers. Table layer: 32-bit integers.
-CONSUMPTION_FRAME_SCHEMA = T.StructType([
-    T.StructField(c, T.StringType() if c in CONSUMPTION_TEXT_COLUMNS else T.LongType(), True)
-    for c in CONSUMPTION_COLUMNS
-])
 CONSUMPTION_TABLE_SCHEMA = T.StructType([
     T.StructField(c, T.StringType() if c in CONSUMPTION_TEXT_COLUMNS else T.IntegerType(), True)
     for c in CONSUMPTION_COLUMNS
@@ -168,12 +163,6 @@ WEATHER_BLOCK_SCHEMA = T.StructType(
     + [T.StructField(v, T.ArrayType(T.FloatType()), True) for v in WEATHER_VARIABLES]
 )
 
-WEATHER_HOURLY_SCHEMA = T.StructType(
-    [T.StructField("city", T.StringType(), True),
-     T.StructField("date", T.TimestampType(), True)]
-    + [T.StructField(v, T.FloatType(), True) for v in WEATHER_VARIABLES]
-)
-
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("name", T.StringType(), False),
     T.StructField("version", T.StringType(), False),

@@ -63,10 +63,6 @@ def cast_columns(df: DataFrame, text_columns: list[str]) -> DataFrame:
     ])
 
 
-def cast_consumption(df: DataFrame) -> DataFrame:
-    """`cast_columns` with the consumption-table contract."""
-    return cast_columns(df, CONSUMPTION_TEXT_COLUMNS)
-
 
 def reject_reasons(raw: DataFrame, int_columns: list[str]) -> Column:
     """Array of `column:reason` for one raw (string) row; empty when the row is valid.
@@ -141,7 +137,3 @@ def nan_to_null_all(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])
-
-
-def consumption_columns() -> list[str]:
-    return list(CONSUMPTION_COLUMNS)

@@ -18,6 +18,7 @@ from wattline.contracts import IDENTIFIER_COLUMNS, MISSING_SENTINEL, TARGET
 from wattline.functions.numeric import to_number
 from wattline.functions.timefmt import calendar_columns, floor_hour, reading_timestamp
 from wattline.operators.clean import is_numeric
+from wattline.operators.tables import join_hourly
 
 # Row order carried by loaded frames: file name, split offset, row id.
 ORDER_COLUMNS = ["source_file", "_block_start", "_row_id"]
@@ -107,66 +108,35 @@ def aggregate_hourly(df: DataFrame, order_cols: list[str] | None = None,
             .select(F.col("hour_ts").alias("datetime"), *[_q(c) for c, _ in out_types]))
 
 
-def _finish(grouped: DataFrame, out_types: list[tuple[str, T.DataType]], numeric_target: bool) -> DataFrame:
-    """Calendar (PRJ-08), drop identifiers (PRJ-09), zero fill (PRJ-10) and, when
-    `numeric_target`, text read as numbers (PRJ-11), in one select."""
-    cols = []
+def _finish(grouped: DataFrame, out_types: list[tuple[str, T.DataType]], keep: dict[str, Column]) -> DataFrame:
+    """Calendar (PRJ-08), drop identifiers (PRJ-09), text read as numbers (PRJ-11) and zero fill (PRJ-10), in one select."""
+    cols = [e.alias(k) for k, e in keep.items()]
     for name, dtype in out_types:
-        if name in IDENTIFIER_COLUMNS:
-            continue
-        c = _q(name)
-        if is_numeric(dtype):
-            cols.append(F.coalesce(c, F.lit(0).cast(dtype)).alias(name))
-        elif numeric_target:
-            cols.append(F.coalesce(to_number(c), F.lit(0.0)).alias(name))
-        elif isinstance(dtype, T.StringType):
-            cols.append(F.coalesce(c, F.lit("0")).alias(name))
-        else:
-            cols.append(c)
-    cal = calendar_columns(F.col("hour_ts"))
-    cols += [v.alias(k) for k, v in cal.items()]
+        if name not in IDENTIFIER_COLUMNS:
+            c = _q(name)
+            cols.append((F.coalesce(c, F.lit(0).cast(dtype)) if is_numeric(dtype)
+                         else F.coalesce(to_number(c), F.lit(0.0))).alias(name))
+    cols += [v.alias(k) for k, v in calendar_columns(F.col("hour_ts")).items()]
     return grouped.where(F.col("hour_ts").isNotNull()).select(*cols)
 
 
-def create_features(df: DataFrame, order_cols: list[str] | None = None,
-                    numeric: str = "auto") -> DataFrame:
-    """Hourly feature table (AGG-10 core): aggregate, calendar, drop ids, zero fill."""
-    prepared, fields = _prepare(df, numeric)
-    order_cols, mean, firsts, out_types = _plan(fields, order_cols, numeric)
-    return _finish(_grouped(prepared, order_cols, mean, firsts), out_types, numeric_target=False)
-
-
-def feature_table(df: DataFrame, order_cols: list[str] | None = None,
-                  numeric: str = "auto") -> DataFrame:
+def feature_table(df: DataFrame, order_cols: list[str] | None = None, numeric: str = "auto",
+                  weather: DataFrame | None = None, keep: dict[str, Column] | None = None) -> DataFrame:
     """Flagship (AGG-10 end to end): readings -> hourly features with a numeric target.
 
     Text columns (the target among them) are read as numbers, anything else
-    -> null, and every null becomes 0 (PRJ-10, PRJ-11).
+    -> null, and every null becomes 0 (PRJ-10, PRJ-11). `weather` (rows with
+    `hour_ts` on the readings' clock and numeric columns) is averaged per hour
+    and joined in (JON-02). `keep` names expressions over `hour_ts` that stand
+    first and are left as they are, such as the year of a partitioned table.
     """
     prepared, fields = _prepare(df, numeric)
     order_cols, mean, firsts, out_types = _plan(fields, order_cols, numeric)
-    return _finish(_grouped(prepared, order_cols, mean, firsts), out_types, numeric_target=True)
-
-
-def training_frame(features: DataFrame, target: str = TARGET,
-                   keep: tuple[str, ...] = ()) -> DataFrame:
-    """Numeric target and features (PRJ-10, PRJ-11) for an existing feature frame.
-
-    Text columns (the target among them) are read as numbers, anything else
-    -> null, and every null becomes 0. Numeric columns keep their type.
-    Columns in `keep` pass through unchanged.
-    """
-    cols = []
-    for f in features.schema.fields:
-        c = _q(f.name)
-        if f.name in keep:
-            cols.append(c)
-        elif is_numeric(f.dataType):
-            cols.append(F.coalesce(c, F.lit(0).cast(f.dataType)).alias(f.name))
-        else:
-            cols.append(F.coalesce(to_number(c), F.lit(0.0)).alias(f.name))
-    return features.select(*cols)
-
-
-def feature_columns(df: DataFrame, target: str = TARGET) -> list[str]:
-    return [c for c in df.columns if c != target]
+    grouped = _grouped(prepared, order_cols, mean, firsts)
+    if weather is not None:
+        if not out_types:
+            raise ValueError("readings have no column to join weather to")
+        grouped = join_hourly(grouped, weather)
+        known = {name for name, _ in out_types} | {"hour_ts"}
+        out_types = out_types + [(f.name, f.dataType) for f in grouped.schema.fields if f.name not in known]
+    return _finish(grouped, out_types, keep or {})

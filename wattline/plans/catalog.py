@@ -763,25 +763,90 @@ def ml_05(spark, sf_dir):
     return res.metrics
 
 
-@register("ml_06")
-def ml_06(spark, sf_dir):
-    from wattline.ml.models import linear_regression, predict
+# One-variable least squares on the training share, so SQL's regr_* functions give the same line.
+_HOUR_LINE_SQL = f"""
+  WITH h AS (SELECT CAST(epoch(datetime) AS BIGINT) AS row_id, hour(datetime) AS x,
+                    COALESCE({S.number_sql('consommation')}, 0.0) AS y FROM ({S.HOURLY_SQL}) h),
+       t AS (SELECT *, {split_sql('row_id')} AS is_test FROM h),
+       m AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM t WHERE NOT is_test)
+  SELECT row_id, y AS label, round(slope * x + intercept, 4) AS prediction FROM t, m WHERE is_test"""
+
+
+def _hour_line(spark, sf_dir):
+    from wattline.ml.models import linear_regression
     rows = _training_rows(spark, sf_dir)
-    feats = [c for c in rows.columns if c not in ("row_id", "is_test", "consommation")]
-    model = linear_regression(feats).fit(rows.where(~F.col("is_test")))
-    return predict(model, rows.where(F.col("is_test")), id_col="row_id")
+    return linear_regression(["hour"]).fit(rows.where(~F.col("is_test"))), rows.where(F.col("is_test"))
+
 
+def _line_predictions(model, rows):
+    from wattline.ml.models import predict
+    return predict(model, rows, id_col="row_id").withColumn("prediction", F.round("prediction", 4))
 
-@register("ml_11")
+
+@register("ml_06", _HOUR_LINE_SQL)
+def ml_06(spark, sf_dir):
+    return _line_predictions(*_hour_line(spark, sf_dir))
+
+
+@register("ml_10", """
+SELECT 'hour_line' AS name, '1' AS version, 'pipeline' AS kind, count(*) > 0 AS learned FROM events
+UNION ALL SELECT 'hour_line', '2', 'pipeline', count(*) > 0 FROM events
+UNION ALL SELECT 'other_line', '1', 'pipeline', count(*) > 0 FROM events
+""")
+def ml_10(spark, sf_dir):
+    """Registry rows after three pushes of a saved model (ML-09, ML-10), without times and random ids."""
+    from wattline.ml import registry
+    root = fresh_location(spark, "registry")
+    model, _ = _hour_line(spark, sf_dir)
+    for name in ("hour_line", "other_line", "hour_line"):
+        registry.push(spark, root, name, model)
+    return spark.read.parquet(f"{root}/_registry").select("name", "version", "kind", F.lit(True).alias("learned"))
+
+
+@register("ml_11", _HOUR_LINE_SQL)
 def ml_11(spark, sf_dir):
+    """Predictions of the latest registered version, read back from the registry."""
     from wattline.ml import registry
-    from wattline.plans.training import run_training
     root = fresh_location(spark, "registry")
-    res = run_training(spark, _readings(spark, sf_dir), order_cols=["_row_order"], registry_root=root)
-    model = registry.pull(spark, root, "load_model")
-    rows = _training_rows(spark, sf_dir).where(F.col("is_test"))
-    from wattline.ml.models import predict
-    return predict(model, rows, id_col="row_id").withColumn("model", F.lit(res.best))
+    model, rows = _hour_line(spark, sf_dir)
+    registry.push(spark, root, "hour_line", model)
+    registry.push(spark, root, "hour_line", model)
+    return _line_predictions(registry.pull(spark, root, "hour_line"), rows)
+
+
+@register("final_features", f"""
+SELECT h.consommation, h."year", h."hour", h."day", h."month", h.dayofweek, h.weekend,
+       round(COALESCE(w.temperature_2m, 0.0), 6) AS temperature_2m
+FROM (SELECT datetime, COALESCE({S.number_sql('consommation')}, 0.0) AS consommation,
+             CAST(year(datetime) AS INTEGER) AS "year", {S.calendar_sql('datetime')} FROM ({S.HOURLY_SQL}) x) h
+LEFT JOIN (SELECT hour_ts, avg(temperature_2m) AS temperature_2m FROM (
+             SELECT event_type, date_trunc('hour', ts) + INTERVAL 1 HOUR AS hour_ts, avg(value) AS temperature_2m
+             FROM events WHERE event_type <> 'error' GROUP BY 1, 2) c GROUP BY 1) w ON w.hour_ts = h.datetime
+""")
+def final_features(spark, sf_dir):
+    """Hourly consumption joined with weather, as written by the plan: the January weather is UTC, readings are
+    an hour ahead."""
+    from wattline.plans.training import write_features
+    ev = S.table(spark, sf_dir, "events")
+    wx = (ev.where(F.col("event_type") != "error")
+          .groupBy(F.col("event_type").alias("city"), F.date_trunc("hour", F.col("ts")).cast("timestamp").alias("date"))
+          .agg(F.avg("value").alias("temperature_2m")))
+    path = fresh_location(spark, "final_features")
+    write_features(_readings(spark, sf_dir), path, wx, order_cols=["_row_order"])
+    return spark.read.parquet(path).withColumn("temperature_2m", F.round("temperature_2m", 6))
+
+
+@register("snk_01_by_year", f"""
+SELECT event_id, CAST(CASE WHEN value < 0.5 THEN NULL ELSE 2020 + user_id % 4 END AS INTEGER) AS "year" FROM events
+""")
+def snk_01_by_year(spark, sf_dir):
+    """Rows with and without a year, loaded twice into a table partitioned by year: each key once."""
+    ev = S.table(spark, sf_dir, "events").select("event_id", F.when(F.col("value") >= 0.5, (
+        F.lit(2020) + F.col("user_id") % 4).cast("int")).alias("year"), F.col("event_id").alias("_order"))
+    path = fresh_location(spark, "by_year")
+    for _ in range(2):
+        tables.insert_if_absent(spark, path, ev, ["event_id"], ["_order"], partition_by=["year"], return_inserted=False)
+    return spark.read.parquet(path).select("event_id", F.col("year").cast("int").alias("year"))
 
 
 # ---------------------------------------------------------------------------

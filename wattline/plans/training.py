@@ -14,43 +14,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.contracts import TARGET
-from wattline.functions.timefmt import calendar_columns
 from wattline.ml import metrics as M
 from wattline.ml import registry
 from wattline.ml.models import MODEL_ORDER, predict, train_models
 from wattline.ml.split import test_flag
-from wattline.operators.clean import drop_identifiers, fill_zero
-from wattline.operators.hourly import aggregate_hourly, training_frame
-from wattline.operators.tables import join_hourly
+from wattline.operators.hourly import feature_table
 from wattline.session import shared_root
 
 READING_ZONE = "Europe/Paris"      # fixed value: the zone of the readings' wall clock
 
 
+def local_weather(weather: DataFrame) -> DataFrame:
+    """Hourly weather (UTC `date`, as `fetch_weather` gives) by the hour of the readings' wall clock."""
+    local = F.from_utc_timestamp(F.col("date"), READING_ZONE)
+    return weather.withColumn("hour_ts", F.date_trunc("hour", local).cast("timestamp_ntz")).drop("date")
+
+
 def hourly_training_rows(readings: DataFrame, order_cols: list[str] | None = None,
                          numeric: str = "auto", weather: DataFrame | None = None) -> DataFrame:
-    """Feature rows plus `row_id` (epoch hour) and the split flag `is_test`.
+    """The feature table plus `row_id` (epoch hour) and the split flag `is_test`.
 
-    With `weather` (hourly rows per city with a UTC `date`, as `fetch_weather`
-    gives), each hour also gets the weather variables averaged over cities
-    (the documented final feature table: consumption joined with weather).
+    With `weather`, each hour also gets the weather variables averaged over cities.
     """
-    hourly = aggregate_hourly(readings, order_cols, numeric)
-    if weather is not None:
-        # Readings carry the local wall clock, weather UTC.
-        local = F.from_utc_timestamp(F.col("date"), READING_ZONE)
-        wx = weather.withColumn("hour_ts", F.date_trunc("hour", local).cast("timestamp_ntz"))
-        hourly = join_hourly(hourly.withColumnRenamed("datetime", "hour_ts"), wx.drop("date"))
-        hourly = hourly.withColumnRenamed("hour_ts", "datetime")
-    cal = calendar_columns(F.col("datetime"))
-    with_cal = hourly.select(
-        "*", *[v.alias(k) for k, v in cal.items()],
-        F.unix_seconds(F.col("datetime").cast("timestamp")).alias("row_id"),
-    )
-    flagged = with_cal.withColumn("is_test", test_flag(F.col("row_id")))
-    typed = training_frame(fill_zero(drop_identifiers(flagged)), keep=("row_id", "is_test"))
-    feats = [c for c in typed.columns if c not in ("row_id", "is_test", TARGET)]
-    return typed.select("row_id", "is_test", TARGET, *feats)
+    row_id = F.unix_seconds(F.col("hour_ts").cast("timestamp"))
+    rows = feature_table(readings, order_cols, numeric, None if weather is None else local_weather(weather),
+                         keep={"row_id": row_id, "is_test": test_flag(row_id)})
+    feats = [c for c in rows.columns if c not in ("row_id", "is_test", TARGET)]
+    return rows.select("row_id", "is_test", TARGET, *feats)
+
+
+def write_features(readings: DataFrame, path: str, weather: DataFrame | None = None,
+                   order_cols: list[str] | None = None) -> None:
+    """The feature table (`final_features` with weather), written partitioned by year."""
+    table = feature_table(readings, order_cols, weather=None if weather is None else local_weather(weather),
+                          keep={"year": F.year("hour_ts")})
+    table.write.mode("overwrite").partitionBy("year").parquet(path)
 
 
 @dataclass
