@@ -50,3 +50,12 @@ def test_no_cross_products_anywhere(spark):
             continue  # these write tables as part of building the frame
         plan = _plan(spark, name)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_lookups_push_their_keys_to_the_scan(spark):
+    def formatted(name):
+        df = E.queries()[name](spark, SF)
+        return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+    assert re.search(r"PushedFilters: \[.*EqualTo\(date,2024-01-01\)", formatted("flt_01"))
+    assert re.search(r"PushedFilters: \[.*EqualTo\(db_id,user_8_2024-01-01_00:00\)", formatted("flt_02"))

@@ -231,13 +231,19 @@ def prj_14(spark, sf_dir):
 # Filters (FLT-*)
 # ---------------------------------------------------------------------------
 
+def _stored_consumption(spark, sf_dir, *first):
+    """The consumption rows as a stored table: look-ups push their keys to its scan."""
+    path = fresh_location(spark, "consumption")
+    S.consumption_rows(S.table(spark, sf_dir, "events")).select(*first, "*").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @register("flt_01", f"""
 SELECT * FROM ({S.CONSUMPTION_SQL}) c
 WHERE "périmètre" = 'user_8' AND date = '2024-01-01' AND heures = '00:00'
 """)
 def flt_01(spark, sf_dir):
-    rows = S.consumption_rows(S.table(spark, sf_dir, "events"))
-    return tables.lookup(rows, **{"périmètre": "user_8", "date": "2024-01-01", "heures": "00:00"})
+    return tables.lookup(_stored_consumption(spark, sf_dir), **{"périmètre": "user_8", "date": "2024-01-01", "heures": "00:00"})
 
 
 @register("flt_02", f"""
@@ -245,9 +251,8 @@ SELECT * FROM (SELECT "périmètre" || '_' || date || '_' || heures AS db_id, *
 WHERE db_id = 'user_8_2024-01-01_00:00'
 """)
 def flt_02(spark, sf_dir):
-    rows = S.consumption_rows(S.table(spark, sf_dir, "events"))
-    keyed = rows.select(clean.row_key(*S.CONSUMPTION_KEY).alias("db_id"), "*")
-    return tables.lookup(keyed, db_id="user_8_2024-01-01_00:00")
+    stored = _stored_consumption(spark, sf_dir, clean.row_key(*S.CONSUMPTION_KEY).alias("db_id"))
+    return tables.lookup(stored, db_id="user_8_2024-01-01_00:00")
 
 
 @register("flt_03", f"""
