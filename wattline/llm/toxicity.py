@@ -143,8 +143,21 @@ def _fit(x: list[np.ndarray], y: np.ndarray, swaps: list[tuple[int, np.ndarray]]
     l1 = 0.3 / n
     w, b = np.zeros(width), float(np.log(share / (1 - share)))
     v, c, t = w.copy(), b, 1.0
-    size = 0.25 * max(1, max(map(len, x))) + 0.25
-    rate = 4.0 / size
+
+    def curved(u: np.ndarray, c: float) -> tuple[np.ndarray, float]:
+        """The curvature bound of the loss, applied to a direction of weights and intercept."""
+        z = 0.25 / n * (np.bincount(row, u[col], n) + c)
+        out = np.bincount(col, z[row], width)
+        if swaps:
+            out += 2 * penalty / n * np.bincount(s_col, np.bincount(s_row, u[s_col] * sign, len(swaps))[s_row] * sign, width)
+        return out, z.sum()
+
+    u, k = np.ones(width), 1.0
+    for _ in range(30):                      # the largest curvature by power iteration
+        u, k = curved(u, k)
+        size = np.sqrt(u @ u + k * k)
+        u, k = u / size, k / size
+    rate = 0.9 / size
     for _ in range(steps):
         z = np.bincount(row, v[col], n) + c
         error = 1 / (1 + np.exp(-z)) - y
