@@ -15,6 +15,9 @@ join leans on relations between sets, so that no group emits all its pairs:
   h and g, y and z can link only if d(h, g) <= 0.2 + r(y) + r(z). So only
   leaders are compared; members are compared where that bound leaves the
   answer open, after one comparison of each with the other leader narrows it.
+* Before two sets are compared, the numbers of their shingles in 256 classes
+  bound what they can have in common; contents are read from the texts only
+  for pairs that pass.
 
 Every link between different texts is thus either verified, implied by the
 bound to be impossible, or inside a group already connected by verified links.
@@ -38,8 +41,10 @@ from wattline.llm.common import components, map_slices, save
 from wattline.llm.textbytes import Texts, group_starts, mix, signed, slices, windows
 
 WIDTH = 5
-FREQUENT = 65_536        # shingles whose order follows their frequency; the others follow their hash
+FREQUENT = 262_144       # shingles whose order follows their frequency; the others follow their hash
+WINDOW_BYTES = 16 << 20  # text over which a task counts before it reports what it saw three times or more
 BANDS, ROWS_PER_BAND = 4, 3
+BUCKETS = 256            # classes of shingles counted for each set
 CHUNK = 512              # sets compared with one copy of a leader
 FAR = 0.2                # largest distance of a link
 _SLACK = 1e-9            # keeps rounding from skipping a pair
@@ -75,33 +80,68 @@ def _set_keys(doc: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray,
     return sizes, mix(sums[edges[1:]] - sums[edges[:-1]] + sizes.astype(_U))
 
 
+def _profiles(texts: Texts) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[bytes]]:
+    """Set sizes, set names, min-hash bands, and how many shingles fall into each of BUCKETS classes of hashes."""
+    doc, hashes = shingle_sets(texts)
+    sizes, keys = _set_keys(doc, hashes, len(texts))
+    filled = np.flatnonzero(sizes)
+    edges = np.concatenate(([0], np.cumsum(sizes)))
+    bands = []
+    for band in range(BANDS):
+        value = np.zeros(len(texts), _U)
+        for row in range(ROWS_PER_BAND):
+            salt = mix(np.array([band * ROWS_PER_BAND + row + 1], _U))
+            if len(filled):
+                value[filled] = mix(value[filled] ^ np.minimum.reduceat(mix(hashes ^ salt), edges[filled]))
+        bands.append(value)
+    counts = np.bincount(doc * BUCKETS + (hashes >> _U(40)).astype(np.int64) % BUCKETS,
+                         minlength=len(texts) * BUCKETS).reshape(len(texts), BUCKETS)
+    packed = [row.astype(np.uint8 if row.max(initial=0) < 256 else np.uint32).tobytes() for row in counts]
+    return sizes, keys, bands, packed
+
+
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, text hash, set size and set name of every row."""
+    """doc_id, text hash, set size, set name, bands and class counts of every row."""
     def rows(part: pa.RecordBatch) -> pa.RecordBatch:
-        texts = Texts(part.column("text"))
-        sizes, keys = _set_keys(*shingle_sets(texts), len(texts))
-        return pa.record_batch([part.column("doc_id"), part.column("th"), pa.array(sizes), pa.array(signed(keys))],
-                               names=["doc_id", "th", "n", "key"])
+        sizes, keys, bands, counts = _profiles(Texts(part.column("text")))
+        return pa.record_batch([part.column("doc_id"), part.column("th"), pa.array(sizes), pa.array(signed(keys)),
+                                pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * len(bands)),
+                                                         pa.array(signed(np.stack(bands, 1).ravel()))),
+                                pa.array(counts, pa.binary())], names=["doc_id", "th", "n", "key", "bands", "counts"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_slices(docs.select("doc_id", "th", "text"), rows, f"doc_id {kind}, th long, n long, key long")
+    return map_slices(docs.select("doc_id", "th", "text"), rows,
+                      f"doc_id {kind}, th long, n long, key long, bands array<long>, counts binary")
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
-    """Shingles in many texts, rarest first. Every text is counted; a shingle counts where a batch holds it
-    four times or more. Only the order of the join depends on this, never its result."""
+    """Shingles in many texts, rarest first. Every text is counted; a shingle counts where a window of text
+    holds it three times or more. Only the order of the join depends on this, never its result."""
+    def report(found: list[np.ndarray]) -> pa.RecordBatch:
+        values = np.concatenate(found)
+        values.sort()
+        heads = group_starts(values)
+        counts = np.diff(np.append(heads, len(values)))
+        many = counts > 2
+        return pa.record_batch([signed(values[heads[many]]), counts[many]], names=["shingle", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
         for batch in batches:
-            found = [shingle_sets(Texts(part.column("text")))[1] for part in slices(batch)]
-            values = np.sort(np.concatenate(found)) if found else np.zeros(0, _U)
-            heads = group_starts(values)
-            counts = np.diff(np.append(heads, len(values)))
-            many = counts > 3
-            yield pa.record_batch([signed(values[heads[many]]), counts[many]], names=["shingle", "n"])
+            for part in slices(batch):
+                texts = Texts(part.column("text"))
+                found.append(shingle_sets(texts)[1])
+                size += len(texts.data)
+                if size >= WINDOW_BYTES:
+                    yield report(found)
+                    found, size = [], 0
+        if found:
+            yield report(found)
 
+    # At most FREQUENT numbers come to the driver and go out with the tasks.
     top = docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(
-        F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect()
-    return np.array([r["shingle"] for r in reversed(top)], np.int64).view(_U)
+        F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).select("shingle").toPandas()
+    return top["shingle"].to_numpy(np.int64)[::-1].copy().view(_U)
 
 
 def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -157,29 +197,51 @@ def _shared_lists(prefixes: DataFrame) -> DataFrame:
 
 
 def _contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Sorted shingles and min-hash bands of the sets in `wanted` (key, doc_id, th)."""
+    """Sorted shingles of the sets in `wanted` (key, doc_id, th; m: rows that are equal as a whole)."""
     def rows(part: pa.RecordBatch) -> pa.RecordBatch:
         texts = Texts(part.column("text"))
         doc, hashes = shingle_sets(texts)
         sizes, keys = _set_keys(doc, hashes, len(texts))
-        edges = np.concatenate(([0], np.cumsum(sizes)))
-        bands = []
-        for band in range(BANDS):
-            value = np.zeros(len(texts), _U)
-            for row in range(ROWS_PER_BAND):
-                salt = mix(np.array([band * ROWS_PER_BAND + row + 1], _U))
-                value = mix(value ^ np.minimum.reduceat(mix(hashes ^ salt), edges[:-1]))
-            bands.append(signed(value))
+        edges = 8 * np.concatenate(([0], np.cumsum(sizes)))
         raw = hashes.tobytes()
-        return pa.record_batch([
-            pa.array(signed(keys)), pa.array(sizes),
-            pa.array([raw[8 * x:8 * y] for x, y in zip(edges, edges[1:])], pa.binary()), *map(pa.array, bands)],
-            names=["key", "n", "shingles", *(f"b{k}" for k in range(BANDS))])
+        return pa.record_batch([pa.array(signed(keys)), pa.array(sizes), pa.array(
+            [raw[x:y] for x, y in zip(edges, edges[1:])], pa.binary())], names=["key", "n", "shingles"])
+
+    wanted = save(wanted.select(F.col("th").alias("__th"), F.col("doc_id").alias("__id"), "m"))
+    match = (docs["th"] == F.col("__th")) & docs["doc_id"].eqNullSafe(F.col("__id"))
+    schema = "key long, n long, shingles binary"
+    single = map_slices(docs.join(wanted.filter("m = 1"), match, "left_semi").select("text"), rows, schema)
+    again = wanted.filter("m > 1")
+    if again.isEmpty():
+        return single
+    return single.unionByName(map_slices(docs.join(again, match, "left_semi").dropDuplicates(["doc_id", "th"]).select("text"),
+                                         rows, schema))
+
+
+def _possible(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Pairs (a, b, reach) whose distance may be up to 0.2 + reach: the smaller of two sets' class counts,
+    summed, bound their common shingles."""
+    a = profiles.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("c_a"))
+    b = profiles.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("c_b"))
+
+    def numbers(column: pa.Array) -> np.ndarray:
+        raw = column.to_pylist()
+        if all(len(r) == BUCKETS for r in raw):
+            return np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BUCKETS)
+        return np.stack([np.frombuffer(r, np.uint8 if len(r) == BUCKETS else np.uint32).astype(np.uint32) for r in raw])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                common = np.minimum(numbers(batch.column("c_a")), numbers(batch.column("c_b"))).sum(axis=1, dtype=np.int64)
+                both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+                ok = 1 - common / (both - common) <= FAR + _SLACK + batch.column("reach").to_numpy()
+                yield batch.select(["a", "b", "reach"]).filter(pa.array(ok))
 
-    wanted = wanted.select(F.col("th").alias("__th"), F.col("doc_id").alias("__id"))
-    texts = docs.join(wanted, (docs["th"] == F.col("__th")) & docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
-    schema = "key long, n long, shingles binary, " + ", ".join(f"b{k} long" for k in range(BANDS))
-    return map_slices(texts.select("text"), rows, schema).dropDuplicates(["key"])
+    # The smaller set bounds the common shingles too.
+    sized = pairs.join(a, "a").join(b, "b").filter(
+        1 - F.least("n_a", "n_b") / F.greatest("n_a", "n_b") <= FAR + _SLACK + F.col("reach"))
+    return sized.select("a", "b", "reach", "n_a", "n_b", "c_a", "c_b").mapInArrow(keep, "a long, b long, reach double")
 
 
 def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
@@ -228,9 +290,9 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
 _LINK = "100 * common >= 80 * (n_a + n_b - common)"
 
 
-def _leader_pairs(contents: DataFrame) -> DataFrame:
+def _leader_pairs(profiles: DataFrame) -> DataFrame:
     """Pairs (a: leader, b): the sets that share a band's value follow the smallest of them."""
-    bands = contents.select("key", F.posexplode(F.array(*(f"b{k}" for k in range(BANDS)))).alias("band", "value"))
+    bands = profiles.select("key", F.posexplode("bands").alias("band", "value"))
     leaders = bands.groupBy("band", "value").agg(F.min("key").alias("a"), F.max("key").alias("z")).filter("a <> z")
     return bands.join(leaders, ["band", "value"]).filter("a <> key").select("a", F.col("key").alias("b")).distinct()
 
@@ -288,51 +350,69 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
         "key", F.coalesce("component", "comp").alias("comp")))
 
 
+class _Contents:
+    """Contents of sets, read from the texts when a comparison first needs them."""
+
+    def __init__(self, docs: DataFrame, profiles: DataFrame):
+        self.docs, self.profiles, self.found = docs, profiles, None
+
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """Saved comparisons of the pairs."""
+        keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        if self.found is not None:
+            keys = keys.join(self.found.select("key"), "key", "left_anti")
+        more = save(_contents(self.docs, keys.join(self.profiles, "key").select("key", "th", "doc_id", "m")))
+        self.found = more if self.found is None else self.found.unionByName(more)
+        return save(_verified(pairs, self.found))
+
+
 def connected_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """key, comp of every set that shares prefix shingles with another (comp: the same for connected sets)."""
     lists = save(_shared_lists(_prefixes(docs, _frequent(docs))))
-    examples = sets.filter("n > 0").groupBy("key").agg(F.min("th").alias("th")).join(
-        lists.select("key").distinct(), "key")
-    # One row for each text hash: the copy with the smallest doc_id.
-    examples = examples.join(sets.select("key", "th", "doc_id"), ["key", "th"]).groupBy("key", "th").agg(
-        F.min("doc_id").alias("doc_id"))
-    contents = save(_contents(docs, examples))
-
-    near = save(_verified(_leader_pairs(contents), contents).filter(_LINK))
+    # One example row of each set: a text of it, with the smallest doc_id.
+    order = F.struct(F.col("th"), F.col("doc_id").isNull(), "doc_id")
+    examples = sets.filter("n > 0").groupBy("key").agg(F.min(order).alias("one")).join(
+        lists.select("key").distinct(), "key").select(F.col("key").alias("__key"), "one.th", "one.doc_id")
+    match = (sets["key"] == examples["__key"]) & (sets["th"] == examples["th"]) & sets["doc_id"].eqNullSafe(examples["doc_id"])
+    profiles = save(sets.join(examples, match, "left_semi").groupBy("key", "th", "doc_id").agg(
+        F.count("*").alias("m"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("counts").alias("counts")))
+    contents = _Contents(docs, profiles)
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        return contents.compare(save(_possible(pairs, profiles)))
+
+    near = compare(_leader_pairs(profiles).withColumn("reach", F.lit(0.0))).filter(_LINK)
     leaders = near.select(F.col("a").alias("key")).distinct().withColumn("leads", F.lit(True))
     nearest = near.groupBy("b").agg(F.min(F.struct("d", "a")).alias("best"))
-    homes = save(contents.select("key", "n").join(leaders, "key", "left").join(
+    alone = F.col("leads").isNotNull() | F.col("best").isNull()
+    homes = save(profiles.select("key").join(leaders, "key", "left").join(
         nearest.withColumnRenamed("b", "key"), "key", "left").select(
-        "key", "n", F.when(F.col("leads").isNotNull() | F.col("best").isNull(), F.col("key")).otherwise(
-            F.col("best.a")).alias("home"),
-        F.when(F.col("leads").isNotNull() | F.col("best").isNull(), 0.0).otherwise(F.col("best.d")).alias("r")))
+        "key", F.when(alone, F.col("key")).otherwise(F.col("best.a")).alias("home"),
+        F.when(alone, 0.0).otherwise(F.col("best.d")).alias("r")))
     labels = _relabel(homes.select("key", F.col("key").alias("comp")), near)
 
-    entries = lists.join(homes.drop("n"), "key").join(labels, "key")
+    entries = lists.join(homes, "key").join(labels, "key")
     mixed = entries.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    pairs = save(_open_leader_pairs(entries.join(mixed, "token", "left_semi").select(
-        "token", "n", "pos", "comp", "home")))
-    compared = save(_verified(pairs, contents))
+    pairs = _open_leader_pairs(entries.join(mixed, "token", "left_semi").select("token", "n", "pos", "comp", "home"))
+    reach = homes.groupBy("home").agg(F.max("r").alias("reach")).filter("reach > 0")
+    pairs = save(pairs.join(reach.withColumnsRenamed({"home": "a", "reach": "reach_a"}), "a", "left").join(
+        reach.withColumnsRenamed({"home": "b", "reach": "reach_b"}), "b", "left").na.fill(0.0, ["reach_a", "reach_b"]))
+    compared = compare(pairs.select("a", "b", (F.col("reach_a") + F.col("reach_b")).alias("reach")))
     labels = _relabel(labels, compared.filter(_LINK))
 
     # Followers of two leaders too far apart to link themselves, but not too far for the bound.
-    reach = homes.groupBy("home").agg(F.max("r").alias("reach")).filter("reach > 0")
-    def reaching(side: str) -> DataFrame:
-        return reach.select(F.col("home").alias(side), F.col("reach").alias(f"reach_{side}"))
-    open_ = compared.select("a", "b", "d").join(reaching("a"), "a", "left").join(reaching("b"), "b", "left").withColumns(
-        {"reach_a": F.coalesce("reach_a", F.lit(0.0)), "reach_b": F.coalesce("reach_b", F.lit(0.0))}).filter(
-        F.col("d") <= FAR + F.col("reach_a") + F.col("reach_b") + _SLACK)
-    open_ = save(_apart(open_, labels))
+    open_ = save(_apart(compared.select("a", "b", "d").join(pairs, ["a", "b"]).filter(
+        (F.col("reach_a") + F.col("reach_b") > 0)
+        & (F.col("d") <= FAR + F.col("reach_a") + F.col("reach_b") + _SLACK)), labels))
     if open_.isEmpty():
         return labels
-    members = homes.select("key", "home", "r")
-    side_a = open_.join(members.withColumnRenamed("home", "a"), "a").filter(
+    side_a = open_.join(homes.withColumnRenamed("home", "a"), "a").filter(
         F.col("d") <= FAR + F.col("r") + F.col("reach_b") + _SLACK)
-    side_b = open_.join(members.withColumnRenamed("home", "b"), "b").filter(
+    side_b = open_.join(homes.withColumnRenamed("home", "b"), "b").filter(
         F.col("d") <= FAR + F.col("r") + F.col("reach_a") + _SLACK)
-    star = side_a.select(F.col("b").alias("a"), F.col("key").alias("b")).union(
-        side_b.select("a", F.col("key").alias("b"))).filter("a <> b").distinct()
-    star = save(_verified(star, contents))
+    star = side_a.select(F.col("b").alias("a"), F.col("key").alias("b"), F.col("reach_b").alias("reach")).union(
+        side_b.select("a", F.col("key").alias("b"), F.col("reach_a").alias("reach"))).filter("a <> b")
+    star = compare(star.groupBy("a", "b").agg(F.max("reach").alias("reach")))
     labels = _relabel(labels, star.filter(_LINK))
 
     seen = star.select("a", "b", F.col("d").alias("far"))
@@ -340,11 +420,10 @@ def connected_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
         "a", "b", F.col("key").alias("y"), F.col("r").alias("ry"), F.col("far").alias("fy"))
     right = side_b.join(seen.select("a", F.col("b").alias("key"), "far"), ["a", "key"]).select(
         "a", "b", F.col("key").alias("z"), F.col("r").alias("rz"), F.col("far").alias("fz"))
-    left, right = _apart(left, labels), _apart(right, labels)
-    rest = left.join(right, ["a", "b"]).filter(
+    rest = _apart(left, labels).join(_apart(right, labels), ["a", "b"]).filter(
         (F.col("fy") - F.col("rz") <= FAR + _SLACK) & (F.col("fz") - F.col("ry") <= FAR + _SLACK)
         & (F.col("ry") > 0) & (F.col("rz") > 0)).select(F.col("y").alias("a"), F.col("z").alias("b")).distinct()
-    return _relabel(labels, _verified(rest, contents).filter(_LINK))
+    return _relabel(labels, compare(rest.withColumn("reach", F.lit(0.0))).filter(_LINK))
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
