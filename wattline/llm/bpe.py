@@ -31,10 +31,11 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from wattline.llm.common import save
+from wattline.llm.common import save_bucketed
 from wattline.llm.textbytes import Texts, slices
 
 CHUNK_BYTES = 16 << 20
+_DOCS_AT_ONCE = 256      # documents of one output batch
 
 # Letters and digits that the `regex` module knows and the tiktoken library's
 # character classes (an older version of Unicode) do not.
@@ -152,7 +153,8 @@ def _encode_words(lists: DataFrame, ranks_file: str) -> DataFrame:
     """Ids of every listed pre-token; each distinct one of the corpus is encoded once, by the task of its part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(ranks_file)
-        known: dict[bytes, list[int]] = {}
+        small = len(token_bytes(ranks_file)) <= 1 << 16
+        known: dict[bytes, np.ndarray] = {}
         for batch in batches:
             for k in range(batch.num_rows):
                 raw = zstandard.ZstdDecompressor().decompress(batch.column("words")[k].as_py())
@@ -162,97 +164,108 @@ def _encode_words(lists: DataFrame, ranks_file: str) -> DataFrame:
                     word = raw[a:b]
                     found = known.get(word)
                     if found is None:
-                        found = known[word] = encode(word.decode())
+                        found = known[word] = np.array(encode(word.decode()), "<u2" if small else "<u4")
                     counts.append(len(found))
-                    ids += found
+                    ids.append(found)
                 here = batch.slice(k, 1)
                 yield pa.record_batch([
                     here.column("chunk"), here.column("part"), pa.array([_squeeze(np.array(counts, np.int64))], pa.binary()),
-                    pa.array([_squeeze(np.array(ids, np.int64))], pa.binary())], names=["chunk", "part", "counts", "ids"])
+                    pa.array([_squeeze(np.concatenate(ids))], pa.binary())], names=["chunk", "part", "counts", "ids"])
 
     return lists.repartition("part").mapInArrow(run, "chunk long, part int, counts binary, ids binary")
 
 
-def encode(docs: DataFrame, ranks_file: str | None = None) -> DataFrame:
-    """doc_id and ids (array of int) of every document."""
-    ranks_file = ranks_file or vocabulary_file()
-    parts = min(65_535, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    chunks = save(_split(docs, parts))
+def _chunks_with_ids(docs: DataFrame, ranks_file: str, parts: int) -> DataFrame:
+    """Every chunk's positions and the ids of its pre-tokens."""
+    # Bucketed by chunk: the positions, the bulk of the data, are written once and join where they lie.
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = save_bucketed(_split(docs, parts), "chunk", buckets)
     words = _encode_words(chunks.filter("part >= 0").select("chunk", "part", "lengths", "words"), ranks_file)
     found = words.groupBy("chunk").agg(F.collect_list(F.struct("part", "counts", "ids")).alias("found"))
-    whole = chunks.filter("part = -1").select("chunk", "doc_ids", "lengths", "numbers", "parts").join(found, "chunk", "left")
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    return chunks.filter("part = -1").select("chunk", "doc_ids", "lengths", "numbers", "parts").join(found, "chunk", "left")
+
+
+def _assembled(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Chunks -> doc_id and ids of their documents: every position takes the ids of the pre-token that stands there."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            part = _unsqueeze(batch.column("parts")[k].as_py())
+            order = np.argsort(part, kind="stable")
+            edges = np.searchsorted(part[order], np.arange(parts + 1))
+            counts, first = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
+            ids, total = [np.zeros(0, np.int32)], 0
+            for row in batch.column("found")[k].as_py() or []:
+                mine = order[edges[row["part"]]:edges[row["part"] + 1]]
+                n = counts[mine] = _unsqueeze(row["counts"])
+                first[mine] = total + np.cumsum(n) - n
+                ids.append(_unsqueeze(row["ids"]).astype(np.int32))
+                total += len(ids[-1])
+            ids = np.concatenate(ids)
+            numbers = _unsqueeze(batch.column("numbers")[k].as_py()).astype(np.int32)
+            lengths = _unsqueeze(batch.column("lengths")[k].as_py())
+            doc_ids = batch.column("doc_ids")[k].values
+            at = np.concatenate(([0], np.cumsum(lengths)))
+            for x in range(0, len(lengths), _DOCS_AT_ONCE):
+                y = min(x + _DOCS_AT_ONCE, len(lengths))
+                here = numbers[at[x]:at[y]]
+                n = counts[here]
+                ends = np.cumsum(n)
+                flat = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[here] - (ends - n), n)]
+                edge = np.concatenate(([0], ends))[at[x:y + 1] - at[x]]
+                yield pa.record_batch([doc_ids[x:y], pa.ListArray.from_arrays(
+                    pa.array(edge, pa.int32()), pa.array(flat, pa.int32()))], names=["doc_id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], ranks_file: str) -> Iterator[pa.RecordBatch]:
+    """Adds the bytes of the ids: a lookup of every id in the table of token bytes."""
+    table = pa.array(token_bytes(ranks_file), pa.large_binary())
+    for batch in batches:
+        lists = batch.column("ids")
+        taken = table.take(lists.flatten())
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:taken.offset + len(taken) + 1] \
+            if len(taken) else np.zeros(1, np.int64)
+        edges = lists.offsets.to_numpy() - (lists.offsets[0].as_py() if len(lists) else 0)
+        whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [
+            None, pa.py_buffer(np.ascontiguousarray(ends[edges])), taken.buffers()[2]])
+        yield pa.record_batch([batch.column("doc_id"), lists, whole.cast(pa.binary())], names=["doc_id", "ids", "decoded"])
+
+
+def _digested(batches: Iterator[pa.RecordBatch], ranks_file: str) -> Iterator[pa.RecordBatch]:
+    names = np.array([str(k) for k in range(len(token_bytes(ranks_file)))], object)
+    for batch in batches:
+        lists = batch.column("ids")
+        edges = lists.offsets.to_numpy()
+        ids = lists.values.to_numpy(zero_copy_only=False)
+        sha = [hashlib.sha256(",".join(names[ids[a:b]].tolist()).encode()).hexdigest() for a, b in zip(edges, edges[1:])]
+        back = [hashlib.sha256(raw.as_buffer()).hexdigest() for raw in batch.column("decoded")]
+        yield pa.record_batch([batch.column("doc_id"), pa.array(np.diff(edges), pa.int64()), pa.array(sha, pa.string()),
+                               pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def _parts(docs: DataFrame) -> int:
+    return min(65_535, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                part = _unsqueeze(batch.column("parts")[k].as_py())
-                counts = np.zeros(len(part), np.int64)
-                by_part, ids = [], []
-                order = np.argsort(part, kind="stable")
-                edges = np.searchsorted(part[order], np.arange(parts + 1))
-                for row in sorted(batch.column("found")[k].as_py() or [], key=lambda r: r["part"]):
-                    mine = order[edges[row["part"]]:edges[row["part"] + 1]]
-                    counts[mine] = _unsqueeze(row["counts"])
-                    by_part.append(mine)
-                    ids.append(_unsqueeze(row["ids"]).astype(np.int32))
-                ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                listed = np.concatenate(by_part) if by_part else np.zeros(0, np.int64)
-                first = np.zeros(len(part), np.int64)
-                first[listed] = np.cumsum(counts[listed]) - counts[listed]
-                numbers = _unsqueeze(batch.column("numbers")[k].as_py())
-                lengths = _unsqueeze(batch.column("lengths")[k].as_py())
-                doc_ids = batch.column("doc_ids")[k].values
-                at = np.concatenate(([0], np.cumsum(lengths)))
-                for x in range(0, len(lengths), 512):
-                    y = min(x + 512, len(lengths))
-                    here = numbers[at[x]:at[y]]
-                    n = counts[here]
-                    ends = np.cumsum(n)
-                    flat = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[here] - (ends - n), n)]
-                    edge = np.concatenate(([0], ends))[at[x:y + 1] - at[x]]
-                    yield pa.record_batch([doc_ids[x:y], pa.ListArray.from_arrays(
-                        pa.array(edge, pa.int32()), pa.array(flat, pa.int32()))], names=["doc_id", "ids"])
-
-    return whole.mapInArrow(assemble, f"doc_id {kind}, ids array<int>")
+
+def encode(docs: DataFrame, ranks_file: str | None = None) -> DataFrame:
+    """doc_id and ids (array of int) of every document."""
+    parts, kind = _parts(docs), docs.schema["doc_id"].dataType.simpleString()
+    chunks = _chunks_with_ids(docs, ranks_file or vocabulary_file(), parts)
+    return chunks.mapInArrow(lambda batches: _assembled(batches, parts), f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks_file: str | None = None) -> DataFrame:
-    """Adds `decoded` (binary) to rows of doc_id, ids: a lookup of every id in the table of token bytes."""
+    """Adds `decoded` (binary) to rows of doc_id, ids."""
     ranks_file = ranks_file or vocabulary_file()
     kind = encoded.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.array(token_bytes(ranks_file), pa.large_binary())
-        for batch in batches:
-            lists = batch.column("ids")
-            taken = table.take(lists.flatten())
-            ends = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:taken.offset + len(taken) + 1] \
-                if len(taken) else np.zeros(1, np.int64)
-            edges = lists.offsets.to_numpy() - (lists.offsets[0].as_py() if len(lists) else 0)
-            raw = taken.buffers()[2]
-            whole = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(lists), [None, pa.py_buffer(np.ascontiguousarray(ends[edges])), raw])
-            yield pa.record_batch([batch.column("doc_id"), lists, whole.cast(pa.binary())],
-                                  names=["doc_id", "ids", "decoded"])
-
-    return encoded.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
+    return encoded.mapInArrow(lambda batches: _decoded(batches, ranks_file),
+                              f"doc_id {kind}, ids array<int>, decoded binary")
 
 
 def report(docs: DataFrame, ranks_file: str | None = None) -> DataFrame:
-    """doc_id, n_tokens and digests of ids and decoded bytes of every document."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array([str(k) for k in range(len(token_bytes(ranks_file or vocabulary_file())))], object)
-        for batch in batches:
-            lists = batch.column("ids")
-            edges = lists.offsets.to_numpy()
-            ids = lists.values.to_numpy(zero_copy_only=False)
-            sha = [hashlib.sha256(",".join(names[ids[a:b]].tolist()).encode()).hexdigest() for a, b in zip(edges, edges[1:])]
-            back = [hashlib.sha256(raw.as_buffer()).hexdigest() for raw in batch.column("decoded")]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(np.diff(edges), pa.int64()), pa.array(sha, pa.string()),
-                                   pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decode(encode(docs, ranks_file), ranks_file).mapInArrow(
-        digests, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    """doc_id, n_tokens and digests of ids and decoded bytes of every document: encoded, decoded and
+    digested batch by batch in one Python process a task."""
+    ranks_file = ranks_file or vocabulary_file()
+    parts, kind = _parts(docs), docs.schema["doc_id"].dataType.simpleString()
+    return _chunks_with_ids(docs, ranks_file, parts).mapInArrow(
+        lambda batches: _digested(_decoded(_assembled(batches, parts), ranks_file), ranks_file),
+        f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
