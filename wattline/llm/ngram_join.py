@@ -218,22 +218,23 @@ def _contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                                          rows, schema))
 
 
+def _count_matrix(column: pa.Array) -> np.ndarray:
+    raw = column.to_pylist()
+    if all(len(r) == BUCKETS for r in raw):
+        return np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BUCKETS)
+    return np.stack([np.frombuffer(r, np.uint8 if len(r) == BUCKETS else np.uint32).astype(np.uint32) for r in raw])
+
+
 def _possible(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     """Pairs (a, b, reach) whose distance may be up to 0.2 + reach: the smaller of two sets' class counts,
     summed, bound their common shingles."""
     a = profiles.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("c_a"))
     b = profiles.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("c_b"))
 
-    def numbers(column: pa.Array) -> np.ndarray:
-        raw = column.to_pylist()
-        if all(len(r) == BUCKETS for r in raw):
-            return np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BUCKETS)
-        return np.stack([np.frombuffer(r, np.uint8 if len(r) == BUCKETS else np.uint32).astype(np.uint32) for r in raw])
-
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                common = np.minimum(numbers(batch.column("c_a")), numbers(batch.column("c_b"))).sum(axis=1, dtype=np.int64)
+                common = np.minimum(_count_matrix(batch.column("c_a")), _count_matrix(batch.column("c_b"))).sum(axis=1, dtype=np.int64)
                 both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
                 ok = 1 - common / (both - common) <= FAR + _SLACK + batch.column("reach").to_numpy()
                 yield batch.select(["a", "b", "reach"]).filter(pa.array(ok))
@@ -406,26 +407,71 @@ def connected_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
         & (F.col("d") <= FAR + F.col("reach_a") + F.col("reach_b") + _SLACK)), labels))
     if open_.isEmpty():
         return labels
-    side_a = open_.join(homes.withColumnRenamed("home", "a"), "a").filter(
-        F.col("d") <= FAR + F.col("r") + F.col("reach_b") + _SLACK)
-    side_b = open_.join(homes.withColumnRenamed("home", "b"), "b").filter(
-        F.col("d") <= FAR + F.col("r") + F.col("reach_a") + _SLACK)
-    star = side_a.select(F.col("b").alias("a"), F.col("key").alias("b"), F.col("reach_b").alias("reach")).union(
-        side_b.select("a", F.col("key").alias("b"), F.col("reach_a").alias("reach"))).filter("a <> b")
-    star = compare(star.groupBy("a", "b").agg(F.max("reach").alias("reach")))
-    labels = _relabel(labels, star.filter(_LINK))
-
-    seen = star.select("a", "b", F.col("d").alias("far"))
-    left = side_a.join(seen.select(F.col("a").alias("b"), F.col("b").alias("key"), "far"), ["b", "key"]).select(
-        "a", "b", F.col("key").alias("y"), F.col("r").alias("ry"), F.col("far").alias("fy"))
-    right = side_b.join(seen.select("a", F.col("b").alias("key"), "far"), ["a", "key"]).select(
-        "a", "b", F.col("key").alias("z"), F.col("r").alias("rz"), F.col("far").alias("fz"))
-    rest = _apart(left, labels).join(_apart(right, labels), ["a", "b"]).filter(
-        (F.col("fy") - F.col("rz") <= FAR + _SLACK) & (F.col("fz") - F.col("ry") <= FAR + _SLACK)
-        & (F.col("ry") > 0) & (F.col("rz") > 0)).select(F.col("y").alias("a"), F.col("z").alias("b")).distinct()
+    star = save(_star(open_, homes, profiles))
+    met = contents.compare(star)
+    labels = _relabel(labels, met.filter(_LINK))
+
+    met = star.join(met.select("a", "b", F.col("d").alias("far")), ["a", "b"])
+    left = met.select(F.col("home").alias("a"), F.col("a").alias("b"), F.col("b").alias("y"), F.col("r").alias("ry"),
+                      F.col("far").alias("fy"))
+    right = met.select("a", F.col("home").alias("b"), F.col("b").alias("z"), F.col("r").alias("rz"), F.col("far").alias("fz"))
+    between = _apart(open_.select("a", "b"), labels)
+    rest = between.join(left, ["a", "b"]).join(right, ["a", "b"]).filter(
+        (F.col("fy") - F.col("rz") <= FAR + _SLACK) & (F.col("fz") - F.col("ry") <= FAR + _SLACK)).select(
+        F.col("y").alias("a"), F.col("z").alias("b")).distinct()
     return _relabel(labels, compare(rest.withColumn("reach", F.lit(0.0))).filter(_LINK))
 
 
+def _star(open_: DataFrame, homes: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Followers b (of `home`, at distance r) that the other leader a of an open pair may come within reach of.
+
+    Followers go to tasks in chunks; the leaders to compare them with follow, and only pairs that the bound and
+    the class counts leave open are emitted.
+    """
+    sides = open_.select(F.col("a").alias("home"), F.col("b").alias("key"), F.col("d").alias("x"), F.col("reach_b").alias("reach")).union(
+        open_.select(F.col("b"), F.col("a"), "d", "reach_a"))
+    followers = homes.filter("key <> home").join(sides.select("home").distinct(), "home", "left_semi")
+    chunks = followers.groupBy("home").agg(F.ceil(F.count("*") / F.lit(CHUNK)).alias("chunks"))
+    about = profiles.select("key", "n", "counts")
+    members = followers.join(chunks, "home").select(
+        "home", F.pmod(F.xxhash64("key"), F.col("chunks")).alias("chunk"), F.lit(0).alias("is_leader"), "key",
+        F.col("r").alias("x"), F.lit(0.0).alias("reach")).join(about, "key")
+    leaders = sides.join(chunks, "home").select(
+        "home", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
+        F.lit(1).alias("is_leader"), "key", "x", "reach").join(about, "key")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, parts, group = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            home, chunk, leads = (batch.column(c).to_numpy() for c in ("home", "chunk", "is_leader"))
+            key, n, x, reach = (batch.column(c).to_numpy() for c in ("key", "n", "x", "reach"))
+            found = []
+            heads = group_starts(home, chunk, leads)
+            for p, q in zip(heads, np.append(heads[1:], len(home))):
+                if (home[p], chunk[p]) != name:
+                    name, parts, group = (home[p], chunk[p]), [], None
+                counts = _count_matrix(batch.column("counts").slice(p, q - p))
+                if not leads[p]:
+                    parts.append((key[p:q], n[p:q], x[p:q], counts.astype(np.uint32)))
+                    continue
+                if group is None:
+                    group = [np.concatenate(column) for column in zip(*parts)]
+                keys, sizes, radii, theirs = group
+                for i in range(p, q):
+                    near = np.flatnonzero(x[i] <= FAR + radii + reach[i] + _SLACK)
+                    common = np.minimum(theirs[near], counts[i - p]).sum(axis=1, dtype=np.int64)
+                    near = near[1 - common / (sizes[near] + n[i] - common) <= FAR + _SLACK + reach[i]]
+                    found.append((np.full(len(near), key[i]), keys[near], np.full(len(near), home[i]), radii[near]))
+            if found:
+                yield pa.record_batch([np.concatenate(column) for column in zip(*found)], names=["a", "b", "home", "r"])
+
+    rows = members.unionByName(leaders).select("home", "chunk", "is_leader", "key", "n", "counts", "x", "reach")
+    return rows.repartition("home", "chunk").sortWithinPartitions("home", "chunk", "is_leader").mapInArrow(
+        meet, "a long, b long, home long, r double")
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs whose sides a and b are not connected yet."""
     return pairs.join(labels.select(F.col("key").alias("a"), F.col("comp").alias("__ca")), "a").join(
