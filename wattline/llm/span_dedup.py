@@ -6,7 +6,8 @@ least three sentences and 15 words, or at least 30 words; a text too short
 for any run is one run. Equal runs of the whole corpus meet in one shuffle,
 sorted by document and place, so the first is the one with no equal row
 before it, and only the others are passed on: neither a group nor its pairs
-are ever collected. A sentence goes if any run that covers it has an earlier
+are ever collected. Rows with an earlier equal in their own slice of documents
+are settled before the shuffle. A sentence goes if any run that covers it has an earlier
 equal.
 
 Defined cases: a null text stays null, a wordless text stays as it is;
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wattline.llm.common import map_slices
-from wattline.llm.textbytes import Texts, mix, signed
+from wattline.llm.textbytes import Texts, group_starts, mix, signed
 
 SENTENCES, WORDS, ENOUGH_WORDS = 3, 15, 30
 
@@ -101,9 +102,20 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         run, start, end, doc = runs(texts)
         if not len(run):
             return None
+        ids = part.column("doc_id")
+        place = [np.asarray(ids.is_null())[doc], np.asarray(ids.fill_null(0))[doc], part.column("th").to_numpy()[doc], start]
+        order = np.lexsort((*reversed(place), run))
+        heads = group_starts(run[order])
+        first = order[np.repeat(heads, np.diff(np.append(heads, len(run))))]     # of each row's run in this slice
+        known = np.zeros(len(run), bool)
+        for column in place:
+            known[order] |= column[order] != column[first]
+        # A row with an earlier equal in its slice is settled: it goes anywhere, so a very frequent run is no hot key.
+        run = np.where(known, mix(run + np.arange(1, len(run) + 1, dtype=_U)), run)
         at = pa.array(doc)
-        return pa.record_batch([signed(run), part.column("doc_id").take(at), part.column("th").take(at),
-                                start.astype(np.int32), end.astype(np.int32)], names=["run", "doc_id", "th", "start", "stop"])
+        return pa.record_batch([signed(run), ids.take(at), part.column("th").take(at), start.astype(np.int32),
+                                end.astype(np.int32), pa.array(known)],
+                               names=["run", "doc_id", "th", "start", "stop", "known"])
 
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None                        # run and place of the first row of the open group
@@ -131,11 +143,11 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
                 first |= same
             if index[-1] >= 0:
                 before = (run[-1], [column[index[-1]] for column in place])
-            out = batch.filter(pa.array(~first))
+            out = batch.filter(pa.array(~first | np.asarray(batch.column("known"))))
             if out.num_rows:
                 yield out.select(["doc_id", "th", "start", "stop"])
 
-    found = map_slices(docs, rows, f"run long, doc_id {kind}, th long, start int, stop int")
+    found = map_slices(docs, rows, f"run long, doc_id {kind}, th long, start int, stop int, known boolean")
     return found.repartition("run").sortWithinPartitions(
         "run", F.col("doc_id").asc_nulls_last(), "th", "start").mapInArrow(
         later, f"doc_id {kind}, th long, start int, stop int")
