@@ -171,17 +171,17 @@ def verdicts(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
 ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
-             list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM d),
+             list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM d),
 g AS (SELECT r, i, ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2] || ' ' || ws[i+3] || ' ' || ws[i+4] AS g
       FROM (SELECT r, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
 o AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
 c AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM o) GROUP BY r),
 m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
-             CAST(coalesce(list_sum(list_transform(ws, x -> length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
              CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
              CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(len(ls) AS BIGINT) AS n_lines,
-             CAST(len(list_filter(range(2, len(ws) + 1), i -> ws[i] = ws[i - 1])) AS BIGINT) AS n_echoes
+             CAST(len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS BIGINT) AS n_echoes
       FROM w LEFT JOIN c ON c.r = w.r),
 b AS (SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END) | (CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END)
               | (CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END) | (CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END)
