@@ -10,7 +10,7 @@ from wattline.llm.common import table
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return span_dedup.without_repeats(documents)
+    return span_dedup.without_repeats(documents, both_ends=True)
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

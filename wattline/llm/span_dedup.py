@@ -3,7 +3,10 @@
 A sentence ends with a word that ends in `.`, `!` or `?`, or at the end of a
 line. From every sentence the shortest run of several sentences is hashed: at
 least three sentences and 15 words, or at least 30 words; a text too short
-for any run is one run. Equal runs of the whole corpus meet in one shuffle,
+for any run is one run. With `both_ends` the shortest run up to every sentence
+is hashed too, so every sentence of a repeated passage that is long enough for
+a run lies in one inside the passage: the last ones in the run up to its end.
+Equal runs of the whole corpus meet in one shuffle,
 sorted by document and place, so the first is the one with no equal row
 before it, and only the others are passed on: neither a group nor its pairs
 are ever collected. Rows with an earlier equal in their own slice of documents
@@ -48,7 +51,7 @@ def sentences(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return a[first], b[last], doc[first], last - first + 1
 
 
-def runs(texts: Texts):
+def runs(texts: Texts, both_ends: bool = False):
     """Hash, first sentence and end sentence (within the document) and document of every run."""
     a, b, doc, words = sentences(texts)
     n = len(a)
@@ -64,7 +67,16 @@ def runs(texts: Texts):
     head = start == edges[doc]
     end = np.where(whole, end, limit)
     keep = whole | head
-    start, end = start[keep], end[keep]
+    begins, ends = start[keep], end[keep]
+    if both_ends:
+        # The begin of the run up to each sentence; those that are no run from their first sentence are added.
+        by_words = np.searchsorted(total, total[1:] - ENOUGH_WORDS, side="right") - 1
+        by_both = np.minimum(np.searchsorted(total, total[1:] - WORDS, side="right") - 1, start + 1 - SENTENCES)
+        begin = np.maximum(by_words, by_both)
+        more = begin >= edges[doc]
+        more &= end[np.where(more, begin, 0)] != start + 1
+        begins, ends = np.concatenate((begins, begin[more])), np.concatenate((ends, start[more] + 1))
+    start, end = begins, ends
     hashes = texts.range_hasher()(a, b)
     # A run's hash: sum of its sentences' hashes, each turned by its place in the run.
     turned = hashes * _odd_powers(n)
@@ -93,13 +105,13 @@ def _odd_inverses(n: int) -> np.ndarray:
     return _powers(pow(_ODD, -1, 1 << 64), n)
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
+def repeated_runs(docs: DataFrame, both_ends: bool = False) -> DataFrame:
     """doc, th, start, stop of every run that has an earlier equal; `docs` has doc_id, th and text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(part: pa.RecordBatch) -> pa.RecordBatch | None:
         texts = Texts(part.column("text"))
-        run, start, end, doc = runs(texts)
+        run, start, end, doc = runs(texts, both_ends)
         if not len(run):
             return None
         ids = part.column("doc_id")
@@ -153,11 +165,11 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         later, f"doc_id {kind}, th long, start int, stop int")
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, both_ends: bool = False) -> DataFrame:
     """The documents with repeated sentences taken out of `text`, and the columns n_sentences and n_removed."""
     columns = docs.columns
     base = docs.withColumn("__th", F.xxhash64(F.coalesce("text", F.lit(""))))
-    spans = repeated_runs(base.select("doc_id", F.col("__th").alias("th"), "text")).groupBy(
+    spans = repeated_runs(base.select("doc_id", F.col("__th").alias("th"), "text"), both_ends).groupBy(
         F.col("doc_id").alias("__doc"), F.col("th").alias("__of")).agg(
         F.collect_set(F.shiftleft(F.col("start").cast("long"), 32) + F.col("stop")).alias("__spans"))
     joined = base.join(spans, (F.col("__th") == F.col("__of")) & F.col("doc_id").eqNullSafe(F.col("__doc")), "left").select(
