@@ -35,7 +35,7 @@ def suffix_array_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's tokens get their places in sequences."""
-    return packing.packed(spark, docs)
+    return packing.packed(spark, docs, added_tokens=True)
 
 
 STAGES = [

@@ -22,6 +22,7 @@ are left alone.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from bisect import bisect_right, insort
 from collections import Counter
@@ -162,14 +163,25 @@ def pack(counts: dict[int, int], capacity: int = CAPACITY) -> Counter:
 # --- tokens ---------------------------------------------------------------------
 
 @lru_cache(maxsize=4)
-def _encoder(ranks_file: str):
-    """The vocabulary's merges as ranks: the ids that its tokenizer file gives, at several times the speed."""
+def _encoder(ranks_file: str, added_tokens: bool = False):
+    """The vocabulary's merges as ranks: the ids that its tokenizer file gives, at several times the speed.
+
+    With `added_tokens` the added tokens of the tokenizer file beside the ranks
+    are matched inside texts, as its plain call does; else they are text.
+    """
     import tiktoken
     from public_tokenizers import PATTERN
 
     with open(ranks_file, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    special = {}
+    if added_tokens:
+        with open(ranks_file.removesuffix(".tiktoken") + ".json", encoding="utf-8") as file:
+            for token in json.load(file)["added_tokens"]:
+                if token["single_word"] or token["lstrip"] or token["rstrip"]:
+                    raise ValueError(f"added token {token['content']!r} is not matched as plain text")
+                special[token["content"]] = token["id"]
+    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def vocabulary_file() -> str:
@@ -178,13 +190,14 @@ def vocabulary_file() -> str:
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None,
-           keep_ids: bool = False) -> DataFrame:
+           keep_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids, as little-endian 32-bit numbers) of every piece."""
     def rows(part: pa.RecordBatch) -> pa.RecordBatch:
-        encoder = _encoder(vocabulary or vocabulary_file())
+        encoder = _encoder(vocabulary or vocabulary_file(), added_tokens)
         owner, number, start, length, crc, raw = [], [], [], [], [], []
         for k, text in enumerate(part.column("text").to_pylist()):
-            ids = np.append(encoder.encode_to_numpy(text or "", disallowed_special=()).astype("<u4"), np.uint32(CLOSING_ID))
+            ids = encoder.encode_to_numpy(text or "", allowed_special="all", disallowed_special=())
+            ids = np.append(ids.astype("<u4"), np.uint32(CLOSING_ID))
             first = (len(ids) - 1) % capacity + 1
             for i, a in enumerate((0, *range(first, len(ids), capacity))):
                 b = first if not i else a + capacity
@@ -271,8 +284,8 @@ def assign(spark: SparkSession, rows: DataFrame, capacity: int = CAPACITY) -> Da
 
 
 def packed(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None,
-           keep_ids: bool = False) -> DataFrame:
+           keep_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """Every piece with its sequence and offset."""
-    rows = save(pieces(docs, capacity, vocabulary, keep_ids))
+    rows = save(pieces(docs, capacity, vocabulary, keep_ids, added_tokens))
     return assign(spark, rows, capacity).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *(["ids"] if keep_ids else []))

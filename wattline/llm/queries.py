@@ -34,7 +34,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(spark, table(spark, sf_dir, "documents"))
+    return packing.packed(spark, table(spark, sf_dir, "documents"), added_tokens=True)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
