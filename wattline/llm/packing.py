@@ -36,7 +36,6 @@ from wattline.llm.common import map_slices, save
 
 CAPACITY = 1024
 CLOSING_ID = 2
-_ROUNDS = 64
 
 
 # --- the packing of a histogram -------------------------------------------------
@@ -86,6 +85,15 @@ def best_fit(counts: dict[int, int], capacity: int) -> Counter:
     return done
 
 
+@lru_cache(maxsize=4096)
+def _pairs(pattern: tuple) -> list[tuple[int, int, int]]:
+    """Sum, larger and smaller length of every two pieces: few, as a bin holds few distinct lengths."""
+    lengths = Counter(pattern)
+    ordered = sorted(lengths, reverse=True)
+    return sorted([(p + q, p, q) for i, p in enumerate(ordered) for q in ordered[i + 1:]]
+                  + [(p + p, p, p) for p, n in lengths.items() if n > 1])
+
+
 def _trade(a: tuple, b: tuple, capacity: int) -> tuple[tuple, tuple] | None:
     """The trade between two bins that raises the sum of squared fills most, if any.
 
@@ -94,7 +102,7 @@ def _trade(a: tuple, b: tuple, capacity: int) -> tuple[tuple, tuple] | None:
     as b, any gain of a raises the sum.
     """
     room = capacity - sum(a)
-    ones, twos = sorted(set(b)), None
+    ones = sorted(set(b))
     best, gain = None, 0
     for y in ones:
         if gain < y <= room:
@@ -104,14 +112,13 @@ def _trade(a: tuple, b: tuple, capacity: int) -> tuple[tuple, tuple] | None:
         at = bisect_right(ones, x + room) - 1
         if at >= 0 and ones[at] - x > gain:
             best, gain = ((x,), (ones[at],)), ones[at] - x
-    if gain < room and len(b) <= 64 and len(a) <= 64:
-        twos = sorted({(p + q, p, q) for i, p in enumerate(b) for q in b[i + 1:]})
+    if gain < room:
+        twos = _pairs(b)
         for x in mine:
             at = bisect_right(twos, (x + room, capacity + 1, 0)) - 1
             if at >= 0 and twos[at][0] - x > gain:
                 best, gain = ((x,), twos[at][1:]), twos[at][0] - x
-        pairs = sorted({(p + q, p, q) for i, p in enumerate(a) for q in a[i + 1:]})
-        for total, p, q in pairs:
+        for total, p, q in _pairs(a):
             at = bisect_right(ones, total + room) - 1
             if at >= 0 and ones[at] - total > gain:
                 best, gain = ((p, q), (ones[at],)), ones[at] - total
@@ -128,11 +135,12 @@ def _trade(a: tuple, b: tuple, capacity: int) -> tuple[tuple, tuple] | None:
     return tuple(sorted(new_a, reverse=True)), tuple(sorted(new_b, reverse=True))
 
 
-def local_search(patterns: Counter, capacity: int, rounds: int = _ROUNDS) -> Counter:
-    """Trade pieces between underfull bins until no trade helps (or `rounds` passes are over)."""
+def local_search(patterns: Counter, capacity: int) -> Counter:
+    """Trade pieces between underfull bins until no trade helps: every trade raises a bounded sum, so it ends."""
     full = Counter({p: n for p, n in patterns.items() if sum(p) == capacity})
     under = Counter({p: n for p, n in patterns.items() if sum(p) < capacity})
-    for _ in range(rounds):
+    changed = True
+    while changed:
         changed = False
         for b in sorted(under, key=lambda p: (sum(p), p)):            # the emptiest give
             for a in sorted(under, key=lambda p: (-sum(p), p)):       # the fullest take
@@ -151,8 +159,6 @@ def local_search(patterns: Counter, capacity: int, rounds: int = _ROUNDS) -> Cou
                         (full if sum(p) == capacity else under)[p] += n
                 changed = True
         under = +under
-        if not changed:
-            break
     return full + under
 
 
