@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import bpe, chat, neighbours, ngram_join, packing, quality, sharding, span_dedup, suffix_dedup, toxicity
+from wattline.llm import (
+    bpe, chat, filter_audit, neighbours, ngram_join, packing, quality, sharding, span_dedup, suffix_dedup, toxicity)
 from wattline.llm.common import table
 
 
@@ -49,6 +50,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -60,8 +65,10 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE = {
     "op8_quality_rules": quality.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
 }
