@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wattline.llm import (
-    bpe, chat, filter_audit, neighbours, ngram_join, packing, quality, sharding, span_dedup, suffix_dedup, toxicity)
+    bpe, chat, filter_audit, merkle, neighbours, ngram_join, packing, quality, sharding, span_dedup, suffix_dedup, toxicity)
 from wattline.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -66,9 +70,11 @@ QUERIES = {
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_toxicity": op10_toxicity,
     "op11_filter_audit": op11_filter_audit,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLE = {
     "op8_quality_rules": quality.ORACLE,
     "op11_filter_audit": filter_audit.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
