@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wattline.llm import (
-    bpe, chat, filter_audit, merkle, neighbours, ngram_join, packing, quality, sharding, span_dedup, suffix_dedup, toxicity)
+    bpe, chat, filter_audit, langid, merkle, neighbours, ngram_join, packing, quality, sharding, span_dedup, suffix_dedup, toxicity)
 from wattline.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -71,6 +75,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_filter_audit": op11_filter_audit,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_language_id": op13_language_id,
 }
 
 ORACLE = {
