@@ -257,9 +257,10 @@ def manifest(docs: DataFrame, seen: Column | None = None, height: int = HEIGHT)
     `seen` is the digest that a row shows today; it is kept beside the leaf, for `verified`.
     """
     own = leaf()
-    rows = docs.select(*FIELDS).select(
+    # Saved, so that texts are read and hashed once, not again to draw the bounds of ranges.
+    rows = save(docs.select(*FIELDS).select(
         _tree(F.col("source").cast("string")).alias("tree"), own.alias("leaf"), "doc_id",
-        (own if seen is None else seen).alias("seen"))
+        (own if seen is None else seen).alias("seen")))
     placed = _positions(rows, ["doc_id", "leaf", "seen"])
     sources = build(placed.select("tree", "position", "total", "leaf", F.struct("doc_id", "seen").alias("entry")), height)
     names = _roots(sources, height).select(F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("root").alias("leaf"))
