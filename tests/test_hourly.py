@@ -61,3 +61,26 @@ def test_hourly_keys_unique(spark):
     out = aggregate_hourly(readings(ev), order_cols=["_row_order"])
     assert out.count() == out.select("datetime").distinct().count()
     assert out.where(F.col("datetime").isNull()).count() == 0
+
+
+def test_one_number_order_equals_the_struct_order(spark):
+    """The hash path (one ordinal) against the general one, also for nulls, bad numbers and a null ordinal."""
+    rows = [(d, h, c, p, o) for o, (d, h, c, p) in enumerate(
+        (f"2012-01-0{1 + i % 3}", f"0{i % 4}:{'00' if i % 5 else '30'}:{i % 60:02d}", [None, "ND", "1,5", "12d", str(i), f" {i}.5 "][i % 6],
+         [None, "x", "7"][i % 3]) for i in range(400))]
+    df = spark.createDataFrame(rows + [("2012-01-01", "00:00:00", "-3", "9", None)],
+                               "date string, heures string, consommation string, prev string, o long")
+    got = sorted(map(tuple, feature_table(df.drop("x"), ["o"]).collect()))
+    general = df.withColumn("p", F.lit(0))
+    want = sorted(map(tuple, feature_table(general, ["p", "o"]).drop("p").collect()))
+    assert got == want and len(got) > 10
+    for n in (3, 11):
+        assert sorted(map(tuple, feature_table(df.repartition(n), ["o"]).collect())) == got
+
+
+def test_an_ordinal_out_of_range_is_an_error(spark):
+    import pytest
+    for bad in (-2, 2 ** 51):
+        df = spark.createDataFrame([("2012-01-01", "00:00", "1", bad)], "date string, heures string, consommation string, o long")
+        with pytest.raises(Exception, match="beyond 51 bits"):
+            feature_table(df, ["o"]).collect()

@@ -15,7 +15,20 @@ def _plan(spark, name):
 def test_flagship_one_exchange_with_partial_aggregate(spark):
     plan = _plan(spark, "agg_10")
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
-    assert "partial_min" in plan                      # combined map-side before the shuffle
+    assert "partial_min_by" in plan                   # combined map-side before the shuffle
+
+
+def test_first_values_read_as_numbers_sort_no_raw_rows(spark):
+    for name in ("agg_10", "agg_10_wide"):
+        plan = _plan(spark, name)
+        assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_time_is_parsed_once_a_row(spark):
+    """No filter on the parsed hour below the grouping: it would parse every row's time again."""
+    for name in ("agg_10", "agg_03", "final_features"):
+        for line in _plan(spark, name).splitlines():
+            assert not re.search(r"Filter .*try_cast", line), name
 
 
 def test_hourly_mean_is_hash_aggregate(spark):

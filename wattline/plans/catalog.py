@@ -52,6 +52,14 @@ def agg_10(spark, sf_dir):
     return hourly.feature_table(_readings(spark, sf_dir), order_cols=["_row_order"])
 
 
+@register("agg_10_wide", f"""
+SELECT {", ".join(f"COALESCE({S.number_sql(c)}, 0.0) AS {c}" for c in ["consommation", *S.WIDE])}, {S.calendar_sql('datetime')}
+FROM ({S.WIDE_HOURLY_SQL}) h
+""")
+def agg_10_wide(spark, sf_dir):
+    return hourly.feature_table(S.wide_readings(S.table(spark, sf_dir, "events")), order_cols=["_row_order"])
+
+
 @register("agg_03", f"SELECT * FROM ({S.HOURLY_SQL}) h")
 def agg_03(spark, sf_dir):
     return hourly.aggregate_hourly(_readings(spark, sf_dir), order_cols=["_row_order"])
@@ -61,9 +69,9 @@ def agg_03(spark, sf_dir):
 SELECT datetime, consommation, nature FROM ({S.HOURLY_SQL}) h
 """)
 def agg_02(spark, sf_dir):
-    prepared = clean.valid_time(clean.with_reading_time(clean.sentinel_to_null(
-        _readings(spark, sf_dir).select("date", "heures", "consommation", "nature", "_row_order"))))
-    return hourly.hourly_aggregate(prepared.drop("date", "heures"), order_cols=["_row_order"])
+    prepared = clean.with_reading_time(clean.sentinel_to_null(
+        _readings(spark, sf_dir).select("date", "heures", "consommation", "nature", "_row_order")))
+    return hourly.hourly_aggregate(prepared.drop("date", "heures"), order_cols=["_row_order"], known_time=True)
 
 
 @register("agg_01", """

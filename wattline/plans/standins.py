@@ -33,22 +33,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def readings(events: DataFrame) -> DataFrame:
+def _reading_cells() -> dict:
     ts = F.col("ts")
     date = (F.when(F.col("value") < 0.5, F.date_format(ts, "yyyy-13-dd"))
             .when(F.col("event_type") == "view", F.date_format(ts, "dd/MM/yyyy"))
             .otherwise(F.date_format(ts, "yyyy-MM-dd")))
     cons = (F.when(F.col("event_type") == "error", F.lit("ND"))
             .otherwise(F.round(F.col("value") * 100).cast("bigint").cast("string")))
-    return events.select(
-        F.concat(F.lit("zone_"), F.col("user_id").cast("string")).alias("perimetre"),
-        F.col("event_type").alias("nature"),
-        date.alias("date"),
-        F.date_format(ts, "HH:mm").alias("heures"),
-        cons.alias("consommation"),
-        F.concat(F.lit("events_"), F.date_format(ts, "yyyy-MM"), F.lit(".xls")).alias("source_file"),
-        F.col("event_id").alias("_row_order"),
-    )
+    return {
+        "perimetre": F.concat(F.lit("zone_"), F.col("user_id").cast("string")),
+        "nature": F.col("event_type"),
+        "date": date,
+        "heures": F.date_format(ts, "HH:mm"),
+        "consommation": cons,
+        "source_file": F.concat(F.lit("events_"), F.date_format(ts, "yyyy-MM"), F.lit(".xls")),
+        "_row_order": F.col("event_id"),
+    }
+
+
+def readings(events: DataFrame) -> DataFrame:
+    return events.select(*[e.alias(n) for n, e in _reading_cells().items()])
 
 
 READINGS_SQL = """
@@ -64,6 +68,26 @@ READINGS_SQL = """
          event_id AS _row_order
   FROM events"""
 
+# Readings as wide as a real file: 35 more columns of numbers as text, some missing, some not numbers.
+WIDE = [f"c_{j}" for j in range(1, 36)]
+
+
+def wide_readings(events: DataFrame) -> DataFrame:
+    def cell(j: int):
+        i = F.col("event_id")
+        return (F.when((i + j) % 7 == 0, F.lit("ND")).when((i * j) % 11 == 0, F.lit(None))
+                .when((i + j) % 13 == 0, F.lit("n/d"))
+                .otherwise((F.round(F.col("value") * 100).cast("bigint") + j * F.col("user_id")).cast("string")))
+
+    return events.select(*[e.alias(n) for n, e in _reading_cells().items()],
+                         *[cell(j).alias(c) for j, c in enumerate(WIDE, 1)])
+
+
+_WIDE_CELLS = ", ".join(
+    f"CASE WHEN (event_id + {j}) % 7 = 0 THEN 'ND' WHEN (event_id * {j}) % 11 = 0 THEN NULL WHEN (event_id + {j}) % 13 = 0 "
+    f"THEN 'n/d' ELSE CAST(CAST(round(value * 100) AS BIGINT) + {j} * user_id AS VARCHAR) END AS {c}"
+    for j, c in enumerate(WIDE, 1))
+
 # Readings after the sentinel step and timestamp parsing (DuckDB).
 PARSED_SQL = f"""
   SELECT NULLIF(perimetre, 'ND') AS perimetre, NULLIF(nature, 'ND') AS nature,
@@ -76,6 +100,15 @@ PARSED_SQL = f"""
   FROM ({READINGS_SQL}) r"""
 
 
+WIDE_HOURLY_SQL = f"""
+  SELECT CAST(date_trunc('hour', datetime) AS TIMESTAMP) AS datetime,
+         {", ".join(f"first({c} ORDER BY datetime, _row_order) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in ["consommation", *WIDE])}
+  FROM (SELECT p.*, {", ".join(f"NULLIF(e.{c}, 'ND') AS {c}" for c in WIDE)} FROM ({PARSED_SQL}) p
+        JOIN (SELECT event_id, {_WIDE_CELLS} FROM events) e ON e.event_id = p._row_order) w
+  WHERE datetime IS NOT NULL
+  GROUP BY date_trunc('hour', datetime)"""
+
+
 def number_sql(expr: str) -> str:
     """DuckDB twin of `wattline.functions.numeric.to_number`."""
     return (f"CASE WHEN regexp_matches(trim({expr}), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$') "
