@@ -9,7 +9,7 @@ from wattline.contracts import TIMESTAMP_FORMATS, WEEKEND_DAYS
 
 
 # The shapes of TIMESTAMP_FORMATS: dashes with the year first, slashes with the day first; seconds may be missing.
-_TIME = r" [0-9]{2}:[0-9]{2}(:[0-9]{2})?$"
+_TIME = r" [0-9]{2}:[0-9]{2}(:[0-9]{2})?\z"
 _DASHED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}" + _TIME
 _SLASHED = r"^[0-9]{2}/[0-9]{2}/[0-9]{4}" + _TIME
 
