@@ -3,8 +3,10 @@
 A string column is looked at as one UTF-8 byte array plus document bounds;
 words, lines and word windows are found with array operations over whole
 slices of documents, never document by document. A hash of any byte range
-comes from prefix sums of a polynomial over the integers modulo 2**64, so a
-slice costs a few passes over its bytes. Slices hold `SLICE_BYTES` of text
+comes from prefix sums of a polynomial over the integers modulo the prime
+2**61 - 1 (a power of two as modulus would give words like Thue and Morse's
+and their complements one hash), so a slice costs a few passes over its bytes,
+taken in runs that fit a cache. Slices hold `SLICE_BYTES` of text
 (or one longer document), which bounds the memory of a task.
 """
 
@@ -22,11 +24,15 @@ SLICE_BYTES = 1 << 20
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_PRIME = (1 << 61) - 1
+_P = _U(_PRIME)
+_BASE = 0x1337_9E37_79B9_7F4B % _PRIME
+_BASE_INVERSE = pow(_BASE, -1, _PRIME)
+_RUN = 1 << 14           # bytes whose sums are made at a time
+_KEPT_POWERS = (2 * SLICE_BYTES) + 1
 _is_sep = np.zeros(256, bool)
 _is_sep[list(SEPARATORS)] = True
-_byte_values = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64)
+_byte_values = np.random.default_rng(20240607).integers(1, 2**31, 256, dtype=np.uint64)
 _lower_values = _byte_values.copy()
 _lower_values[65:91] = _byte_values[97:123]
 _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
@@ -42,14 +48,49 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Remainders modulo the prime, of any 64-bit values."""
+    x = (x & _P) + (x >> _U(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of remainders modulo the prime: 2**61 counts as 1, halves keep every product below 2**64."""
+    half = _U(0xFFFFFFFF)
+    a1, a0, b1, b0 = a >> _U(32), a & half, b >> _U(32), b & half
+    low, middle = a0 * b0, a1 * b0 + a0 * b1
+    return _reduced(((a1 * b1) << _U(3)) + (middle >> _U(29)) + ((middle & _U(0x1FFFFFFF)) << _U(32))
+                    + (low & _P) + (low >> _U(61)))
+
+
 def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            table = np.full(n, base, _U)
-            table[0] = 1
-            np.multiply.accumulate(table, out=table)
-            _powers[k] = table
-    return _powers
+    """Powers of the base and of its inverse, at least n of each; tables of usual slices are kept."""
+    global _powers
+    if len(_powers[0]) >= n:
+        return _powers
+    tables = []
+    for base in (_BASE, _BASE_INVERSE):
+        table = np.ones(1, _U)
+        while len(table) < n:
+            table = np.concatenate((table, times(table, np.full(len(table), pow(base, len(table), _PRIME), _U))))
+        tables.append(table[:max(n, min(len(table), _KEPT_POWERS))])
+    if n <= _KEPT_POWERS:
+        _powers = tables
+    return tables
+
+
+def _prefix_sums(values: np.ndarray, powers: np.ndarray) -> np.ndarray:
+    """Sums modulo the prime of the first values (below 2**31) times their powers, none of them first."""
+    sums = np.zeros(len(values) + 1, _U)
+    low31, low30 = _U(0x7FFFFFFF), _U(0x3FFFFFFF)
+    for at in range(0, len(values), _RUN):
+        v = values[at:at + _RUN]
+        p = powers[at:at + len(v)]
+        high = v * (p >> _U(30))
+        term = v * (p & low30) + (high >> _U(31)) + ((high & low31) << _U(30))
+        upper, lower = np.cumsum(term >> _U(31)), np.cumsum(term & low31)
+        sums[at + 1:at + 1 + len(v)] = _reduced((upper >> _U(30)) + ((upper & low30) << _U(31)) + lower + sums[at])
+    return sums
 
 
 class Texts:
@@ -82,11 +123,9 @@ class Texts:
 
     def range_hasher(self, lower: bool = False):
         """Function from byte ranges to 64-bit hashes of their content."""
-        n = len(self.data)
-        powers, inverses = _power_tables(n + 1)
-        sums = np.zeros(n + 1, _U)
-        np.cumsum((_lower_values if lower else _byte_values)[self.data] * powers[:n], out=sums[1:])
-        return lambda a, b: mix((sums[b] - sums[a]) * inverses[a] + (b - a).astype(_U))
+        powers, inverses = _power_tables(len(self.data) + 1)
+        sums = _prefix_sums((_lower_values if lower else _byte_values)[self.data], powers)
+        return lambda a, b: mix(times(_reduced(sums[b] + (_P - sums[a])), inverses[a]) + (b - a).astype(_U))
 
     def words(self, separators: np.ndarray = _is_sep) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and end byte of every word, and its document's index."""
