@@ -101,3 +101,55 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert ngram_join.groups(empty).count() == 0
     assert ngram_join.one_of_each_group(empty).count() == 0
+
+
+@pytest.mark.parametrize("size", [3, 20])
+def test_long_lists_in_chunks(spark, monkeypatch, size):
+    monkeypatch.setattr(ngram_join, "LIST", size)
+    monkeypatch.setattr(ngram_join, "ROWS_PER_BAND", 12)
+    rows = make_rows(5)
+    got = ngram_join.groups(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows)
+
+
+def near_copies(n):
+    """Texts with two words of one origin changed: most pairs lie under the threshold, some link."""
+    rng = np.random.default_rng(6)
+    origin = [f"o{k}" for k in range(60)]
+    rows = []
+    for i in range(n):
+        copy = list(origin)
+        for at in rng.choice(60, 2, replace=False):
+            copy[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(copy), "", 1))
+    return rows
+
+
+def test_near_copies_under_the_threshold_emit_no_quadratic_rows(spark, monkeypatch):
+    emitted = []
+    was = ngram_join._open_leader_pairs
+
+    def counted(entries):
+        found = ngram_join.save(was(entries))
+        emitted.append(found.count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "_open_leader_pairs", counted)
+    for n in (250, 500):
+        rows = near_copies(n)
+        got = ngram_join.groups(spark.createDataFrame(rows, SCHEMA)).collect()
+        assert sorted(map(tuple, got), key=repr) == brute(rows)
+    assert emitted[1] <= 500 * 8 and emitted[1] < 0.1 * 500 * 499 / 2
+
+
+def test_parities_bound_the_difference():
+    import pyarrow as pa
+    from wattline.llm.textbytes import Texts
+    texts = [t for _, t, *_ in near_copies(40)]
+    doc, hashes = ngram_join.shingle_sets(Texts(pa.array(texts)))
+    odd = ngram_join.parities(doc, hashes, len(texts))
+    sets = [shingles(t) for t in texts]
+    for i in range(40):
+        for j in range(i):
+            differ = int(np.bitwise_count(odd[i] ^ odd[j]).sum())
+            assert differ <= len(sets[i] ^ sets[j]) and (differ - len(sets[i] ^ sets[j])) % 2 == 0

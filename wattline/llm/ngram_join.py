@@ -9,6 +9,10 @@ join leans on relations between sets, so that no group emits all its pairs:
   sets that are not yet known to be connected; inside a list sets stand by
   size, so the partners of a set are one block, left as soon as the size
   bound fails, and entries whose positions leave too few shingles are skipped.
+  Every entry carries the parity of its set's shingles in 512 classes: two
+  sets differ in at least as many shingles as these bits, so a pair that
+  differs in too many is no link and is left before anything is emitted.
+  Lists of more than LIST sets are cut in chunks; pairs of chunks go to tasks.
 * Answer-level skipping: a set that resembles a leader (found by min-hash
   bands, verified exactly) takes over the leader's answers. Jaccard distance
   obeys the triangle inequality: with distances r(y) and r(z) to the leaders
@@ -45,6 +49,8 @@ FREQUENT = 262_144       # shingles whose order follows their frequency; the oth
 WINDOW_BYTES = 16 << 20  # text over which a task counts before it reports what it saw three times or more
 BANDS, ROWS_PER_BAND = 4, 3
 BUCKETS = 256            # classes of shingles counted for each set
+PARITIES = 512           # classes of shingles of which only the parity is kept
+LIST = 1024              # sets of a list that a task holds twice
 CHUNK = 512              # sets compared with one copy of a leader
 FAR = 0.2                # largest distance of a link
 _SLACK = 1e-9            # keeps rounding from skipping a pair
@@ -80,8 +86,15 @@ def _set_keys(doc: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray,
     return sizes, mix(sums[edges[1:]] - sums[edges[:-1]] + sizes.astype(_U))
 
 
-def _profiles(texts: Texts) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[bytes]]:
-    """Set sizes, set names, min-hash bands, and how many shingles fall into each of BUCKETS classes of hashes."""
+def parities(doc: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """PARITIES bits of each document's set: whether an odd number of its shingles is in a class (rows of words)."""
+    bit = (mix(hashes ^ _U(0x2127599BF4325C37)) >> _U(20)).astype(np.int64) % PARITIES
+    odd = np.bincount(doc * PARITIES + bit, minlength=n * PARITIES).reshape(n, PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(_U)
+
+
+def _profiles(texts: Texts) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[bytes], np.ndarray]:
+    """Set sizes, set names, min-hash bands, how many shingles fall into each of BUCKETS classes of hashes, and parities."""
     doc, hashes = shingle_sets(texts)
     sizes, keys = _set_keys(doc, hashes, len(texts))
     filled = np.flatnonzero(sizes)
@@ -97,21 +110,22 @@ def _profiles(texts: Texts) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], l
     counts = np.bincount(doc * BUCKETS + (hashes >> _U(40)).astype(np.int64) % BUCKETS,
                          minlength=len(texts) * BUCKETS).reshape(len(texts), BUCKETS)
     packed = [row.astype(np.uint8 if row.max(initial=0) < 256 else np.uint32).tobytes() for row in counts]
-    return sizes, keys, bands, packed
+    return sizes, keys, bands, packed, parities(doc, hashes, len(texts))
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, text hash, set size, set name, bands and class counts of every row."""
+    """doc_id, text hash, set size, set name, bands, class counts and parities of every row."""
     def rows(part: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, keys, bands, counts = _profiles(Texts(part.column("text")))
+        sizes, keys, bands, counts, odd = _profiles(Texts(part.column("text")))
         return pa.record_batch([part.column("doc_id"), part.column("th"), pa.array(sizes), pa.array(signed(keys)),
                                 pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * len(bands)),
                                                          pa.array(signed(np.stack(bands, 1).ravel()))),
-                                pa.array(counts, pa.binary())], names=["doc_id", "th", "n", "key", "bands", "counts"])
+                                pa.array(counts, pa.binary()), pa.array([row.tobytes() for row in odd], pa.binary())],
+                               names=["doc_id", "th", "n", "key", "bands", "counts", "odd"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_slices(docs.select("doc_id", "th", "text"), rows,
-                      f"doc_id {kind}, th long, n long, key long, bands array<long>, counts binary")
+                      f"doc_id {kind}, th long, n long, key long, bands array<long>, counts binary, odd binary")
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
@@ -298,13 +312,32 @@ def _leader_pairs(profiles: DataFrame) -> DataFrame:
     return bands.join(leaders, ["band", "value"]).filter("a <> key").select("a", F.col("key").alias("b")).distinct()
 
 
+def _dealt(entries: DataFrame, lists: DataFrame) -> DataFrame:
+    """Entries of the lists (token, m: its sets) with the part of the list they are compared in, and their chunk.
+
+    A list of up to LIST sets is one part. A longer one is cut in chunks of about that many sets, and every pair of
+    chunks (also a chunk with itself) is a part of its own, so that no task holds more than two chunks.
+    """
+    chunks = F.ceil(F.col("m") / LIST)
+    placed = entries.join(lists, "token").withColumn("chunks", chunks).withColumn(
+        "chunk", F.pmod(F.xxhash64("key"), F.col("chunks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    return placed.withColumn("other", other).withColumn(
+        "part", F.least("chunk", "other") * F.col("chunks") + F.greatest("chunk", "other")).withColumn(
+        "cross", F.col("part") % (F.col("chunks") + 1) != 0).select(
+        "token", "part", "cross", "chunk", "n", "pos", "comp", "home", "odd")
+
+
 def _open_leader_pairs(entries: DataFrame) -> DataFrame:
     """Pairs of leaders (a < b) of which unconnected followers meet in a list within the bounds."""
     def scan(now: pa.Table) -> Iterator[pa.RecordBatch]:
-        token, n, pos, comp, home = (now.column(c).to_numpy() for c in ("token", "n", "pos", "comp", "home"))
+        token, part, chunk, n, pos, comp, home = (
+            now.column(c).to_numpy() for c in ("token", "part", "chunk", "n", "pos", "comp", "home"))
+        cross = now.column("cross").to_numpy(zero_copy_only=False)
+        odd = np.frombuffer(b"".join(now.column("odd").to_pylist()), _U).reshape(len(token), -1)
         n = n.astype(np.int64)
         left = n - pos
-        heads = group_starts(token)
+        heads = group_starts(token, part)
         ends = np.repeat(np.append(heads[1:], len(token)), np.diff(np.append(heads, len(token))))
         alive = np.arange(len(token))
         found: list[np.ndarray] = []
@@ -316,6 +349,11 @@ def _open_leader_pairs(entries: DataFrame) -> DataFrame:
             i, j = alive, alive + step
             # |common| >= 4/9 of both sizes; this list's shingle is the first common one.
             ok = (comp[i] != comp[j]) & (9 * np.minimum(left[i], left[j]) >= 4 * (n[i] + n[j]))
+            ok &= ~cross[i] | (chunk[i] != chunk[j])                  # others of one chunk meet in that chunk's own part
+            i, j = i[ok], j[ok]
+            # |different| <= 1/9 of both sizes, and at least as many as parities that differ.
+            differ = np.bitwise_count(odd[i] ^ odd[j]).sum(axis=1, dtype=np.int64)
+            ok = 9 * differ <= n[i] + n[j]
             i, j = i[ok], j[ok]
             if len(i):
                 found.append(np.unique(np.stack((np.minimum(home[i], home[j]), np.maximum(home[i], home[j])), 1), axis=0))
@@ -332,14 +370,15 @@ def _open_leader_pairs(entries: DataFrame) -> DataFrame:
                 continue
             now = pa.Table.from_batches([batch])
             now = now if held is None else pa.concat_tables([held, now])
-            last = int(group_starts(now.column("token").to_numpy())[-1])
+            last = int(group_starts(now.column("token").to_numpy(), now.column("part").to_numpy())[-1])
             if last:
                 yield from scan(now.slice(0, last))
             held = now.slice(last)
         if held is not None:
             yield from scan(held)
 
-    return entries.repartition("token").sortWithinPartitions("token", "n").mapInArrow(run, "a long, b long").distinct()
+    return entries.repartition("token", "part").sortWithinPartitions("token", "part", "n").mapInArrow(
+        run, "a long, b long").distinct()
 
 
 def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -376,7 +415,8 @@ def connected_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
         lists.select("key").distinct(), "key").select(F.col("key").alias("__key"), "one.th", "one.doc_id")
     match = (sets["key"] == examples["__key"]) & (sets["th"] == examples["th"]) & sets["doc_id"].eqNullSafe(examples["doc_id"])
     profiles = save(sets.join(examples, match, "left_semi").groupBy("key", "th", "doc_id").agg(
-        F.count("*").alias("m"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("counts").alias("counts")))
+        F.count("*").alias("m"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("counts").alias("counts"),
+        F.first("odd").alias("odd")))
     contents = _Contents(docs, profiles)
 
     def compare(pairs: DataFrame) -> DataFrame:
@@ -392,9 +432,10 @@ def connected_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
         F.when(alone, 0.0).otherwise(F.col("best.d")).alias("r")))
     labels = _relabel(homes.select("key", F.col("key").alias("comp")), near)
 
-    entries = lists.join(homes, "key").join(labels, "key")
-    mixed = entries.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    pairs = _open_leader_pairs(entries.join(mixed, "token", "left_semi").select("token", "n", "pos", "comp", "home"))
+    about = homes.select("key", "home").join(labels, "key").join(profiles.select("key", "odd"), "key")
+    mixed = lists.select("token", "key").join(labels, "key").groupBy("token").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo <> hi").select("token", "m")
+    pairs = _open_leader_pairs(_dealt(lists.join(about, "key"), mixed))
     reach = homes.groupBy("home").agg(F.max("r").alias("reach")).filter("reach > 0")
     pairs = save(pairs.join(reach.withColumnsRenamed({"home": "a", "reach": "reach_a"}), "a", "left").join(
         reach.withColumnsRenamed({"home": "b", "reach": "reach_b"}), "b", "left").na.fill(0.0, ["reach_a", "reach_b"]))
