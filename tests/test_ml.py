@@ -128,3 +128,15 @@ def test_models_learn_a_learnable_target(spark):
     assert m["RandomForest"]["r2"] > 0.95 and m["KNN"]["r2"] > 0.9
     assert m["LinearRegression"]["r2"] > 0.999          # the target is linear in hour and weekend
     assert res.best_r2 == max(r["r2"] for r in m.values())
+
+
+def test_pushes_at_once_get_versions_of_their_own(spark, workdir):
+    from concurrent.futures import ThreadPoolExecutor
+    root = os.path.join(workdir, "reg")
+    df = spark.createDataFrame([(float(x), 2.0 * x) for x in range(10)], "x double, y double")
+    model = linear_regression(["x"], "y").fit(df)
+    assert registry.push(spark, root, "m", model) == 1
+    with ThreadPoolExecutor(3) as pool:
+        versions = list(pool.map(lambda _: registry.push(spark, root, "m", model), range(3)))
+    assert sorted(versions) == [2, 3, 4] and registry.latest(spark, root, "m") == 4
+    assert all(registry.pull(spark, root, "m", v) is not None for v in versions)

@@ -96,3 +96,110 @@ def test_session_keeps_the_clusters_settings(spark):
         assert get_session().conf.get("spark.sql.shuffle.partitions") == "4000"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+ROWS_SCHEMA = "k string, d date, v int, ord long"
+
+
+def _rows(spark, keys, tag):
+    import datetime as dt
+    return spark.createDataFrame([(f"k{k:04d}", dt.date(2020, 1, 1) + dt.timedelta(days=k % 300), tag, k) for k in keys], ROWS_SCHEMA)
+
+
+def _insert(spark, path, batch, **kw):
+    return tables.insert_if_absent(spark, path, batch, ["k", "d"], ["ord"], return_inserted=False, **kw)
+
+
+def test_two_loads_at_once_leave_each_key_once(spark, workdir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from wattline.operators import commits
+    path = os.path.join(workdir, "t")
+    _insert(spark, path, _rows(spark, range(20), 0))
+    batches = [_rows(spark, range(10 * i, 10 * i + 80), i + 1) for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        counts = list(pool.map(lambda b: _insert(spark, path, b), batches))
+    stored = spark.read.parquet(path).collect()
+    assert len(stored) == len({r["k"] for r in stored}) == 110 and sum(counts) == 90
+    log = commits.Log(spark, path)
+    assert log.numbers() == list(range(1, 2 + sum(c > 0 for c in counts))) and log._listed(f"{path}/_staged") == []
+
+
+def test_a_lost_claim_looks_again(spark, workdir, monkeypatch):
+    """Between a load's anti join and its claim another load commits: only what is still absent goes in."""
+    from wattline.operators import commits
+    path = os.path.join(workdir, "t")
+    claim, between = commits.Log.claim, [True]
+
+    def late(self, *args):
+        if between:
+            between.clear()
+            assert _insert(spark, path, _rows(spark, range(50, 150), 2)) == 100
+        return claim(self, *args)
+
+    monkeypatch.setattr(commits.Log, "claim", late)
+    assert _insert(spark, path, _rows(spark, range(100), 1)) == 50
+    assert sorted((r["k"], r["v"]) for r in spark.read.parquet(path).collect()) == [
+        (f"k{k:04d}", 1 if k < 50 else 2) for k in range(150)]
+
+
+def test_a_load_that_dies_after_its_claim_is_finished_by_the_next(spark, workdir, monkeypatch):
+    from wattline.operators import commits
+    path = os.path.join(workdir, "t")
+    finish = commits.Log.finish
+    monkeypatch.setattr(commits.Log, "finish", lambda self, claim: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        _insert(spark, path, _rows(spark, range(30), 1))
+    assert spark.read.parquet(path).count() == 0
+    monkeypatch.setattr(commits.Log, "finish", finish)
+    assert _insert(spark, path, _rows(spark, range(20, 40), 2)) == 10
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1] * 30 + [2] * 10
+
+
+def test_files_that_cannot_hold_a_key_are_not_read(spark, workdir, monkeypatch):
+    path = os.path.join(workdir, "t")
+    for start in (0, 100, 200):
+        _insert(spark, path, _rows(spark, range(start, start + 60), start))
+    tables.append(_rows(spark, range(900, 905), 9).drop("ord"), path)           # no claim names these files
+    read = []
+    was = tables._stored_files
+
+    def seen(*args):
+        found = was(*args)
+        read.append({r["v"] for r in found.collect()})
+        return found
+
+    monkeypatch.setattr(tables, "_stored_files", seen)
+    assert _insert(spark, path, _rows(spark, range(110, 170), 7)) == 10
+    assert _insert(spark, path, _rows(spark, range(900, 907), 7)) == 2
+    assert read == [{100, 9}, {9}]
+    nulls = spark.createDataFrame([(None, None, 1, 1)], ROWS_SCHEMA)
+    assert [_insert(spark, path, nulls) for _ in range(2)] == [1, 0]
+    assert spark.read.parquet(path).count() == 198
+
+
+def test_partitioned_commits(spark, workdir):
+    path = os.path.join(workdir, "t")
+    batch = lambda keys, tag: _rows(spark, keys, tag).withColumn("year", F.year("d") + F.col("ord").cast("int") % 2)
+    for keys, want in ((range(40), 40), (range(20, 60), 20), (range(60), 0)):
+        assert _insert(spark, path, batch(keys, 1), partition_by=["year"]) == want
+    assert sorted(r["year"] for r in spark.read.parquet(path).groupBy("year").count().collect()) == [2020, 2021]
+
+
+def test_a_cell_that_does_not_cast_is_set_aside(spark, workdir):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.IntegerType())])
+    batch = spark.createDataFrame([("a", "1", 1), ("b", "x", 2), ("c", None, 3), ("a", "2", 4)], "k string, n string, ord long")
+    path, bad = os.path.join(workdir, "t"), os.path.join(workdir, "bad")
+    assert tables.insert_if_absent(spark, path, batch, ["k"], ["ord"], schema, return_inserted=False, rejected_path=bad) == 2
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("a", 1), ("c", None)]
+    assert [(r["k"], r["n"], list(r["reasons"])) for r in spark.read.parquet(bad).collect()] == [("b", "x", ["n:cast"])]
+
+
+def test_ranges():
+    from wattline.operators.commits import overlap
+    r = lambda lo, hi, nulls=False: {"k": [lo and ["str", lo], hi and ["str", hi], nulls]}
+    assert overlap(r("a", "f"), r("f", "z"), ["k"]) and not overlap(r("a", "f"), r("g", "z"), ["k"])
+    assert not overlap(r(None, None, True), r("a", "b"), ["k"]) and overlap(r("a", "b", True), r("c", "d", True), ["k"])
+    assert overlap(None, r("a", "b"), ["k"]) and overlap({"k": [["int", 1], ["int", 2], False]}, r("a", "b"), ["k"])
+    assert not overlap(r("a", "z"), r("é", "ü"), ["k"]) and overlap(r("a", "ÿ"), r("é", "ü"), ["k"])

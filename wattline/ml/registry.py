@@ -1,7 +1,8 @@
 """Versioned model registry on shared storage (ML-09, ML-10, ML-11).
 
 Models live at `<root>/<name>/v=<n>`; the registry is a Parquet table with
-one row per (name, version). A push appends version max + 1.
+one row per (name, version). A push claims the next version by an exclusive
+create before it writes, so pushes at once get versions of their own.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import types as T
 from wattline.contracts import REGISTRY_SCHEMA
 from wattline.ml.metrics import latest_version
 from wattline.ml.models import load_model, save_model
-from wattline.operators.tables import append, create_table_if_absent
+from wattline.operators.commits import Log
+from wattline.operators.tables import create_table_if_absent
 
 _SCHEMA_WITH_KIND = T.StructType(REGISTRY_SCHEMA.fields + [T.StructField("kind", T.StringType(), True)])
 
@@ -33,12 +35,17 @@ def latest(spark: SparkSession, root: str, name: str) -> int | None:
 
 def push(spark: SparkSession, root: str, name: str, model, run_id: str | None = None) -> int:
     """Save the model as a new version and record it; returns the version."""
-    version = (latest(spark, root, name) or 0) + 1
+    log = Log(spark, f"{root}/{name}")
+    version = max(latest(spark, root, name) or 0, log.last()) + 1
+    while not log.claim(version):
+        version += 1
     path = f"{root}/{name}/v={version}"
     kind = save_model(model, path)
     row = (name, str(version), path, run_id or uuid.uuid4().hex,
            datetime.now(timezone.utc).replace(tzinfo=None), kind)
-    append(spark.createDataFrame([row], _SCHEMA_WITH_KIND), f"{root}/_registry")
+    _registry(spark, root)
+    rows = Log(spark, f"{root}/_registry")
+    rows.add(spark.createDataFrame([row], _SCHEMA_WITH_KIND).coalesce(1))
     return version
 
 

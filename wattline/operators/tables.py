@@ -8,12 +8,14 @@ Parquet enforces neither keys nor NOT NULL, so both are checked here.
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from wattline.operators import commits
 from wattline.session import shared_root
 
 
@@ -145,10 +147,22 @@ def to_table_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[_c(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _cast_columns(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """The table's columns, null where a value cannot be cast."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return {f.name: _c(f.name) if kinds[f.name] == f.dataType else _c(f.name).try_cast(f.dataType) for f in schema.fields}
+
+
+def cast_violations(df: DataFrame, schema: T.StructType) -> Column:
+    """Reasons for values that the table's types cannot hold."""
+    checks = [F.when(_c(n).isNotNull() & c.isNull(), F.lit(f"{n}:cast")) for n, c in _cast_columns(df, schema).items()]
+    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+
+
 def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: list[str],
                      order_cols: list[str], schema: T.StructType | None = None,
                      partition_by: list[str] | None = None,
-                     return_inserted: bool = True) -> DataFrame | int:
+                     return_inserted: bool = True, rejected_path: str | None = None) -> DataFrame | int:
     """Insert the batch rows whose key the table lacks (SNK-01, SNK-02).
 
     Inside the batch the first row of each key (by `order_cols`) wins; keys
@@ -157,32 +171,63 @@ def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: list
     e.g. the year of the date) the table is partitioned and only the
     partitions present in the batch are read for the key check.
 
-    The new rows are checkpointed (to the shared `spark.checkpoint.dir`)
-    before the append: that fixes them once, so the returned frame does not
-    re-run the anti join against the grown table, and a lost executor during
-    the append recomputes from the checkpoint, not from the whole lineage.
-    With return_inserted=False the insert is one job (dedupe, anti join,
-    append) and the number of rows inserted, observed on the write, is returned; the stored files are listed when the
-    job is planned and each task's output is committed atomically, so a
-    retried task neither sees nor duplicates the rows being added.
+    The new rows are written beside the table and committed under the next
+    number of its log (`wattline.operators.commits`): two loads at once leave
+    each key once, a lost executor costs a task, and a load that dies leaves
+    the table as it was or its commit whole. Stored files whose key ranges the
+    batch does not touch are not read. With return_inserted=False the number
+    of inserted rows, observed on the write, is returned.
+
+    A value that the table's type cannot hold raises, as a cast does; with
+    `rejected_path` such rows are set aside there with their reasons, and the
+    rest goes in (SNK-06).
     """
     shared_root(spark)
     schema = schema or T.StructType([f for f in batch.schema.fields if f.name not in order_cols])
-    stored = create_table_if_absent(spark, path, schema, partition_by)
-    if partition_by:
-        # Partition columns are determined by the key, so only stored partitions
-        # that the batch touches can hold a match. The semi join lets dynamic
-        # partition pruning skip the other partitions at the scan.
-        # Null-safe: rows of an unknown year are looked up in the null partition.
-        touched = batch.select(*[_c(p) for p in partition_by]).distinct()
-        stored = stored.join(touched, key_match(stored, touched, partition_by), how="left_semi")
+    if rejected_path is not None:
+        batch, bad = split_valid(batch, cast_violations(batch, schema))
+        append(bad, rejected_path)
+        batch = batch.select(*[f.alias(n) for n, f in _cast_columns(batch, schema).items()],
+                             *[_c(o) for o in order_cols if o not in schema.names])
+    create_table_if_absent(spark, path, schema, partition_by)
     first = first_per_key(batch, key, order_cols)
-    new_rows = to_table_schema(not_existing(first, stored, key), schema)
+    ranges = commits.ranges_of(batch.agg(*commits.range_columns(key)).first(), key)
+    log = commits.Log(spark, path)
+
+    def rows(seen: DataFrame | None) -> DataFrame:
+        stored = _stored_files(spark, path, schema, log.untouched(ranges, key))
+        if partition_by:
+            # Partition columns are determined by the key, so only stored partitions
+            # that the batch touches can hold a match. The semi join lets dynamic
+            # partition pruning skip the other partitions at the scan.
+            # Null-safe: rows of an unknown year are looked up in the null partition.
+            touched = batch.select(*[_c(p) for p in partition_by]).distinct()
+            stored = stored.join(touched, key_match(stored, touched, partition_by), how="left_semi")
+        return to_table_schema(not_existing(first if seen is None else seen, stored, key), schema)
+
+    def write(frame: DataFrame, folder: str) -> tuple[int, dict]:
+        observed = Observation()
+        watched = frame.observe(observed, F.count(F.lit(1)).alias("rows"), *commits.range_columns(key))
+        append(watched, folder, partition_by)
+        found = observed.get
+        return found["rows"], commits.ranges_of(found, key)
+
+    count, added = commits.commit_rows(spark, path, key, rows, write)
     if not return_inserted:
-        return append_counted(new_rows, path, partition_by)
-    new_rows = new_rows.checkpoint(eager=True)
-    append(new_rows, path, partition_by)
-    return new_rows
+        return count
+    return added if added is not None else spark.createDataFrame([], schema)
+
+
+def _stored_files(spark: SparkSession, path: str, schema: T.StructType, skipped: set[str]) -> DataFrame:
+    """The table at `path` without the files in `skipped` (by their paths inside it)."""
+    whole = spark.read.schema(schema).parquet(path)
+    if not skipped:
+        return whole
+    root = path.rstrip("/") + "/"
+    files = [f for f in whole.inputFiles() if unquote(f).split(root.split(":", 1)[-1].lstrip("/"), 1)[-1] not in skipped]
+    if not files:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[unquote(f) for f in files])
 
 
 def split_valid(df: DataFrame, reasons: Column) -> tuple[DataFrame, DataFrame]:
