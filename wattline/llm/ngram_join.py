@@ -13,6 +13,8 @@ join leans on relations between sets, so that no group emits all its pairs:
   sets differ in at least as many shingles as these bits, so a pair that
   differs in too many is no link and is left before anything is emitted.
   Lists of more than LIST sets are cut in chunks; pairs of chunks go to tasks.
+  Before whole lists are looked at, some turns compare only neighbours among a
+  list's connected groups, which connects what links to most others.
 * Answer-level skipping: a set that resembles a leader (found by min-hash
   bands, verified exactly) takes over the leader's answers. Jaccard distance
   obeys the triangle inequality: with distances r(y) and r(z) to the leaders
@@ -51,6 +53,7 @@ BANDS, ROWS_PER_BAND = 4, 3
 BUCKETS = 256            # classes of shingles counted for each set
 PARITIES = 512           # classes of shingles of which only the parity is kept
 LIST = 1024              # sets of a list that a task holds twice
+TURNS, FEW = 6, 64       # turns of neighbours looked at before whole lists, ended early after few links
 CHUNK = 512              # sets compared with one copy of a leader
 FAR = 0.2                # largest distance of a link
 _SLACK = 1e-9            # keeps rounding from skipping a pair
@@ -312,6 +315,45 @@ def _leader_pairs(profiles: DataFrame) -> DataFrame:
     return bands.join(leaders, ["band", "value"]).filter("a <> key").select("a", F.col("key").alias("b")).distinct()
 
 
+def _neighbour_pairs(entries: DataFrame, turn: int) -> DataFrame:
+    """Pairs of sets (a < b) to look at before whole lists are: each list's connected groups stand in one order, large
+    ones first, else random, each shown by one of its sets; neighbours, and the largest group with every other, make a
+    pair if the bounds allow a link.
+
+    The order and the sets shown follow from the turn, not from the list, so lists with the same groups give the same
+    pairs: about as many as there are groups, where the whole list would give their square.
+    """
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None                  # of the list that a batch ends in: its largest group's set, and its last row
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = pa.Table.from_batches([batch])
+            now = now if held is None else pa.concat_tables([held, now])
+            token, comp, key, n, pos = (now.column(c).to_numpy() for c in ("token", "comp", "key", "n", "pos"))
+            shown = group_starts(token, comp)
+            odd = np.frombuffer(b"".join(now.column("odd").take(pa.array(shown)).to_pylist()), _U).reshape(len(shown), -1)
+            first, last = int(np.searchsorted(token, token[-1])), len(token) - 1
+            held = now.take(pa.array([first, last] if first < last else [first]))
+            token, key, n, pos = token[shown], key[shown], n[shown].astype(np.int64), pos[shown]
+            heads = group_starts(token)
+            largest = np.repeat(heads, np.diff(np.append(heads, len(token))))
+            j = np.flatnonzero(np.arange(len(token)) > largest)
+            i, j = np.concatenate((j - 1, largest[j])), np.concatenate((j, j))
+            both = n[i] + n[j]
+            ok = (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j])) & (
+                9 * np.minimum(n[i] - pos[i], n[j] - pos[j]) >= 4 * both)
+            ok &= 9 * np.bitwise_count(odd[i] ^ odd[j]).sum(axis=1, dtype=np.int64) <= both
+            i, j = i[ok], j[ok]
+            if len(i):
+                yield pa.record_batch([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], names=["a", "b"])
+
+    sizes = entries.select("key", "comp").distinct().groupBy("comp").agg((-F.count("*")).alias("few"))
+    drawn = entries.join(sizes, "comp").withColumn("at", F.xxhash64("comp", F.lit(turn))).withColumn("of", F.xxhash64("key", F.lit(turn)))
+    return drawn.repartition("token").sortWithinPartitions("token", "few", "at", "comp", "of").select(
+        "token", "comp", "key", "n", "pos", "odd").mapInArrow(scan, "a long, b long").distinct()
+
+
 def _dealt(entries: DataFrame, lists: DataFrame) -> DataFrame:
     """Entries of the lists (token, m: its sets) with the part of the list they are compared in, and their chunk.
 
@@ -432,10 +474,20 @@ def connected_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
         F.when(alone, 0.0).otherwise(F.col("best.d")).alias("r")))
     labels = _relabel(homes.select("key", F.col("key").alias("comp")), near)
 
-    about = homes.select("key", "home").join(labels, "key").join(profiles.select("key", "odd"), "key")
-    mixed = lists.select("token", "key").join(labels, "key").groupBy("token").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo <> hi").select("token", "m")
-    pairs = _open_leader_pairs(_dealt(lists.join(about, "key"), mixed))
+    def mixed(entries: DataFrame) -> DataFrame:
+        """Lists that hold sets not yet connected, with their numbers of sets."""
+        return entries.select("token", "key").join(labels, "key").groupBy("token").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo <> hi").select("token", "m")
+
+    entries = save(lists.join(mixed(lists).select("token"), "token", "left_semi").join(profiles.select("key", "odd"), "key"))
+    for turn in range(TURNS):
+        met = compare(_neighbour_pairs(entries.join(labels, "key"), turn).withColumn("reach", F.lit(0.0))).filter(_LINK)
+        if met.limit(FEW).count() < FEW:
+            labels = _relabel(labels, met)
+            break
+        labels = _relabel(labels, met)
+    about = homes.select("key", "home").join(labels, "key")
+    pairs = _open_leader_pairs(_dealt(entries.join(about, "key"), mixed(entries)))
     reach = homes.groupBy("home").agg(F.max("r").alias("reach")).filter("reach > 0")
     pairs = save(pairs.join(reach.withColumnsRenamed({"home": "a", "reach": "reach_a"}), "a", "left").join(
         reach.withColumnsRenamed({"home": "b", "reach": "reach_b"}), "b", "left").na.fill(0.0, ["reach_a", "reach_b"]))
