@@ -588,6 +588,19 @@ def snk_01(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register("snk_01_two_writers", f"""
+SELECT {_TABLE_COLS} FROM ({S.first_per_key_sql(S.CONSUMPTION_SQL, _KEYED, 'event_id')}) s
+""")
+def snk_01_two_writers(spark, sf_dir):
+    """Two loads of the same rows at once: every key goes in once, by either of them."""
+    from concurrent.futures import ThreadPoolExecutor
+    rows = S.consumption_rows(S.table(spark, sf_dir, "events"))
+    path = fresh_location(spark, "consumption")
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda _: tables.insert_if_absent(spark, path, rows, _KEYED, ["event_id"], return_inserted=False), range(2)))
+    return spark.read.parquet(path)
+
+
 _DAILY_SQL = f"""
   SELECT "périmètre" || '_' || date AS db_id, "périmètre" AS city, date,
          CAST(consommation AS DOUBLE) AS reading, event_id, nature FROM ({S.CONSUMPTION_SQL}) c"""
@@ -731,6 +744,34 @@ def snk_09_weather(spark, sf_dir):
 # for the rest, into one directory, then loaded back by separator sniffing.
 # ---------------------------------------------------------------------------
 
+@register("src_06", """
+SELECT CASE WHEN nature IN ('view', 'click') THEN 'semi.csv' WHEN nature = 'error' THEN 'comma.CSV' ELSE 'tab.xls' END AS source_file,
+       nature, CASE WHEN nature = 'error' THEN 'zone "' || perimetre || '"' || chr(10) || 'line; two' ELSE perimetre END AS place,
+       count(*) AS n, CAST(sum(_row_order) AS BIGINT) AS ids
+FROM (""" + S.READINGS_SQL + """) r GROUP BY ALL
+""")
+def src_06(spark, sf_dir):
+    """Three files of different separators, one with quotes and line breaks in its cells, beside others the loader must
+    leave alone (another extension, a folder): every row with the file it came from (SRC-01 to 06)."""
+    from wattline.sources.delimited import load_all_data
+    r = _readings(spark, sf_dir).select("perimetre", "nature", F.col("_row_order").alias("id"))
+    path = fresh_location(spark, "landing")
+    place = F.when(F.col("nature") == "error", F.concat(F.lit('zone "'), "perimetre", F.lit('"\nline; two'))).otherwise(
+        F.col("perimetre")).alias("place")
+    kinds = {"semi.csv": (";", F.col("nature").isin("view", "click")), "comma.CSV": (",", F.col("nature") == "error"),
+             "tab.xls": ("\t", ~F.col("nature").isin("view", "click", "error")), "notes.txt": (";", F.lit(True))}
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for name, (sep, chosen) in kinds.items():
+        (r.where(chosen).select("nature", place, "id").coalesce(1).write.option("header", "true").option("sep", sep)
+         .option("escape", '"').option("encoding", "ISO-8859-1").csv(f"{path}/_{name}"))
+        folder = fs.Path(f"{path}/_{name}")
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        part = next(s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("part-"))
+        files.rename(part, fs.Path(f"{path}/{name}"))
+    return load_all_data(spark, path).groupBy("source_file", "nature", "place").agg(
+        F.count("*").alias("n"), F.sum(F.col("id").cast("long")).alias("ids"))
+
+
 @register("src_01", """
 SELECT perimetre, nature, date, heures,
        CASE WHEN consommation IN ('NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null') THEN NULL
