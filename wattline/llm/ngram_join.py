@@ -9,7 +9,7 @@ join leans on relations between sets, so that no group emits all its pairs:
   sets that are not yet known to be connected; inside a list sets stand by
   size, so the partners of a set are one block, left as soon as the size
   bound fails, and entries whose positions leave too few shingles are skipped.
-  Every entry carries the parity of its set's shingles in 512 classes: two
+  Every entry carries the parity of its set's shingles in 256 classes: two
   sets differ in at least as many shingles as these bits, so a pair that
   differs in too many is no link and is left before anything is emitted.
   Lists of more than LIST sets are cut in chunks; pairs of chunks go to tasks.
@@ -51,9 +51,9 @@ FREQUENT = 262_144       # shingles whose order follows their frequency; the oth
 WINDOW_BYTES = 16 << 20  # text over which a task counts before it reports what it saw three times or more
 BANDS, ROWS_PER_BAND = 4, 3
 BUCKETS = 256            # classes of shingles counted for each set
-PARITIES = 512           # classes of shingles of which only the parity is kept
+PARITIES = 256           # classes of shingles of which only the parity is kept
 LIST = 1024              # sets of a list that a task holds twice
-TURNS, FEW = 6, 64       # turns of neighbours looked at before whole lists, ended early after few links
+TURNS, FEW = 3, 64       # turns of neighbours looked at before whole lists, ended early after few links
 CHUNK = 512              # sets compared with one copy of a leader
 FAR = 0.2                # largest distance of a link
 _SLACK = 1e-9            # keeps rounding from skipping a pair
@@ -92,8 +92,9 @@ def _set_keys(doc: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray,
 def parities(doc: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     """PARITIES bits of each document's set: whether an odd number of its shingles is in a class (rows of words)."""
     bit = (mix(hashes ^ _U(0x2127599BF4325C37)) >> _U(20)).astype(np.int64) % PARITIES
-    odd = np.bincount(doc * PARITIES + bit, minlength=n * PARITIES).reshape(n, PARITIES) & 1
-    return np.packbits(odd.astype(np.uint8), axis=1).view(_U)
+    out = np.zeros(n * (PARITIES // 64), _U)
+    np.bitwise_xor.at(out, doc * (PARITIES // 64) + bit // 64, _U(1) << (bit % 64).astype(_U))
+    return out.reshape(n, -1)
 
 
 def _profiles(texts: Texts) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[bytes], np.ndarray]:
