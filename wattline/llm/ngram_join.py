@@ -43,7 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wattline.llm.common import components, map_slices, save
+from wattline.llm.common import components, map_slices, save, save_bucketed
 from wattline.llm.textbytes import Texts, group_starts, mix, signed, slices, windows
 
 WIDTH = 5
@@ -316,13 +316,14 @@ def _leader_pairs(profiles: DataFrame) -> DataFrame:
     return bands.join(leaders, ["band", "value"]).filter("a <> key").select("a", F.col("key").alias("b")).distinct()
 
 
-def _neighbour_pairs(entries: DataFrame, turn: int) -> DataFrame:
+def _neighbour_pairs(entries: DataFrame, about: DataFrame, turn: int) -> DataFrame:
     """Pairs of sets (a < b) to look at before whole lists are: each list's connected groups stand in one order, large
     ones first, else random, each shown by one of its sets; neighbours, and the largest group with every other, make a
     pair if the bounds allow a link.
 
     The order and the sets shown follow from the turn, not from the list, so lists with the same groups give the same
-    pairs: about as many as there are groups, where the whole list would give their square.
+    pairs: about as many as there are groups, where the whole list would give their square. `about` (key, comp, odd) has
+    one row a set; entries bucketed by set meet it where they lie and travel once, to their list.
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None                  # of the list that a batch ends in: its largest group's set, and its last row
@@ -349,20 +350,22 @@ def _neighbour_pairs(entries: DataFrame, turn: int) -> DataFrame:
             if len(i):
                 yield pa.record_batch([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], names=["a", "b"])
 
-    sizes = entries.select("key", "comp").distinct().groupBy("comp").agg((-F.count("*")).alias("few"))
-    drawn = entries.join(sizes, "comp").withColumn("at", F.xxhash64("comp", F.lit(turn))).withColumn("of", F.xxhash64("key", F.lit(turn)))
-    return drawn.repartition("token").sortWithinPartitions("token", "few", "at", "comp", "of").select(
+    sizes = about.groupBy("comp").agg((-F.count("*")).alias("few"))
+    dealt = entries.join(about.join(sizes, "comp"), "key").repartition("token")
+    drawn = dealt.withColumn("at", F.xxhash64("comp", F.lit(turn))).withColumn("of", F.xxhash64("key", F.lit(turn)))
+    return drawn.sortWithinPartitions("token", "few", "at", "comp", "of").select(
         "token", "comp", "key", "n", "pos", "odd").mapInArrow(scan, "a long, b long").distinct()
 
 
-def _dealt(entries: DataFrame, lists: DataFrame) -> DataFrame:
-    """Entries of the lists (token, m: its sets) with the part of the list they are compared in, and their chunk.
+def _dealt(entries: DataFrame, lists: DataFrame, about: DataFrame) -> DataFrame:
+    """Entries of the lists (token, m: its sets) with the part of the list they are compared in, their chunk, and what
+    `about` (key, comp, home, odd) tells of their set, which joins only entries of these lists.
 
     A list of up to LIST sets is one part. A longer one is cut in chunks of about that many sets, and every pair of
     chunks (also a chunk with itself) is a part of its own, so that no task holds more than two chunks.
     """
     chunks = F.ceil(F.col("m") / LIST)
-    placed = entries.join(lists, "token").withColumn("chunks", chunks).withColumn(
+    placed = entries.join(lists, "token").join(about, "key").withColumn("chunks", chunks).withColumn(
         "chunk", F.pmod(F.xxhash64("key"), F.col("chunks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
     return placed.withColumn("other", other).withColumn(
@@ -480,15 +483,19 @@ def connected_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
         return entries.select("token", "key").join(labels, "key").groupBy("token").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo <> hi").select("token", "m")
 
-    entries = save(lists.join(mixed(lists).select("token"), "token", "left_semi").join(profiles.select("key", "odd"), "key"))
+    # Bucketed by set: what is known of a set joins its entries without another shuffle of them.
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = save_bucketed(lists.join(mixed(lists).select("token"), "token", "left_semi").repartition(buckets, "key"),
+                            "key", buckets)
+    odd = save(profiles.select("key", "odd").join(entries.select("key").distinct(), "key"))
     for turn in range(TURNS):
-        met = compare(_neighbour_pairs(entries.join(labels, "key"), turn).withColumn("reach", F.lit(0.0))).filter(_LINK)
+        met = compare(_neighbour_pairs(entries, labels.join(odd, "key"), turn).withColumn("reach", F.lit(0.0))).filter(_LINK)
         if met.limit(FEW).count() < FEW:
             labels = _relabel(labels, met)
             break
         labels = _relabel(labels, met)
-    about = homes.select("key", "home").join(labels, "key")
-    pairs = _open_leader_pairs(_dealt(entries.join(about, "key"), mixed(entries)))
+    about = homes.select("key", "home").join(labels, "key").join(odd, "key")
+    pairs = _open_leader_pairs(_dealt(entries, mixed(entries), about))
     reach = homes.groupBy("home").agg(F.max("r").alias("reach")).filter("reach > 0")
     pairs = save(pairs.join(reach.withColumnsRenamed({"home": "a", "reach": "reach_a"}), "a", "left").join(
         reach.withColumnsRenamed({"home": "b", "reach": "reach_b"}), "b", "left").na.fill(0.0, ["reach_a", "reach_b"]))
