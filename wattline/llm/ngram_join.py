@@ -74,7 +74,10 @@ def shingle_sets(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         found.append(mix(whole[only] + _U(few)))
         docs.append(doc[at[only]])
     hashes, docs = np.concatenate(found), np.concatenate(docs)
-    order = np.lexsort((hashes, docs))
+    order = np.argsort(hashes)
+    # Numbers of 16 bits are sorted by counting.
+    by_doc = docs[order].astype(np.uint16) if len(texts) <= 1 << 16 else docs[order]
+    order = order[np.argsort(by_doc, kind="stable")]
     hashes, docs = hashes[order], docs[order]
     heads = group_starts(docs, hashes)
     return docs[heads], hashes[heads]
