@@ -69,3 +69,24 @@ def test_hostile_conversation_and_empty(spark):
     only = chat.digests(chat.conversations(chat.with_hostile(spark, empty))).collect()
     assert [tuple(r)[:5] for r in only] == [
         (-7, 2, sha(f"user\n{chat.HOSTILE}\nassistant\n{chat.HOSTILE}\n"), len(chat.HOSTILE), sha(chat.HOSTILE))]
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 7])
+def test_blocks_do_not_cut_escapes(monkeypatch, block):
+    monkeypatch.setattr(chat, "BLOCK", block)
+    texts = ["\\" * 9 + "###", "a\\\\</turn>\\", "", "### x: </turn>\n", "é" * 5 + "\\", "<</turn>>"]
+    out, bounds, a, b = chat.assemble(Texts(pa.array(["user"] * len(texts))), Texts(pa.array(texts)))
+    raw = out.tobytes()
+    assert list(chat.read_back(raw.decode())) == [("user", t) for t in texts]
+    assert [chat.unescape(raw[x:y].decode()) for x, y in zip(a, b)] == texts
+
+
+def test_reading_a_very_long_turn_takes_little_more_than_its_text():
+    import tracemalloc
+    text = "one < two \\ ### three </turn> " * 600_000
+    out = chat.assemble(Texts(pa.array(["assistant"])), Texts(pa.array([text])))[0].tobytes().decode()
+    tracemalloc.start()
+    (turn,) = chat.read_back(out)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert turn == ("assistant", text) and peak < 8 * len(text)

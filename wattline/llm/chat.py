@@ -38,6 +38,7 @@ from wattline.llm.textbytes import Texts
 HEADER, COLON, ENDING = b"### ", b": ", b"</turn>\n"
 ASSISTANT = "assistant"
 PART_BYTES = 8 << 20
+BLOCK = 1 << 20          # bytes or characters of a turn that are escaped or read back at a time
 
 
 def _starts_of(data: np.ndarray, word: bytes) -> np.ndarray:
@@ -74,12 +75,17 @@ def assemble(roles: Texts, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.nda
         for j, byte in enumerate(constant):
             out[begins[:, k] + j] = byte
     for (part, marks), k in zip(contents, (1, 3)):
-        shift = np.cumsum(marks, dtype=np.int64)           # escapes up to and with each byte
-        before = np.concatenate(([0], shift))[part.starts]
-        count = part.ends - part.starts
-        target = np.arange(len(part.data)) + shift + np.repeat(begins[:, k] - part.starts - before, count)
-        out[target] = part.data
-        out[target[marks] - 1] = ord("\\")
+        before = np.cumsum(part.counts(marks)) - part.counts(marks)     # escapes in front of each text
+        moved = begins[:, k] - part.starts - before
+        total = 0
+        for a in range(0, len(part.data), BLOCK):
+            data, escaped = part.data[a:a + BLOCK], marks[a:a + BLOCK]
+            at = np.arange(a, a + len(data))
+            shift = total + np.cumsum(escaped, dtype=np.int64)          # escapes up to and with each byte
+            total = int(shift[-1])
+            target = at + shift + moved[np.searchsorted(part.ends, at, side="right")]
+            out[target] = data
+            out[target[escaped] - 1] = ord("\\")
     bounds = np.append(begins[:, 0], len(out)) if n else np.zeros(1, np.int64)
     return out, bounds, begins[:, 3], begins[:, 4]
 
@@ -137,25 +143,44 @@ def conversations(turns: DataFrame) -> DataFrame:
         run, _FORMATTED.format(kind=kind))
 
 
-_TURN = re.compile(r"### ((?:[^\\:]|\\.)*): ((?:[^\\<]|\\.|<(?!/turn>))*)</turn>\n", re.DOTALL)
+# Possessive repeats keep nothing to go back to, so a turn of any length needs no more memory than a short one.
+_TURN = re.compile(r"### ((?:[^\\:]++|\\.)*+): ((?:[^\\<]++|\\.|<(?!/turn>))*+)</turn>\n", re.DOTALL)
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 
+def _unescaped(text: str, at: int, end: int) -> Iterator[str]:
+    """A range of a text without its escapes, block by block."""
+    while at < end:
+        to = min(at + BLOCK, end)
+        run = 0
+        while to - run > at and text[to - run - 1] == "\\":
+            run += 1
+        if run % 2 and to < end:         # the last backslash belongs to the next character
+            to += 1
+        yield _ESCAPED.sub(r"\1", text[at:to])
+        at = to
+
+
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1", text) if "\\" in text else text
+    return "".join(_unescaped(text, 0, len(text)))
 
 
-def read_back(formatted: str) -> Iterator[tuple[str, str]]:
-    """Role and text of every turn of a formatted text."""
+def _turns(formatted: str) -> Iterator[re.Match]:
     at = 0
     while at < len(formatted):
         turn = _TURN.match(formatted, at)
         if turn is None:
             raise ValueError(f"no turn at {at}")
-        yield unescape(turn[1]), unescape(turn[2])
+        yield turn
         at = turn.end()
 
 
+def read_back(formatted: str) -> Iterator[tuple[str, str]]:
+    """Role and text of every turn of a formatted text."""
+    for turn in _turns(formatted):
+        yield unescape(turn[1]), unescape(turn[2])
+
+
 def digests(parts: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, read from formatted conversations."""
     kind = parts.schema["conv_id"].dataType.simpleString()
@@ -178,14 +203,18 @@ def digests(parts: DataFrame) -> DataFrame:
                         done.append(closed(open_))
                     open_ = [row["conv_id"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 open_[5] += len(row["formatted"])
-                for role, text in read_back(row["formatted"]):
+                for turn in _turns(row["formatted"]):
                     open_[1] += 1
-                    open_[2].update(f"{role}\n{text}\n".encode())
+                    for group in (1, 2):
+                        for text in _unescaped(row["formatted"], *turn.span(group)):
+                            open_[2].update(text.encode())
+                        open_[2].update(b"\n")
                 raw = row["formatted"].encode()
                 for mask in row["loss"]:
-                    spoken = unescape(raw[mask["a"]:mask["b"]].decode())
-                    open_[3] += len(spoken)
-                    open_[4].update(spoken.encode())
+                    spoken = raw[mask["a"]:mask["b"]].decode()
+                    for text in _unescaped(spoken, 0, len(spoken)):
+                        open_[3] += len(text)
+                        open_[4].update(text.encode())
             if done:
                 yield from pa.Table.from_batches(done).combine_chunks().to_batches()
         if open_:
