@@ -83,3 +83,22 @@ def test_one_kind_of_label_or_none(spark, toxic, score):
     labels = spark.createDataFrame([(i, 1, toxic) for i in range(20)], LABELS)
     assert {round(r.score, 6) for r in toxicity.report(docs, labels).collect()} == {score}
     assert toxicity.report(spark.createDataFrame([], DOCS), labels).count() == 0
+
+
+def test_the_sample_bounds_texts_not_only_labels(spark):
+    trained = [i for i in range(100) if not held_out(i)][:3]
+    docs = spark.createDataFrame([(i, f"text {k // 2} of {i}") for i in trained for k in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(trained)] * 2, "doc_id long, toxic int")
+    assert toxicity.examples(docs, labels, rows=1).count() == 1
+    assert toxicity.examples(docs, labels, rows=3).count() == 3
+    assert toxicity.examples(docs, labels, rows=1000).count() == 150     # each text stands twice
+    got = [sorted(map(tuple, toxicity.examples(d, labels, rows=3).collect())) for d in (docs, docs.repartition(7))]
+    assert got[0] == got[1]
+
+
+def test_a_column_named_like_the_score(spark):
+    docs_ = spark.createDataFrame([(1, "a good day", 7.0), (2, None, None)], "doc_id long, text string, __Score double")
+    labels_ = spark.createDataFrame([], "doc_id long, toxic int")
+    kept = toxicity.without_toxic(docs_, labels_)
+    assert kept.columns == docs_.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, "a good day", 7.0), (2, None, None)]

@@ -8,8 +8,9 @@ carry weight that their swap would not carry: neutral mentions of a group
 stop looking toxic. Weights are fitted by proximal gradient steps (an l1
 penalty keeps words without evidence at zero).
 
-The fit takes at most `rows` labelled texts (those with the smallest hash of
-doc_id, so the same at every partitioning) and the `vocabulary` words with the
+The fit takes at most `rows` labelled texts (those with the smallest hashes of
+doc_id and text, so the same at every partitioning; rows alike in doc_id, text
+and label are one example) and the `vocabulary` words with the
 largest chi-square against the label in them; scoring runs over every text.
 
 Words are runs of letters (anything but ASCII punctuation and white space),
@@ -97,21 +98,27 @@ def remainder(doc_id: Column) -> Column:
 def examples(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataFrame:
     """label, words and words after the swap of a bounded sample of labelled texts."""
     chosen = labels.filter((remainder(F.col("doc_id")) != 0) & F.col("toxic").isin(0, 1)).select(
-        "doc_id", F.col("toxic").cast("int").alias("__toxic")).orderBy(
+        "doc_id", F.col("toxic").cast("int").alias("__toxic")).distinct().orderBy(
         F.xxhash64("doc_id"), "doc_id", "__toxic").limit(rows)
+    name = ["id_hash", "text_hash", "__toxic"]
 
     def words(part: pa.RecordBatch) -> pa.RecordBatch:
         text = part.column("text")
         other = [swapped(t) if t else None for t in text.to_pylist()]
         changed = iter(_packed(Texts(pa.array([t for t in other if t is not None], pa.string()))))
         return pa.record_batch([
-            part.column("__toxic"), pa.array(_packed(Texts(text)), pa.binary()),
+            *(part.column(c) for c in name), pa.array(_packed(Texts(text)), pa.binary()),
             pa.array([None if t is None else next(changed) for t in other], pa.binary())],
-            names=["label", "words", "swapped"])
+            names=[*name, "words", "swapped"])
 
-    # At most `rows` pairs of numbers are broadcast.
-    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "__toxic")
-    return map_slices(joined, words, "label int, words binary, swapped binary")
+    # At most `rows` pairs, then triples, of numbers are broadcast. A doc_id may stand with many texts, so what the
+    # labels let through is bounded once more; of rows alike one is kept, before the shuffle and after it.
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        F.xxhash64("doc_id").alias("id_hash"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "__toxic", "text")
+    bounded = joined.select(*name).distinct().orderBy(*name).limit(rows)
+    found = map_slices(joined.join(F.broadcast(bounded), name), words,
+                       "id_hash long, text_hash long, __toxic int, words binary, swapped binary")
+    return found.dropDuplicates(name).select(F.col("__toxic").alias("label"), "words", "swapped")
 
 
 def _counts(found: DataFrame) -> DataFrame:
@@ -224,13 +231,13 @@ def logits(model: Model, texts: Texts) -> np.ndarray:
     return out
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with one more column `__score` (0 to 1)."""
+def score(docs: DataFrame, model: Model, name: str = "__score") -> DataFrame:
+    """The documents with one more column (0 to 1)."""
     def rows(part: pa.RecordBatch) -> pa.RecordBatch:
         z = np.clip(logits(model, Texts(part.column("text"))), -500, 500)
-        return pa.record_batch([*part.columns, pa.array(1 / (1 + np.exp(-z)))], names=[*part.schema.names, "__score"])
+        return pa.record_batch([*part.columns, pa.array(1 / (1 + np.exp(-z)))], names=[*part.schema.names, name])
 
-    return map_slices(docs, rows, StructType([*docs.schema.fields, StructField("__score", DoubleType())]))
+    return map_slices(docs, rows, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -242,4 +249,7 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents scored below 0.5, all columns as they were."""
-    return score(docs, train(docs, labels)).filter("__score < 0.5").select(*docs.columns)
+    name = "__score"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    return score(docs, train(docs, labels), name).filter(F.col(name) < 0.5).select(*docs.columns)
