@@ -10,10 +10,12 @@ The upper levels of a kd-tree over the projected vectors are fitted on a
 bounded sample; its leaves are cells, and every vector is filed under its
 cell (in chunks, so that a cell of any size is shared by tasks). A query
 first searches the cell it falls into; its k-th distance there bounds which
-other cells can still matter. Inside a chunk a smaller kd-tree yields leaves
-by increasing projected distance; their vectors are verified with the true
-distance until the next leaf is farther than the k-th best distance times
-sqrt(q): the stopping test.
+other cells can still matter. Inside a chunk a smaller kd-tree opens leaves by
+increasing projected distance, and the vectors of open leaves are verified in
+the order of their own projected distance (a few at a time), as long as no
+closed leaf is nearer. The search stops when the next vector's projected
+distance exceeds the k-th best distance times sqrt(q): the stopping test.
+`verified` counts the vectors whose true distance a query computed.
 
 Defined cases: vectors that are null, zero, of another length than most, or
 hold null or non-finite components take no part; so do rows without vec_id.
@@ -34,12 +36,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from wattline.llm.common import save
 
 K, EVERY = 10, 100
-DIMS = 12
-CHI_SQUARE = 26.22       # the 0.99 quantile of chi-square with DIMS degrees of freedom
+DIMS = 48
+CHI_SQUARE = 63.16       # the 0.93 quantile of chi-square with DIMS degrees of freedom
 SAMPLE = 20_000          # vectors that the upper levels of the tree are fitted on
 CELL_ROWS = 4096
 LEAF_ROWS = 64
-_QUERIES = 512           # queries sent along with one copy of a chunk's vectors
+STEP = 16                # vectors verified between two stopping tests
+_QUERIES = 4096          # queries sent along with one copy of a chunk's vectors
 
 
 def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,31 +105,46 @@ class Chunk:
     """Vectors of one task with a small kd-tree over their projections, tight boxes for the search."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray, projected: np.ndarray):
-        self.ids, self.rows, self.vectors = ids, rows, vectors
+        self.ids, self.rows, self.vectors, self.projected = ids, rows, vectors, projected
         leaves = split_boxes(projected, LEAF_ROWS)[2]
         self.leaves = leaves
         self.low = np.array([projected[r].min(axis=0) for r in leaves])
         self.high = np.array([projected[r].max(axis=0) for r in leaves])
 
     def search(self, row: int, vector: np.ndarray, point: np.ndarray, bound: float, k: int, quantile: float):
-        """The k nearest found as (distance, id) by the stopping test; `bound`: a distance that k others are known to keep."""
+        """The k nearest found as (distance, id) by the stopping test, and how many vectors were verified.
+
+        `bound`: a distance that k others are known to keep.
+        """
         away = _box_distances(point, self.low, self.high)
         order = np.argsort(away, kind="stable")
         best_d, best_id = np.zeros(0), np.zeros(0, np.int64)
-        limit = bound
-        step, at = 2, 0
-        while at < len(order) and away[order[at]] <= quantile * limit * limit * (1 + 1e-12):
-            take = np.concatenate([self.leaves[x] for x in order[at:at + step]])
-            at, step = at + step, step * 2
-            take = take[self.rows[take] != row]
-            gap = self.vectors[take] - vector
-            distance = np.sqrt((gap * gap).sum(axis=1))
-            best_d, best_id = np.concatenate((best_d, distance)), np.concatenate((best_id, self.ids[take]))
-            first = np.lexsort((best_id, best_d))[:k]
-            best_d, best_id = best_d[first], best_id[first]
-            if len(best_d) == k:
-                limit = min(bound, best_d[-1])
-        return best_d, best_id
+        near, gaps = np.zeros(0, np.int64), np.zeros(0)     # not yet verified, of open leaves, by projected distance
+        limit, opened, step, verified = bound, 0, 2, 0
+        while True:
+            reach = quantile * limit * limit * (1 + 1e-12)
+            closed = away[order[opened]] if opened < len(order) else np.inf
+            ready = min(STEP, int(np.searchsorted(gaps, min(closed, reach), side="right")))
+            if ready:
+                take, near, gaps = near[:ready], near[ready:], gaps[ready:]
+                gap = self.vectors[take] - vector
+                best_d = np.concatenate((best_d, np.sqrt((gap * gap).sum(axis=1))))
+                best_id = np.concatenate((best_id, self.ids[take]))
+                first = np.lexsort((best_id, best_d))[:k]
+                best_d, best_id = best_d[first], best_id[first]
+                verified += ready
+                if len(best_d) == k:
+                    limit = min(bound, best_d[-1])
+            elif opened == len(order) or closed > reach:
+                return best_d, best_id, verified
+            else:
+                more = np.concatenate([self.leaves[x] for x in order[opened:opened + step]])
+                opened, step = min(opened + step, len(order)), step * 2
+                more = more[self.rows[more] != row]
+                gap = self.projected[more] - point
+                near, gaps = np.concatenate((near, more)), np.concatenate((gaps, (gap * gap).sum(axis=1)))
+                by = np.argsort(gaps, kind="stable")
+                near, gaps = near[by], gaps[by]
 
 
 # --- the join ---------------------------------------------------------------------
@@ -161,7 +179,8 @@ def _projected(vectors: DataFrame, width: int, dims: int) -> DataFrame:
 
 
 def _searched(chunks: DataFrame, visits: DataFrame, k: int, quantile: float) -> DataFrame:
-    """query row, query id, neighbour and distance of the k nearest found in every visited chunk."""
+    """query row, query id, neighbour and distance of the k nearest found in every visited chunk, and with the first of
+    them how many vectors of the chunk were verified (a chunk without a verified vector gives no row)."""
     dealt = visits.withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts"))).drop("parts")
     copies = visits.select("cell", "parts").distinct().select("cell", F.explode(F.sequence(
         F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
@@ -191,23 +210,33 @@ def _searched(chunks: DataFrame, visits: DataFrame, k: int, quantile: float) ->
                 bounds = here.column("bound").to_numpy(zero_copy_only=False)
                 found = [chunk.search(rows[q], vectors[q], points[q], np.inf if np.isnan(bounds[q]) else bounds[q], k, quantile)
                          for q in range(len(rows))]
-                n = [len(d) for d, _ in found]
+                n = [len(d) for d, _, _ in found]
                 if sum(n):
-                    yield pa.record_batch([np.repeat(rows, n), np.repeat(ids, n), np.concatenate([i for _, i in found]),
-                                           np.concatenate([d for d, _ in found])], names=["row", "query_id", "vec_id", "score"])
+                    verified = np.zeros(sum(n), np.int64)
+                    some = np.flatnonzero(n)
+                    verified[(np.cumsum(n) - n)[some]] = np.array([v for _, _, v in found])[some]
+                    yield pa.record_batch([
+                        np.repeat(rows, n), np.repeat(ids, n), np.concatenate([i for _, i, _ in found]),
+                        np.concatenate([d for d, _, _ in found]), verified],
+                        names=["row", "query_id", "vec_id", "score", "verified"])
 
     return base.unionByName(queries).repartition("cell", "chunk", "part").sortWithinPartitions(
-        "cell", "chunk", "part", "is_query").mapInArrow(run, "row long, query_id long, vec_id long, score double")
+        "cell", "chunk", "part", "is_query").mapInArrow(run, "row long, query_id long, vec_id long, score double, verified long")
 
 
 def _nearest(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("row").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    """The k nearest of every query; `verified`, summed over what was found, stands with the first of them."""
+    whole = Window.partitionBy("row")
+    rank = F.row_number().over(whole.orderBy("score", "vec_id"))
+    return found.select("row", "query_id", "vec_id", "score", rank.alias("rank"), F.sum("verified").over(whole).alias("all")).filter(
+        F.col("rank") <= k).select("row", "query_id", "vec_id", "score", "rank", F.when(F.col("rank") == 1, F.col("all")).otherwise(
+            0).alias("verified"))
 
 
 def nearest_neighbours(vectors: DataFrame, k: int = K, every: int = EVERY, dims: int = DIMS,
                        quantile: float = CHI_SQUARE, sample: int = SAMPLE, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """query_id, rank, vec_id, score of the rows whose vec_id is divisible by `every`, searched among all rows."""
+    """query_id, rank, vec_id, score of the rows whose vec_id is divisible by `every`, searched among all rows; with rank 1
+    also how many vectors were `verified` for the query (0 at the other ranks)."""
     sizes = vectors.groupBy(F.size("embedding").alias("n")).agg(F.count("*").alias("m")).filter("n > 0").orderBy(
         F.desc("m"), "n").first()
     width = sizes["n"] if sizes else 0
@@ -259,5 +288,6 @@ def nearest_neighbours(vectors: DataFrame, k: int = K, every: int = EVERY, dims:
 
     visits = save(queries.join(bounds, "row", "left").select("row", "vec_id", "vector", "projected", "cell", "bound").mapInArrow(other_cells, _VECTOR + ", cell long, bound double"))
     second = _searched(chunks, with_parts(visits), k, quantile)
-    return _nearest(first.drop("rank").unionByName(second), k).select("query_id", "rank", "vec_id", "score")
+    return _nearest(first.drop("rank").unionByName(second), k).select(
+        "query_id", "rank", "vec_id", "score", "verified")
 
