@@ -36,6 +36,25 @@ def test_create_table_if_absent_keeps_existing(spark, workdir):
     assert again.count() == 1
 
 
+def test_create_table_by_many_at_once(spark, workdir, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+    started, read = Barrier(6), tables.read_table
+
+    def read_together(*args):
+        found = read(*args)
+        started.wait(60)
+        return found
+
+    monkeypatch.setattr(tables, "read_table", read_together)
+    for k in range(3):
+        path = os.path.join(workdir, f"many{k}")
+        with ThreadPoolExecutor(6) as pool:
+            made = list(pool.map(lambda _: tables.create_table_if_absent(spark, path, WEATHER_DAILY_SCHEMA), range(6)))
+        assert all(t.columns == WEATHER_DAILY_SCHEMA.names and t.count() == 0 for t in made)
+        assert spark.read.parquet(path).columns == WEATHER_DAILY_SCHEMA.names
+
+
 def test_validity_split(spark):
     raw = spark.createDataFrame([("1",), ("1.0",), ("1.5",), ("3000000000",), ("12d",), (None,)], "c string")
     valid, rejected = tables.split_valid(raw, clean.reject_reasons(raw, ["c"]))

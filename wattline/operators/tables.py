@@ -115,15 +115,13 @@ def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType,
                            partition_by: list[str] | None = None) -> DataFrame:
     """Create an empty table with `schema` unless one exists (SNK-04, 05, 07).
 
-    An existing table is left as it is and returned.
+    An existing table is left as it is and returned. Several may create it at
+    once: each moves an empty file of its own into the table.
     """
     existing = read_table(spark, path)
     if existing is not None:
         return existing
-    writer = spark.createDataFrame([], schema).write.mode("ignore")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    commits.Log(spark, path).add(spark.createDataFrame([], schema), partition_by)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -186,7 +184,7 @@ def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, key: list
     schema = schema or T.StructType([f for f in batch.schema.fields if f.name not in order_cols])
     if rejected_path is not None:
         batch, bad = split_valid(batch, cast_violations(batch, schema))
-        append(bad, rejected_path)
+        commits.Log(spark, rejected_path).add(bad)
         batch = batch.select(*[f.alias(n) for n, f in _cast_columns(batch, schema).items()],
                              *[_c(o) for o in order_cols if o not in schema.names])
     create_table_if_absent(spark, path, schema, partition_by)
