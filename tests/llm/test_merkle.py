@@ -120,3 +120,33 @@ def test_blocks(n, levels):
         for left, right in sides:
             node = merkle.digest(left[k] + node + right[k])
         assert node.decode() == level[0]
+
+
+def test_proofs_are_held_for_a_span_of_leaves(spark, monkeypatch):
+    """Paths are made and checked a span at a time, and those that `proofs` gives out lead to the root."""
+    docs = corpus({"hot": 700, "a": 257, "b": 1})
+    frame = spark.createDataFrame(docs, DOCS)
+    found = merkle.manifest(frame)
+    for r in merkle.proofs(found).collect():
+        node = r["seen"]
+        for side in r["path"]:
+            node = sha(side["left"] + node + side["right"])
+        assert node == found.root
+    held = spark.sparkContext.accumulator(0)
+    folded = merkle._folded
+
+    def counted(batch):
+        assert batch.num_rows <= 256
+        held.add(batch.num_rows)
+        return folded(batch)
+
+    monkeypatch.setattr(merkle, "_folded", counted)
+    assert merkle.verified(found).filter("verified").count() == held.value == len(docs)
+
+
+def test_siblings_of_a_span():
+    leaves = [sha(str(k)) for k in range(700)]
+    block = merkle.lay_out(np.frombuffer("".join(leaves).encode(), np.uint8).reshape(-1, 64), 4)
+    whole = merkle.siblings(block, 4, 700)
+    for start, stop in ((0, 256), (256, 512), (512, 700), (5, 6), (250, 300)):
+        assert merkle.siblings(block, 4, 700, start, stop) == [(left[start:stop], right[start:stop]) for left, right in whole]

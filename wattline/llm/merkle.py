@@ -28,17 +28,19 @@ from __future__ import annotations
 
 import hashlib
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattline.llm.common import save
 
 RUN = 16                 # children of a node
 HEIGHT = 3               # levels of runs in a block
+SPAN = RUN * RUN         # leaves whose paths are held at a time
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _HEX = 64
 _PATH = "array<struct<left:string,right:string>>"
@@ -98,17 +100,20 @@ def lay_out(leaves: np.ndarray, levels: int) -> np.ndarray:
     return out
 
 
-def siblings(block: np.ndarray, levels: int, leaves: int) -> list[tuple[list[bytes], list[bytes]]]:
-    """Of every leaf, from its own level up: the run's digests left and right of it."""
+def siblings(block: np.ndarray, levels: int, leaves: int, start: int = 0,
+             stop: int | None = None) -> list[tuple[list[bytes], list[bytes]]]:
+    """Of every leaf (or those from `start` to before `stop`), from its own level up: the run's digests left and right of it."""
     out = []
     used = counts(levels, leaves)
-    number = np.arange(leaves)
+    number = np.arange(start, leaves if stop is None else stop)
     for depth in range(levels - 1, 0, -1):
-        level = block[address(levels, depth, np.arange(used[depth]))].tobytes()
         first = number // RUN * RUN
         end = np.minimum(first + RUN, used[depth])
-        out.append(([level[a * _HEX:b * _HEX] for a, b in zip(first.tolist(), number.tolist())],
-                    [level[(a + 1) * _HEX:b * _HEX] for a, b in zip(number.tolist(), end.tolist())]))
+        base = int(first[0])
+        level = block[address(levels, depth, np.arange(base, int(end[-1])))].tobytes()
+        first, at, end = ((x - base).tolist() for x in (first, number, end))
+        out.append(([level[a * _HEX:b * _HEX] for a, b in zip(first, at)],
+                    [level[(a + 1) * _HEX:b * _HEX] for a, b in zip(at, end)]))
         number = number // RUN
     return out
 
@@ -117,6 +122,13 @@ def siblings(block: np.ndarray, levels: int, leaves: int) -> list[tuple[list[byt
 # Trees of blocks
 # ---------------------------------------------------------------------------
 
+@dataclass
+class Check:
+    """What to make of leaves and their paths (a batch: tree, position, leaf, entry, subroot, path)."""
+    function: Callable[[pa.RecordBatch], pa.RecordBatch]
+    schema: str
+
+
 def _positions(rows: DataFrame, order: list[str]) -> DataFrame:
     """The rows (with `tree`) with their place in their tree by `order`, and their tree's size.
 
@@ -177,48 +189,57 @@ def _roots(tables: list[DataFrame], height: int) -> DataFrame:
     return out
 
 
-def _expanded(blocks: DataFrame) -> DataFrame:
-    """Blocks with the `path` above them (and their `subroot`) as their leaves, each with its own path from the leaf up."""
+def _expanded(blocks: DataFrame, check: Check | None = None) -> DataFrame:
+    """Blocks with the `path` above them (and their `subroot`) as their leaves, each with its own path from the leaf up.
+
+    With `check`, what it makes of the leaves: paths are some kB a leaf, so they are then used where they are made.
+    """
     kind = blocks.schema["entries"].dataType.elementType.simpleString()
 
+    def leaves(row: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        tree, number, levels, subroot = (row.column(c)[0].as_py() for c in ("tree", "block", "levels", "subroot"))
+        entries = row.column("entries").flatten()
+        nodes = np.frombuffer(row.column("nodes")[0].as_buffer(), np.uint8).reshape(-1, _HEX)
+        above = row.column("path")[0].as_py()
+        for at in range(0, len(entries), SPAN):
+            n = min(SPAN, len(entries) - at)
+            steps = siblings(nodes, levels, len(entries), at, at + n) + [
+                ([s["left"].encode()] * n, [s["right"].encode()] * n) for s in above]
+            flat = [pa.array([side[k] for k in range(n) for side in sides], pa.binary()).cast(pa.string())
+                    for sides in ([s[0] for s in steps], [s[1] for s in steps])]
+            path = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * len(steps)),
+                                            pa.StructArray.from_arrays(flat, names=["left", "right"]))
+            own = nodes[address(levels, levels - 1, np.arange(at, at + n))].tobytes().decode()
+            # Places in the tree follow from the block's number: all blocks before the last are full.
+            first = number * RUN ** (levels - 1) + at
+            yield pa.record_batch([
+                pa.array([tree] * n, pa.string()), pa.array(np.arange(first, first + n)),
+                pa.array([own[k:k + _HEX] for k in range(0, len(own), _HEX)], pa.string()), entries.slice(at, n),
+                pa.array([subroot] * n, pa.string()), path],
+                names=["tree", "position", "leaf", "entry", "subroot", "path"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                tree, number, levels, subroot = (row.column(c)[0].as_py() for c in ("tree", "block", "levels", "subroot"))
-                entries = row.column("entries").flatten()
-                n = len(entries)
-                nodes = np.frombuffer(row.column("nodes")[0].as_buffer(), np.uint8).reshape(-1, _HEX)
-                above = row.column("path")[0].as_py()
-                steps = siblings(nodes, levels, n) + [
-                    ([s["left"].encode()] * n, [s["right"].encode()] * n) for s in above]
-                flat = [pa.array([side[k] for k in range(n) for side in sides], pa.binary()).cast(pa.string())
-                        for sides in ([s[0] for s in steps], [s[1] for s in steps])]
-                path = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * len(steps)),
-                                                pa.StructArray.from_arrays(flat, names=["left", "right"]))
-                leaves = nodes[address(levels, levels - 1, np.arange(n))].tobytes().decode()
-                # Places in the tree follow from the block's number: all blocks before the last are full.
-                first = number * RUN ** (levels - 1)
-                yield pa.record_batch([
-                    pa.array([tree] * n, pa.string()), pa.array(np.arange(first, first + n)),
-                    pa.array([leaves[at:at + _HEX] for at in range(0, len(leaves), _HEX)], pa.string()), entries,
-                    pa.array([subroot] * n, pa.string()), path],
-                    names=["tree", "position", "leaf", "entry", "subroot", "path"])
+                for found in leaves(batch.slice(i, 1)):
+                    yield found if check is None else check.function(found)
 
     return blocks.select("tree", "block", "levels", "nodes", "entries", "subroot", "path").mapInArrow(
-        run, f"tree string, position long, leaf string, entry {kind}, subroot string, path {_PATH}")
+        run, f"tree string, position long, leaf string, entry {kind}, subroot string, path {_PATH}" if check is None
+        else check.schema)
 
 
-def paths(tables: list[DataFrame], above: DataFrame, height: int = HEIGHT) -> DataFrame:
+def paths(tables: list[DataFrame], above: DataFrame, height: int = HEIGHT, check: Check | None = None) -> DataFrame:
     """Every leaf (tree, position, leaf, entry) of trees of blocks with its path up to the root that `above` (tree,
-    subroot, path) leads on from: whole tables of blocks meet the paths of their roots, from the highest down."""
+    subroot, path) leads on from: whole tables of blocks meet the paths of their roots, from the highest down.
+    With `check`, what it makes of the lowest table's leaves."""
     handed = None
     for k in range(len(tables) - 1, -1, -1):
         single = tables[k].filter(F.col("total") <= RUN ** height).join(above, "tree")
         if handed is not None:
             single = single.unionByName(tables[k].filter(F.col("total") > RUN ** height).join(
                 handed.select("tree", F.col("position").alias("block"), "subroot", "path"), ["tree", "block"]))
-        handed = _expanded(single)
+        handed = _expanded(single, None if k else check)
         if k:
             handed = save(handed)
     return handed
@@ -269,40 +290,42 @@ def manifest(docs: DataFrame, seen: Column | None = None, height: int = HEIGHT)
     return None if root is None else Manifest(sources, top, root["root"], height)
 
 
-def proofs(found: Manifest) -> DataFrame:
-    """source key, doc_id, leaf, seen, subroot and the path (siblings left and right, leaf to root) of every row."""
+def proofs(found: Manifest, check: Check | None = None) -> DataFrame:
+    """source key, doc_id, leaf, seen, subroot and the path (siblings left and right, leaf to root) of every row.
+
+    With `check`, what it makes of them.
+    """
     spark = found.top[0].sparkSession
     start = spark.createDataFrame([("", "", [])], f"tree string, subroot string, path {_PATH}")
     subroots = save(paths(found.top, start, found.height).select(
         F.col("entry.name").alias("tree"), F.col("leaf").alias("subroot"), "path"))
-    return paths(found.sources, subroots, found.height).select(
-        "tree", "entry.doc_id", "leaf", "entry.seen", "subroot", "path")
-
-
-def verified(rows: DataFrame, root: str) -> DataFrame:
-    """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified of rows with their proofs."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            steps = batch.column("path").flatten()
-            left, right = (c.cast(pa.binary()).to_pylist() for c in steps.flatten())
-            lengths = np.concatenate(([0], np.cumsum(batch.column("path").value_lengths().to_numpy())))
-            folded, proof = [], []
-            for node, a, b in zip(batch.column("seen").to_pylist(), lengths.tolist(), lengths[1:].tolist()):
-                node = node.encode()
-                for x, y in zip(left[a:b], right[a:b]):
-                    node = digest(x + node + y)
-                folded.append(node.decode())
-                proof.append(digest(b"".join(v for s in zip(left[a:b], right[a:b]) for v in s)).decode())
-            yield pa.record_batch([*(batch.column(c) for c in ("doc_id", "leaf", "subroot")), pa.array(proof, pa.string()),
-                                   pa.array(folded, pa.string())],
-                                  names=["doc_id", "leaf", "subroot", "proof_sha256", "folded_root"])
-
-    out = rows.select("doc_id", "leaf", "seen", "subroot", "path").mapInArrow(
-        run, f"doc_id {kind}, leaf string, subroot string, proof_sha256 string, folded_root string")
-    return out.select("doc_id", "leaf", "subroot", F.lit(root).alias("root"), "proof_sha256", "folded_root",
-                      (F.col("folded_root") == root).alias("verified"))
+    rows = paths(found.sources, subroots, found.height, check)
+    return rows if check else rows.select("tree", "entry.doc_id", "leaf", "entry.seen", "subroot", "path")
+
+
+def _folded(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows (leaf, entry, subroot, path) with the digest of their proof and the root that it leads to from `seen`."""
+    steps = batch.column("path").flatten()
+    left, right = (c.cast(pa.binary()).to_pylist() for c in steps.flatten())
+    lengths = np.concatenate(([0], np.cumsum(batch.column("path").value_lengths().to_numpy())))
+    doc_id, seen = (pc.struct_field(batch.column("entry"), c) for c in ("doc_id", "seen"))
+    folded, proof = [], []
+    for node, a, b in zip(seen.to_pylist(), lengths.tolist(), lengths[1:].tolist()):
+        node = node.encode()
+        for x, y in zip(left[a:b], right[a:b]):
+            node = digest(x + node + y)
+        folded.append(node.decode())
+        proof.append(digest(b"".join(v for s in zip(left[a:b], right[a:b]) for v in s)).decode())
+    return pa.record_batch([doc_id, batch.column("leaf"), batch.column("subroot"), pa.array(proof, pa.string()),
+                            pa.array(folded, pa.string())], names=["doc_id", "leaf", "subroot", "proof_sha256", "folded_root"])
+
+
+def verified(found: Manifest) -> DataFrame:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified of every row by its proof."""
+    kind = found.sources[0].schema["entries"].dataType.elementType["doc_id"].dataType.simpleString()
+    check = Check(_folded, f"doc_id {kind}, leaf string, subroot string, proof_sha256 string, folded_root string")
+    return proofs(found, check).select(
+        "doc_id", "leaf", "subroot", F.lit(found.root).alias("root"), "proof_sha256", "folded_root", (F.col("folded_root") == found.root).alias("verified"))
 
 
 def audit(docs: DataFrame, height: int = HEIGHT) -> DataFrame:
@@ -314,7 +337,7 @@ def audit(docs: DataFrame, height: int = HEIGHT) -> DataFrame:
         kind = docs.schema["doc_id"].dataType.simpleString()
         return docs.sparkSession.createDataFrame([], f"doc_id {kind}, leaf string, subroot string, root string, "
                                                      "proof_sha256 string, folded_root string, verified boolean")
-    return verified(proofs(found), found.root)
+    return verified(found)
 
 
 def _oracle(height: int = 5) -> str:
